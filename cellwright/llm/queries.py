@@ -99,4 +99,20 @@ QUERIES = {f.__name__: f for f in (
     op8_minhash, op9_toxicity, op10_embedding_dedup,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_revisits": r"""WITH A AS (SELECT page_id, url, md5(html) AS digest, length(html) AS size, substr(md5(url), 1, 1) AS mark,
+  regexp_replace(regexp_replace(url, '#[\s\S]*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
+B AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*', 0)), '^[^@]*@', ''), ':(80|443)?$', ''), '^(www|m)\.', '') AS host,
+  regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '(/|/index\.html|\.html)$', '') AS path,
+  array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?([\s\S]*)$', 1), '&'),
+    lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS tail FROM A),
+C AS (SELECT *, host || path || CASE WHEN tail <> '' THEN '?' || tail ELSE '' END AS canonical, '"' || substr(digest, 1, 16) || '"' AS tag, page_id * 10 AS began,
+  page_id * 10 + 5 + length(url) * 7 AS later FROM B),
+V AS (SELECT page_id * 2 + 1 AS record_id, canonical, later AS ts, CASE mark WHEN '0' THEN '"other"' WHEN '1' THEN NULL ELSE tag END AS etag, page_id AS modified, digest FROM C),
+R AS (SELECT page_id * 2 AS ref_id, canonical AS c2, began AS t2, tag, page_id AS modified2, size FROM C),
+J AS (SELECT V.*, R.* FROM V ASOF LEFT JOIN R ON V.canonical = R.c2 AND V.ts > R.t2),
+O AS (SELECT *, CASE WHEN ref_id IS NULL THEN 'unmatched' WHEN etag IS NOT NULL THEN CASE WHEN etag = tag THEN 'resolved' ELSE 'mismatch' END
+  WHEN modified = modified2 THEN 'resolved' ELSE 'mismatch' END AS outcome FROM J)
+SELECT record_id, canonical, ts, ref_id, outcome, CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=600' || chr(10) || 'content-length: ' || CAST(size AS VARCHAR) || chr(10) ||
+  'content-type: text/html' || chr(10) || 'date: ' || CAST(ts AS VARCHAR) || chr(10) || 'etag: ' || tag END AS headers FROM O""",
+}
