@@ -14,19 +14,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, small, written
 
 EDITS, MIN_CHARS = 2, 20
+#: Lines that share a key beyond which finer keys are used, and the segments of these.
+HOT, FINE_PARTS = 24, 8
+#: Letters that are counted before lines of crowded segments become candidates.
+LETTERS = "aeinorstdhlu"
 _LATE = 9223372036854775807
 
 
-def segment(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
+def segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
     """Start, from 0, and size of segment i of a line of that length: the last ones are longer by one."""
-    size, longer = F.floor(length / (edits + 1)).cast("int"), edits + 1 - length % (edits + 1)
+    size, longer = F.floor(length / parts).cast("int"), parts - length % parts
     return size * i + F.greatest(F.lit(0), i - longer), size + F.when(i >= longer, 1).otherwise(0)
 
 
-def keys(lines: DataFrame, edits: int) -> DataFrame:
+def keys(lines: DataFrame, edits: int, index_only: bool = False) -> DataFrame:
     """(id, key, indexed): the index entries and the probes of lines (id, line, size). A probe takes a
     length that is less by 0 to edits, a segment i, and a shift of its place that leaves enough edits
     for what is left and right of it; the one that moves nothing is the index entry."""
@@ -34,16 +38,40 @@ def keys(lines: DataFrame, edits: int) -> DataFrame:
         F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
         for less in range(edits + 1) for i in range(edits + 1)
         for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
+        if not index_only or less == shift == 0
     ]
     rows = lines.select("id", "line", "size", F.explode(F.array(*probes)).alias("p"))
     length = F.col("size") - F.col("p.less")
-    start, n = segment(length, F.col("p.i"), edits)
+    start, n = segment(length, F.col("p.i"), edits + 1)
     rows = rows.select("id", "line", "size", "p", length.alias("length"), (start + F.col("p.shift")).alias("at"), n.alias("n"))
     rows = rows.where("length > %d and at >= 0 and at + n <= size" % edits)
     key = F.xxhash64("p.i", "length", F.substring("line", F.col("at") + 1, F.col("n")))
     return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.shift = 0").alias("indexed"))
 
 
+def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
+    """Like keys, for up to two edits and lines that share a segment with very many others: of parts
+    segments all but two must be equal, as two edits touch two. What is left of a line without two
+    segments is its beginning, a middle that may have moved by s, and its end."""
+    probes = [
+        F.struct(*[F.lit(v).alias(k) for k, v in (("b", b), ("c", c), ("less", less), ("s", s))])
+        for b in range(parts) for c in range(b + 1, parts)
+        for less in range(3) for s in range(-2, 3) if abs(s) + abs(less - s) <= 2
+    ]
+    counts = [(F.length("line") - F.length(F.replace("line", F.lit(x)))).alias(f"n{k}") for k, x in enumerate(LETTERS)]
+    names = [f"n{k}" for k in range(len(LETTERS))]
+    rows = lines.select("id", "line", "size", *counts).select("id", "line", "size", *names, F.explode(F.array(*probes)).alias("p"))
+    length = F.col("size") - F.col("p.less")
+    (b0, bn), (c0, cn) = (segment(length, F.col(f"p.{k}"), parts) for k in "bc")
+    rows = rows.select("id", "line", "size", *names, "p", length.alias("length"), b0.alias("b0"), (b0 + bn).alias("b1"), c0.alias("c0"), (c0 + cn).alias("c1"))
+    rows = rows.where("b1 + p.s >= 0 and c0 + p.s <= size and length > 2")
+    key = F.xxhash64(
+        "p.b", "p.c", "length", F.substring("line", F.lit(1), F.col("b0")),
+        F.substring("line", F.col("b1") + F.col("p.s") + 1, F.col("c0") - F.col("b1")), F.right("line", F.col("length") - F.col("c1")),
+    )
+    return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.s = 0").alias("indexed"), *names)
+
+
 def _let(fields: dict[str, Column], use: Callable[[Column], Column]) -> Column:
     """use() of the fields' values, each of which is computed once."""
     return F.transform(F.array(F.struct(*[v.alias(k) for k, v in fields.items()])), use)[0]
@@ -113,13 +141,39 @@ def within(x: Column, y: Column, edits: int) -> Column:
     return F.when(F.abs(F.length(x) - F.length(y)) > edits, False).otherwise(_let(fields, run))
 
 
+def _met(rows: DataFrame, index: DataFrame, most: int | None = None) -> DataFrame:
+    """Pairs that share a key; with most, only those whose letter counts differ by no more in all."""
+    counts = [f"n{k}" for k in range(len(LETTERS))] if most is not None else []
+    left = index.select("key", F.col("id").alias("i"), *counts)
+    right = rows.select("key", F.col("id").alias("p"), *[F.col(c).alias(f"p{c}") for c in counts])
+    near = F.col("i") != F.col("p")
+    if counts:
+        near = near & (sum((F.abs(F.col(c) - F.col(f"p{c}")) for c in counts), F.lit(0)) <= most)
+    return left.join(right, "key").where(near).select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b"))
+
+
+def candidates(lines: DataFrame, edits: int, hot: int = HOT) -> DataFrame:
+    """(a, b), a < b: pairs of lines (id, line, size) that share a key. Keys of more than hot lines are
+    not joined; the lines that have one are instead joined among themselves by finer keys, which every
+    pair within edits shares too. That holds for up to two edits; for more all keys are joined."""
+    rows, index = keys(lines, edits), keys(lines, edits, index_only=True)
+    if edits > 2:
+        return _met(rows, index).distinct()
+    crowded = written(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "crowded")
+    if not crowded.limit(1).count():
+        return _met(rows, index).distinct()
+    crowded = small(crowded)
+    pairs = _met(rows, index.join(crowded, "key", "left_anti"))
+    ids = written(rows.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
+    fine = fine_keys(lines.join(small(ids), "id", "left_semi"), FINE_PARTS)
+    # an edit changes the counts of two letters by one at most
+    return pairs.union(_met(fine, fine.where("indexed"), 2 * edits)).distinct()
+
+
 def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """(a, b), a < b: the ids of distinct lines (id, line, size) within that many edits. Lines of no
     more characters than edits link with nothing."""
-    rows = keys(lines, edits)
-    index = rows.where("indexed").select("key", F.col("id").alias("i"))
-    found = index.join(rows.select("key", F.col("id").alias("p")), "key").where("i <> p")
-    pairs = written(found.select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b")).distinct(), "candidates")
+    pairs = written(candidates(lines, edits), "candidates")
     both = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     both = both.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     close = _stripped(F.col("x"), F.col("y"), edits + 1, lambda x, y: within(x, y, edits))
