@@ -7,10 +7,10 @@ give enough darts (total / weight of the text), each dart belongs to one of k co
 coordinate keeps its earliest dart. Two texts agree in a coordinate with the probability of their
 weighted Jaccard similarity. Coordinates are grouped in bands and joined.
 
-Links are verified exactly on the texts. Inside a bucket first one representative is compared with
-all others; then, among the classes that this has left, every pair of different classes that still
-share a bucket. So no link between different classes is lost, and a bucket of n near copies costs n
-comparisons, not n * n.
+Links are verified exactly on the texts. Inside a bucket first its top, the node that meets most
+others, is compared with all others; then, among the classes that this has left, every pair of
+different classes that share a bucket and may be a link. So no link between different classes is
+lost, and a bucket of n copies of one text costs n comparisons, not n * n.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import tokens
 from .common import components, small, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
+#: Nodes of a bucket up to which all its pairs of different classes are compared.
+CROWD = 24
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -36,50 +39,56 @@ def _seed(n: int) -> np.uint64:
     return np.uint64((n * 0xD1B54A32D192ED03 + 0x8CB92BA72F3D8DD7) & 0xFFFFFFFFFFFFFFFF)
 
 
-def throw_darts(elements: np.ndarray, weights: np.ndarray, until: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks and identities of the darts of rank <= until that hit the elements' weights.
+def throw_darts(elements: np.ndarray, weights: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the darts that hit the elements' weights at ranks up to until: which element, rank, identity.
 
     The weight axis is cut into (0, 1], (1, 2], (2, 4], (4, 8] ...; in a slab of height s, darts
     arrive along the rank axis at gaps of mean 1 / s and lie at uniform heights in it, both read from
     the element's hash. A slab that a weight cuts keeps the darts below the weight."""
-    ranks, names = [], []
+    which, ranks, names = [], [], []
     low, high, slab = 0.0, 1.0, 0
-    live, weight = elements, weights
+    live = np.arange(len(elements))
     while len(live):
-        base, top = tokens.mix(live ^ _seed(2 * slab + 1)), weight
-        at = np.zeros(len(base))
+        at, who = np.zeros(len(live)), live
+        base = tokens.mix(elements[live] ^ _seed(2 * slab + 1))
         turn = 0
-        while len(base):
+        while len(who):
             draw = tokens.mix(base + _seed(1000 + turn))
             at = at - np.log(_uniform(draw)) / (high - low)
-            near = at <= until
-            base, top, at, draw = base[near], top[near], at[near], draw[near]
+            near = at <= until[who]
+            who, base, at, draw = who[near], base[near], at[near], draw[near]
             second = tokens.mix(draw ^ _seed(7))
-            hit = low + _uniform(second) * (high - low) <= top
+            hit = low + _uniform(second) * (high - low) <= weights[who]
+            which.append(who[hit])
             ranks.append(at[hit])
             names.append(second[hit])
             turn += 1
         low, high, slab = high, high * 2, slab + 1
-        more = weight > low
-        live, weight = live[more], weight[more]
-    return np.concatenate(ranks or [np.zeros(0)]), np.concatenate(names or [np.zeros(0, np.uint64)])
-
-
-def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """k coordinates of a weighted set that is not empty, as 32-bit values."""
-    darts = k * np.log(k) + 2.0 * k
-    until = darts / weights.sum()
-    while True:
-        ranks, names = throw_darts(elements, weights, until)
-        slot = (names % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((names, ranks))[::-1]
-        out = np.zeros(k, np.uint64)
-        out[slot[order]] = names[order]  # the earliest dart of a coordinate comes last
-        filled = np.zeros(k, bool)
-        filled[slot] = True
-        if filled.all():
-            return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        until *= 2.0
+        live = live[weights[live] > low]
+    return np.concatenate(which), np.concatenate(ranks), np.concatenate(names)
+
+
+def signatures_of(sets: np.ndarray, elements: np.ndarray, weights: np.ndarray, count: int, k: int) -> np.ndarray:
+    """k coordinates, 32-bit values, of each of count weighted sets; sets says which set each element is
+    of, in rising order, and none is empty."""
+    out = np.zeros((count, k), np.uint64)
+    total = np.bincount(sets, weights, count)
+    todo, reach = np.arange(count), (k * np.log(k) + 2.0 * k) / total
+    while len(todo):
+        mine = np.isin(sets, todo) if len(todo) < count else np.ones(len(sets), bool)
+        of, el, w = sets[mine], elements[mine], weights[mine]
+        which, ranks, names = throw_darts(el, w, reach[of])
+        slot = of[which] * k + (names % np.uint64(k)).astype(np.int64)
+        # one sort: by coordinate, and within it by the share of the reach that the rank is
+        order = np.argsort(slot + ranks / (reach[of][which] * 1.000001))
+        first = np.ones(len(order), bool)
+        first[1:] = slot[order][1:] != slot[order][:-1]
+        best = order[first]
+        out.reshape(-1)[slot[best]] = names[best]
+        filled = np.bincount(slot[best] // k, minlength=count)
+        todo = todo[filled[todo] < k]  # a coordinate without a dart: look twice as far, again from the start
+        reach = reach * 2.0
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def weighted_shingles(words: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +105,21 @@ def _text_words(column: pa.Array) -> Iterator[np.ndarray]:
             yield hashes[lo:hi]
 
 
+def _groups(column: pa.Array, words: int = 1 << 18) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Rows with words and their words, so many words together at least."""
+    rows, texts, n = [], [], 0
+    for row, one in enumerate(_text_words(column)):
+        if len(one):
+            rows.append(row)
+            texts.append(one)
+            n += len(one)
+        if n >= words:
+            yield rows, texts
+            rows, texts, n = [], [], 0
+    if rows:
+        yield rows, texts
+
+
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
     """(doc_id, digest, bands) of each document with a word and an id: digest is equal for equal texts,
     bands holds one 64-bit value for each band."""
@@ -103,20 +127,23 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, digests, keys = [], [], []
-            for row, words in enumerate(_text_words(batch.column(2))):
-                if len(words):
-                    sig = signature(*weighted_shingles(words, size), k).view(np.uint32).astype(np.uint64)
-                    key = np.zeros(bands, np.uint64)
-                    for r in range(rows):
-                        key = tokens.mix(key ^ (sig[r::rows] + _seed(r)))
-                    ids.append(row)
-                    keys.append(key.view(np.int64))
-            take = pa.array(ids, pa.int64())
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * bands, pa.int32()), pa.array(flat))
-            digests = batch.column(1).take(take)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), digests, lists], ["doc_id", "digest", "bands"])
+            for place, texts in _groups(batch.column(2)):
+                grams = [tokens.shingles(w, size) for w in texts]
+                of = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+                flat = np.concatenate(grams)
+                order = np.lexsort((flat, of))
+                flat, of = flat[order], of[order]
+                new = np.ones(len(flat), bool)
+                new[1:] = (flat[1:] != flat[:-1]) | (of[1:] != of[:-1])
+                begin = np.flatnonzero(new)
+                weights = np.diff(np.append(begin, len(flat))).astype(np.float64)
+                sig = signatures_of(of[begin], flat[begin], weights, len(grams), k).astype(np.uint64)
+                key = np.zeros((len(grams), bands), np.uint64)
+                for r in range(rows):
+                    key = tokens.mix(key ^ (sig[:, r::rows] + _seed(r)))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(grams) + 1) * bands, pa.int32()), pa.array(key.view(np.int64).ravel()))
+                take = pa.array(place, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), lists], ["doc_id", "digest", "bands"])
 
     rows_in = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text"
@@ -131,19 +158,92 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return float(both / (wa.sum() + wb.sum() - both))
 
 
+def _sides(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with the texts of both, ta and tb, in front."""
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    out = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    out = out.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    return out.select("ta", "tb", "a", "b", *rest)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
     """The pairs (a, b) whose texts are as similar as that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(_text_words(batch.column(2)), _text_words(batch.column(3)), strict=True):
+            for x, y in zip(_text_words(batch.column(0)), _text_words(batch.column(1)), strict=True):
                 keep.append(similarity(*weighted_shingles(x, size), *weighted_shingles(y, size)) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _sides(pairs, texts).mapInArrow(run, "a long, b long")
 
-    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    return sides.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+
+def _against(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """pairs (a, b, c) with weight, the total weight of b, common, that of what it shares with a, and the
+    elements of which b has more than a: more, and by how much: excess."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weight, common, more, excess = [], [], [], []
+            for x, y in zip(_text_words(batch.column(0)), _text_words(batch.column(1)), strict=True):
+                (a, wa), (b, wb) = weighted_shingles(x, size), weighted_shingles(y, size)
+                _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+                both = np.zeros(len(b))
+                both[ib] = np.minimum(wa[ia], wb[ib])
+                weight.append(wb.sum())
+                common.append(both.sum())
+                more.append(b[wb > both].view(np.int64))
+                excess.append((wb - both)[wb > both])
+            cuts = pa.array(np.cumsum([0, *map(len, more)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, kind), *x]))) for x, kind in ((more, np.int64), (excess, np.float64))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (2, 3, 4)], pa.array(weight, pa.float64()), pa.array(common, pa.float64()), *lists], ["a", "b", "c", "weight", "common", "more", "excess"])
+
+    return _sides(pairs, texts).mapInArrow(run, "a long, b long, c long, weight double, common double, more array<long>, excess array<double>")
+
+
+def _ordered(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _rest(shared: DataFrame, group: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
+    """Pairs (a, b) of different classes that meet in a bucket and may be as similar as least.
+
+    In buckets of up to CROWD nodes that is all such pairs. In larger ones each node is held against
+    the bucket's top: two nodes that have no element in common of which both have more than the top
+    share no more than either shares with the top. So a pair either shares such an element, and is
+    found by the rarest one if what it may share from there on is enough, or has to pass that bound;
+    a crowd of copies of the top passes neither."""
+    held = shared.join(group, "node", "left").select("band", "key", "node", "top", "n", F.coalesce("component", "node").alias("c"))
+    held = written(held, "held")
+    few = held.where(F.col("n") <= CROWD)
+    mixed = few.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band", "key")
+    few = few.join(mixed, ["band", "key"]).select("band", "key", "node", "c")
+    left, right = few.withColumnsRenamed({"node": "x", "c": "cx"}), few.withColumnsRenamed({"node": "y", "c": "cy"})
+    pairs = left.join(right, ["band", "key"]).where("cx < cy").select(*_ordered("x", "y"))
+
+    many = held.where(F.col("n") > CROWD).select(F.col("top").alias("a"), F.col("node").alias("b"), "c").distinct()
+    mixed = many.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
+    facts = written(_against(many.join(mixed, "a"), texts, size), "facts")
+    part = facts.select("a", "b", "c", "weight", "common", F.explode(F.arrays_zip("more", "excess")).alias("z"))
+    part = part.select("a", "b", "c", "weight", "common", F.col("z.more").alias("e"), F.col("z.excess").alias("excess"))
+    met = part.groupBy("a", "e").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    # rare elements first: from the first one that a pair shares on, it shares no more than is left
+    onward = Window.partitionBy("a", "b").orderBy("m", "e").rowsBetween(0, Window.unboundedFollowing)
+    part = part.join(met.select("a", "e", "m"), ["a", "e"]).withColumn("left", F.sum("excess").over(onward))
+    part = written(part.select("a", "b", "c", "weight", "common", "e", "left"), "elements")
+    left = part.withColumnsRenamed({"b": "x", "c": "cx", "weight": "wx", "common": "ox", "left": "lx"})
+    right = part.withColumnsRenamed({"b": "y", "c": "cy", "weight": "wy", "common": "oy", "left": "ly"})
+    most = F.least("ox", "oy") + F.least("lx", "ly")
+    enough = most >= least * (F.col("wx") + F.col("wy") - most)
+    by_element = left.join(right, ["a", "e"]).where((F.col("cx") < F.col("cy")) & enough).select(*_ordered("x", "y"))
+    near = facts.where(F.col("common") >= least * F.col("weight")).drop("more", "excess")
+    left = near.withColumnsRenamed({"b": "x", "c": "cx", "weight": "wx", "common": "ox"})
+    right = near.withColumnsRenamed({"b": "y", "c": "cy", "weight": "wy", "common": "oy"})
+    most = F.least("ox", "oy")
+    bound = most >= least * (F.col("wx") + F.col("wy") - most)
+    by_bound = left.join(right, "a").where((F.col("cx") < F.col("cy")) & bound).select(*_ordered("x", "y"))
+    return pairs.union(by_element).union(by_bound).distinct()
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
@@ -161,34 +261,21 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).distinct()
     keys = written(keys, "bands")
 
-    turn = F.xxhash64("node", "band")
-    stars = keys.groupBy("band", "key").agg(F.min(turn).alias("least"), F.count("*").alias("n")).where("n > 1")
-    # the representative of a bucket is the node of the least hash, another one in each band
-    shared = written(keys.join(stars, ["band", "key"]).select("band", "key", "node", (turn == F.col("least")).alias("head")), "buckets")
-    tops = shared.where("head").groupBy("band", "key").agg(F.min("node").alias("top"))
-    ends = shared.join(tops, ["band", "key"]).where("node <> top")
-    first = written(ends.select(F.least("node", "top").alias("a"), F.greatest("node", "top").alias("b")).distinct(), "pairs")
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(keys.join(sizes, ["band", "key"]), "buckets")
+    # a bucket's top is the node that meets most others over all bands: what near copies are copies of
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    tops = shared.join(met, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("top"))
+    shared = written(shared.join(tops, ["band", "key"]), "tops")
+    first = written(shared.where("node <> top").select(*_ordered("node", "top")).distinct(), "pairs")
 
     wanted = shared.select("node").distinct()
-    named = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("long").alias("node"), "text", F.md5("text").alias("digest")
-    )
+    named = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("node"), "text", F.md5("text").alias("digest"))
     texts = named.join(small(wanted), "node", "left_semi")
-    # of a doc_id that repeats, the text whose digest it heads; any one of them
     texts = written(texts.dropDuplicates(["node", "digest"]).select("node", "text"), "texts")
     links = written(_verified(first, texts, least, size), "links")
     group = written(components(links), "classes")
-
-    # classes that still meet in a bucket: all their pairs, by class and not by row
-    held = shared.join(group, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("c"))
-    mixed = held.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band", "key")
-    held = written(held.join(mixed, ["band", "key"]), "mixed")
-    kinds = held.select("band", "key", "c").distinct()
-    meet = kinds.withColumnRenamed("c", "c1").join(kinds.withColumnRenamed("c", "c2"), ["band", "key"]).where("c1 < c2")
-    left = held.select("band", "key", F.col("c").alias("c1"), F.col("node").alias("n1"))
-    right = held.select("band", "key", F.col("c").alias("c2"), F.col("node").alias("n2"))
-    rest = meet.join(left, ["band", "key", "c1"]).join(right, ["band", "key", "c2"])
-    rest = rest.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    rest = _rest(shared, group, texts, least, size).join(first, ["a", "b"], "left_anti")
     more = written(_verified(rest, texts, least, size), "links")
     if more.limit(1).count():
         group = written(components(links.union(more)), "classes")
