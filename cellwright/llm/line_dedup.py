@@ -49,8 +49,14 @@ def keys(lines: DataFrame, edits: int, index_only: bool = False) -> DataFrame:
     return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.shift = 0").alias("indexed"))
 
 
+def counted(lines: DataFrame) -> DataFrame:
+    """lines with the counts n0, n1 ... of LETTERS."""
+    counts = [(F.length("line") - F.length(F.replace("line", F.lit(x)))).alias(f"n{k}") for k, x in enumerate(LETTERS)]
+    return lines.select("id", "line", "size", *counts)
+
+
 def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
-    """Like keys, for up to two edits and lines that share a segment with very many others: of parts
+    """Like keys, for up to two edits and counted lines that share a segment with very many others: of parts
     segments all but two must be equal, as two edits touch two. What is left of a line without two
     segments is its beginning, a middle that may have moved by s, and its end."""
     probes = [
@@ -58,9 +64,8 @@ def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
         for b in range(parts) for c in range(b + 1, parts)
         for less in range(3) for s in range(-2, 3) if abs(s) + abs(less - s) <= 2
     ]
-    counts = [(F.length("line") - F.length(F.replace("line", F.lit(x)))).alias(f"n{k}") for k, x in enumerate(LETTERS)]
     names = [f"n{k}" for k in range(len(LETTERS))]
-    rows = lines.select("id", "line", "size", *counts).select("id", "line", "size", *names, F.explode(F.array(*probes)).alias("p"))
+    rows = lines.select("id", "line", "size", *names, F.explode(F.array(*probes)).alias("p"))
     length = F.col("size") - F.col("p.less")
     (b0, bn), (c0, cn) = (segment(length, F.col(f"p.{k}"), parts) for k in "bc")
     rows = rows.select("id", "line", "size", *names, "p", length.alias("length"), b0.alias("b0"), (b0 + bn).alias("b1"), c0.alias("c0"), (c0 + cn).alias("c1"))
@@ -165,7 +170,9 @@ def candidates(lines: DataFrame, edits: int, hot: int = HOT) -> DataFrame:
     crowded = small(crowded)
     pairs = _met(rows, index.join(crowded, "key", "left_anti"))
     ids = written(rows.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
-    fine = fine_keys(lines.join(small(ids), "id", "left_semi"), FINE_PARTS)
+    # written, so that the long code of the finer keys runs over these lines alone
+    picked = written(lines.join(small(ids), "id", "left_semi"), "crowded-text")
+    fine = fine_keys(counted(picked), FINE_PARTS)
     # an edit changes the counts of two letters by one at most
     return pairs.union(_met(fine, fine.where("indexed"), 2 * edits)).distinct()
 
