@@ -1,15 +1,18 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Token counts are exact over all training texts and live in a table that grows with the corpus. The
-automaton holds the n-grams whose share of all training tokens is at least a threshold; shares add
-up to one, so a threshold f keeps at most 1 / f n-grams of an order, whatever the corpus: that bounds
-what is broadcast, with no cap. An n-gram can only be that frequent if its parts are, so each order
-counts what extends the one below.
+Every word, and every pair and run of three that the training texts hold at least MIN_COUNT times, is
+part of the model: an absolute count, the same at every size, so that the model grows with the corpus.
+Its states and arcs are written tables, joined by hashes of 64 bits; a failure arc's weight is a sum
+over a history's arcs. What texts need is joined to them by distinct n-gram. The most frequent n-grams
+are also broadcast, but only as a cache: their values are those of the tables, and a share f of all
+tokens bounds them by 1 / f.
 
 States are n-gram histories. An arc reads a word, adds its log-probability and leads to the longest
 history that is a state; if a state has no arc for a word, its failure arc adds the backoff weight and
-leads to the state without the oldest word. Words below the threshold have no arcs at all: reading
-one ends in the root, and its unigram probability is joined from the table of counts.
+leads to the state without the oldest word.
+
+train builds the same automaton in memory, of n-grams above a share: with shares of 0 it is the whole
+model of a small corpus, which the tables are tested against.
 
 Probabilities are absolutely discounted; what all unseen words share is one outcome.
 """
@@ -25,13 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import ascii_lower, written
+from .common import ascii_lower, small, written
 
 ORDER, WORD_SHARE, GRAM_SHARE = 3, 1e-5, 2e-6
 #: Cannot be a word, as it is white space.
 END = " "
 _RARE, _BEGIN = -1, -2
 _LANE = 128
+#: How often an n-gram of several words has to occur to be an arc.
+MIN_COUNT = 2
+_WORD, _GRAM = 1, 2
 
 
 def _words(text: str) -> Column:
@@ -152,7 +158,7 @@ def _gram_counts(texts: DataFrame, automaton: Automaton, level: int) -> DataFram
 
 def train(texts: DataFrame, counts: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> tuple[Automaton, dict]:
     """The automaton of the texts and the figures of counts, their written token counts: N tokens,
-    V distinct ones, and what a word's count is discounted by. At most 1 / word_share words and
+    V distinct ones, and what a word's count is discounted by. For small corpora: at most 1 / word_share words and
     1 / gram_share n-grams of an order come to the driver."""
     row = counts.agg(F.sum("c"), F.count("*"), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
     n, v, one, two = (int(x or 0) for x in row)
@@ -206,56 +212,157 @@ def train(texts: DataFrame, counts: DataFrame, order: int = ORDER, word_share: f
     return m, figures
 
 
-def score(docs: DataFrame, counts: DataFrame, automaton: Automaton, figures: dict) -> DataFrame:
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of a history's hash and the word read after it."""
+    return tokens.mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
+
+
+def _runs(column: pa.Array) -> Iterator[tuple]:
+    """Of each chunk: its first row, where each text begins, the text of each place, and by place the
+    hashes of the word, of the last two and of the last three; then where the last two and three lie
+    within a text. A text begins with a place that is not read, of which only END is the history."""
+    end = np.uint64(tokens.hash_of(END.encode()))
+    for row, _, data, offs in tokens.chunks(column):
+        data = tokens.FOLD[data]
+        starts, ends, first = tokens.word_spans(data, offs, tokens.NOT_SPACE)
+        count = len(first) - 1
+        begin = first[:-1] + 2 * np.arange(count)
+        word = np.full(len(starts) + 2 * count, end, np.uint64)
+        word[np.arange(len(starts)) + 1 + 2 * (np.searchsorted(first, np.arange(len(starts)), "right") - 1)] = tokens.span_hashes(data, starts, ends)
+        text = np.repeat(np.arange(count), np.diff(np.append(begin, len(word))))
+        two, three = np.zeros_like(word), np.zeros_like(word)
+        two[1:] = _pair(word[:-1], word[1:])
+        three[1:] = _pair(two[:-1], word[1:])
+        read = np.ones(len(word), bool)
+        read[begin] = False
+        long = read.copy()
+        long[1:] &= read[:-1]
+        yield row, begin, text, word, two, three, read, long
+
+
+def gram_counts(docs: DataFrame, learn: Column) -> DataFrame:
+    """(level, key, hist, low, c) of each distinct run of level words in docs: its hash, those of what it
+    reads its last word after and of the run without the oldest word, and how often it occurs in the rows
+    that learn holds for, which may be never."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            learns = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)
+            for row, _, text, word, two, three, read, long in _runs(batch.column(0)):
+                own = learns[row + text]
+                before, pair = np.roll(word, 1), np.roll(two, 1)
+                for level, key, hist, low, ok in ((1, word, None, None, read), (2, two, before, word, read), (3, three, pair, two, long)):
+                    at = np.flatnonzero(ok)
+                    one, first, which = np.unique(key[at], return_index=True, return_inverse=True)
+                    c = np.bincount(which, own[at], len(one)).astype(np.int64)
+                    hist, low = (np.zeros(len(one), np.int64) if x is None else x[at[first]].view(np.int64) for x in (hist, low))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), level, np.int8)), *map(pa.array, (one.view(np.int64), hist, low, c))], _GRAM_NAMES)
+
+    rows = docs.select("text", learn.alias("learn")).mapInArrow(run, "level byte, key long, hist long, low long, c long")
+    return rows.groupBy("level", "key").agg(F.max("hist").alias("hist"), F.max("low").alias("low"), F.sum("c").alias("c"))
+
+
+def _weights(arcs: DataFrame, held: DataFrame, off: float) -> DataFrame:
+    """(hist, ch, back): of arcs (hist, c, lower), lower being the log-probability after the shorter
+    history, the weight of each history's failure arc; held (key, c) is how often each was read."""
+    sums = arcs.groupBy("hist").agg(F.sum(F.col("c") - off).alias("kept"), F.sum(F.pow(F.lit(10.0), "lower")).alias("below"))
+    both = sums.join(held.select(F.col("key").alias("hist"), F.col("c").alias("ch")), "hist")
+    rest = lambda x: F.greatest(1 - x, F.lit(1e-9))
+    return both.select("hist", "ch", F.log10(rest(F.col("kept") / F.col("ch")) / rest(F.col("below"))).alias("back"))
+
+
+def _next(grams: DataFrame, below: DataFrame, off: float, name: str) -> DataFrame:
+    """(key, hist, c, lp) of the runs of one level; below has key, c and lp of the level below."""
+    lower = small(below.select(F.col("key").alias("low"), F.col("lp").alias("lower")))
+    arcs = grams.where(F.col("c") >= MIN_COUNT).join(lower, "low")
+    weights = small(written(_weights(arcs, below, off), f"{name}-states"))
+    lp = F.when(F.col("c") >= MIN_COUNT, F.log10((F.col("c") - off) / F.col("ch"))).otherwise(F.coalesce("back", F.lit(0.0)) + F.col("lower"))
+    return written(grams.join(lower, "low").join(weights, "hist", "left").select("key", "hist", "c", lp.alias("lp")), name)
+
+
+def model(docs: DataFrame, learn: Column) -> tuple[DataFrame, dict]:
+    """(kind, key, c, lp) of every word and every whole history with its next word that docs hold, lp
+    being the log-probability with what failure arcs add, learned of the rows that learn holds for; and
+    the figures: N tokens, V distinct ones, and what a count is discounted by."""
+    grams = written(gram_counts(docs, learn), "grams")
+    level = lambda k: grams.where(F.col("level") == k)
+    row = level(1).agg(F.sum("c"), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    n, v, one, two = (int(x or 0) for x in row)
+    off = min(0.9, max(0.1, one / (one + 2 * two))) if one + two else 0.5
+    figures = {"N": n, "V": v, "off": off, "unseen": float(np.log10(off * v / n)) if n else 0.0}
+    lp = F.when(F.col("c") > 0, F.log10((F.col("c") - off) / max(n, 1))).otherwise(figures["unseen"])
+    words = level(1).select("key", "c", lp.alias("lp"))
+    pairs = _next(level(2), words, off, "pairs")
+    runs = _next(level(3), pairs, off, "runs")
+    end = int(np.uint64(tokens.hash_of(END.encode())).astype(np.int64))
+    kind = lambda df, k: df.select(F.lit(k).alias("kind"), "key", "c", "lp")
+    return kind(words, _WORD).union(kind(pairs.where(F.col("hist") == end), _GRAM)).union(kind(runs, _GRAM)), figures
+
+
+def _cache(values: DataFrame, kind: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, counts and log-probabilities of what occurs at least so often."""
+    rows = values.where((F.col("kind") == kind) & (F.col("c") >= max(least, 1.0))).select("key", "c", "lp").toPandas()
+    keys = rows["key"].to_numpy(np.int64).view(np.uint64)
+    by = np.argsort(keys)
+    return keys[by], rows["c"].to_numpy(np.float64)[by], rows["lp"].to_numpy(np.float64)[by]
+
+
+def _found(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(of), bool), np.zeros(len(of), np.int64)
+    at = np.minimum(np.searchsorted(keys, of), len(keys) - 1)
+    return keys[at] == of, at
+
+
+def score(docs: DataFrame, values: DataFrame, figures: dict, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of docs.
 
     base_score adds up log10((c + 1) / (N + V + 1)) of the tokens, c being the training count; score is
     the automaton's log10 probability of the text and its end; n_known counts the tokens with c > 0.
     A null or empty text has its end as only token. Repeated rows stay repeated; other columns are
-    ignored; without training texts every score is 0 (one outcome, certain)."""
-    n, v, off = figures["N"], figures["V"], figures["off"]
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    floor = np.log10(n + v + 1)
+    ignored; without training texts every score is 0 (one outcome, certain). The shares say what is
+    cached and change no figure."""
+    n, v = figures["N"], figures["V"]
+    cached = _cache(values, _WORD, word_share * n), _cache(values, _GRAM, gram_share * n)
+    shared = docs.sparkSession.sparkContext.broadcast(cached)
+    floor = float(np.log10(n + v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        base1 = np.log10(m.counts + 1) - floor
+        (words, counts, _), (grams, _, logps) = shared.value
+        base1 = np.log10(counts + 1) - floor
         for batch in batches:
-            for row, word, begin, data, starts, ends, place in _sentences(batch.column(2), m):
-                logp = m.read(word)
-                known = word >= 0
-                base = np.where(known, base1[np.maximum(word, 0)], 0.0)
-                seen = known & (m.counts[np.maximum(word, 0)] > 0)
+            for row, begin, text, word, two, three, read, long in _runs(batch.column(2)):
                 count = len(begin)
-                part = [pa.array(np.add.reduceat(x, begin)) for x in (logp, base, seen.astype(np.int64), (word != _BEGIN).astype(np.int64))]
-                ids, keys = batch.column(0).slice(row, count), batch.column(1).slice(row, count)
-                # a text's own figures, on a key that is no word and differs from text to text
-                own = pa.array([f" {k}" for k in keys.to_pylist()], pa.string())
-                one = pa.array(np.ones(count, np.int64))
-                yield pa.RecordBatch.from_arrays([ids, keys, own, one, *part], _NAMES)
-                rare = np.flatnonzero(word[place] == _RARE)
-                for at in range(0, len(rare), 100_000):
-                    some = rare[at : at + 100_000]
-                    doc = np.searchsorted(begin, place[some], "right") - 1
-                    size = ends[some] - starts[some]
-                    offs = np.concatenate([[0], np.cumsum(size)])
-                    raw = data[np.repeat(starts[some] - offs[:-1], size) + np.arange(offs[-1])]
-                    token = pa.StringArray.from_buffers(len(some), pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(raw))
-                    nil, zero = pa.array(np.zeros(len(some))), pa.array(np.zeros(len(some), np.int64))
-                    take = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), token, zero, nil, nil, zero, zero], _NAMES)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    parts = rows.mapInArrow(run, "doc_id long, key long, token string, own long, score double, base double, known long, n long")
-    hit = parts.join(counts, "token", "left")
-    rare = (F.col("own") == 0)
-    seen = rare & F.col("c").isNotNull()
-    base = F.col("base") + F.when(rare, F.log10(F.coalesce("c", F.lit(0)) + 1.0) - float(floor)).otherwise(0.0)
-    logp = F.col("score") + F.when(seen, F.log10((F.col("c") - off) / max(n, 1))).when(rare, float(figures["unseen"])).otherwise(0.0)
-    sums = hit.groupBy("doc_id", "key").agg(
-        F.sum("own").alias("rows"), F.sum("n").alias("n"), F.sum(F.col("known") + seen.cast("long")).alias("known"),
-        F.sum(base).alias("base"), F.sum(logp).alias("logp"),
-    )
+                ids, rows = batch.column(0).slice(row, count), batch.column(1).slice(row, count)
+                gram = np.where(long, three, two)
+                known, at = _found(words, word)
+                has, place = _found(grams, gram)
+                known, has = known & read, has & read
+                base = np.where(known, base1[at] if len(words) else 0.0, 0.0)
+                logp = np.where(has, logps[place] if len(grams) else 0.0, 0.0)
+                sums = [np.add.reduceat(x, begin) for x in (logp, base, known.astype(np.int64), read.astype(np.int64))]
+                # a text's own figures, on a key that differs from text to text
+                own = rows.to_numpy(zero_copy_only=False).view(np.uint64) + tokens.mix(np.arange(row, row + count))
+                yield pa.RecordBatch.from_arrays([rows, pa.array(own.view(np.int64)), pa.array(np.zeros(count, np.int32)), ids, *map(pa.array, sums)], _NAMES)
+                for kind, key, miss in ((_WORD, word, read & ~known), (_GRAM, gram, read & ~has)):
+                    where = np.flatnonzero(miss)
+                    for k in range(0, len(where), 100_000):
+                        some = where[k : k + 100_000]
+                        zero, nil = pa.array(np.zeros(len(some))), pa.array(np.zeros(len(some), np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [rows.take(pa.array(text[some])), pa.array(key[some].view(np.int64)), pa.array(np.full(len(some), kind, np.int32)), pa.nulls(len(some), pa.int64()), zero, zero, nil, nil], _NAMES
+                        )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    parts = rows.mapInArrow(run, "row long, key long, kind int, doc_id long, score double, base double, known long, n long")
+    hit = parts.join(values.select("kind", "key", "c", "lp"), ["kind", "key"], "left")
+    word, gram = F.col("kind") == _WORD, F.col("kind") == _GRAM
+    base = F.col("base") + F.when(word, F.log10(F.coalesce("c", F.lit(0)) + 1.0) - floor).otherwise(0.0)
+    logp = F.col("score") + F.when(gram, F.col("lp")).otherwise(0.0)
+    sums = hit.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.count_if(F.col("kind") == 0).alias("rows"), F.sum("n").alias("n"),
+        F.sum(F.col("known") + F.when(word & (F.col("c") > 0), 1).otherwise(0)).alias("known"), F.sum(base).alias("base"), F.sum(logp).alias("logp"),
+    )
     each = sums.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     whole = lambda c: F.expr(f"{c} div rows")
     return each.select(
@@ -264,12 +371,11 @@ def score(docs: DataFrame, counts: DataFrame, automaton: Automaton, figures: dic
     )
 
 
-_NAMES = ["doc_id", "key", "token", "own", "score", "base", "known", "n"]
+_NAMES = ["row", "key", "kind", "doc_id", "score", "base", "known", "n"]
+_GRAM_NAMES = ["level", "key", "hist", "low", "c"]
 
 
 def fit_and_score(docs: DataFrame, learn: Column, **how) -> DataFrame:
     """score() of all docs by a model of those that the condition learn holds for."""
-    texts = docs.where(learn).select("text")
-    counts = written(token_counts(texts), "tokens")
-    automaton, figures = train(texts, counts, **how)
-    return score(docs, counts, automaton, figures)
+    values, figures = model(docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("_learn")), F.col("_learn"))
+    return score(docs, values, figures, **how)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellwright.llm import decontamination, language_id, language_model, mixing, queries, toxicity
+from cellwright.llm import decontamination, language_id, language_model, mixing, queries, tokens, toxicity
 
 from ..conftest import DATA
 from .test_dedup import WORD, low
@@ -109,6 +109,24 @@ def test_language_model_edge_cases(spark):
     assert language_model.fit_and_score(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_model_keeps_rare_grams_at_any_size(spark):
+    # n-grams that occur twice count the same however much other text there is
+    rare = "quite unusual phrase here"
+    docs = docs_of(spark, [(1, rare), (2, rare), *[(i, " ".join(f"w{(i * 7 + k * k) % 97}" for k in range(400))) for i in range(3, 40)], (50, f"{rare} w1 new"), (51, "phrase unusual w3 w3")])
+    learn = F.col("doc_id") < 50
+    texts = docs.where(learn).select("text")
+    m, f = language_model.train(texts, language_model.written(language_model.token_counts(texts), "t"), word_share=0.0, gram_share=0.0)
+    number = {int(h): i for i, h in enumerate(m.hashes)}
+    want = {}
+    for d in docs.collect():
+        word = np.array([number.get(tokens.hash_of(w.encode()), -1) for w in [*SPACE.findall(low(d.text)), " "]])
+        run = m.read(np.concatenate([[-2], word]))[1:]
+        want[d.doc_id] = run.sum() + f["unseen"] * (word < 0).sum()
+    for share in (0.0, 2e-3, 0.5, 2.0):  # what is cached, from everything to nothing, changes nothing
+        got = {r.doc_id: r.score for r in language_model.fit_and_score(docs, learn, word_share=share, gram_share=share).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = queries.op6_language_id(spark, DATA).join(docs, "doc_id").where("held_out and lang is not null").collect()
