@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import components, small, written
 
+#: Lines of MIN_CHARS characters may differ by EDITS edits, shorter ones by fewer in proportion.
 EDITS, MIN_CHARS = 2, 20
 #: Lines that share a key beyond which finer keys are used, and the segments of these.
 HOT, FINE_PARTS = 24, 8
@@ -187,6 +188,25 @@ def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return both.where(close).select("a", "b")
 
 
+def scaled_links(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(a, b), a < b: the ids of distinct lines (id, line, size) within the edits that the shorter one's
+    length allows: edits from min_chars characters on, below that edits * size / min_chars, rounded down.
+    There is a join for each number of edits, of the lengths that it can link."""
+    out = lines.sparkSession.createDataFrame([], "a long, b long")
+    for e in range(1, edits + 1):
+        least = max(-(-e * min_chars // edits), e + 1)
+        if e == edits:
+            out = out.union(edit_links(lines.where(F.col("size") >= least), e))
+            continue
+        beyond = -(-(e + 1) * min_chars // edits)  # a length that allows one more edit
+        some = lines.where((F.col("size") >= least) & (F.col("size") < beyond + e))
+        links = edit_links(some, e)
+        for c in "ab":
+            links = links.join(some.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}")), c)
+        out = out.union(links.where(F.least("size_a", "size_b") < beyond).select("a", "b"))
+    return out
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.where("line is not null").withColumn("line", F.trim("line"))
@@ -196,19 +216,19 @@ def _lines(docs: DataFrame) -> DataFrame:
 def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, key, line_no, class_doc, class_line, n_links, kept) for every line of every document.
 
-    Lines are what newlines separate, without spaces around. Lines of at least min_chars characters
-    that are equal or within edits of each other, directly or over others, are a class; class_doc and
-    class_line name its first line, of the smallest doc_id and line number, the only one kept.
-    n_links is how many other distinct lines are within edits. Shorter lines are classes of their own
-    and kept. A null text has no line, an empty one a single empty line. Lines of rows without doc_id
+    Lines are what newlines separate, without spaces around. Lines of any length but none that are equal
+    or linked by scaled_links, directly or over others, are a class; class_doc and class_line name its
+    first line, of the smallest doc_id and line number, the only one kept. n_links is how many other
+    distinct lines are linked. Empty lines are classes of their own and kept. A null text has no line,
+    an empty one a single empty line. Lines of rows without doc_id
     come last. Rows that repeat doc_id and text are copies: each has a kept line where one has. key is
     a hash of the text, for rows that share only a doc_id."""
     lines = _lines(docs)
-    able = lines.where(F.col("size") >= max(min_chars, edits + 1))
+    able = lines.where(F.col("size") > 0)
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LATE))
     one = able.groupBy("line").agg(F.min(order).alias("doc"), F.count("*").alias("n"))
     one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), "doc", "n"), "lines")
-    links = written(edit_links(one.select("id", "line", "size"), edits), "links")
+    links = written(scaled_links(one.select("id", "line", "size"), edits, min_chars), "links")
     group = components(links)
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     shared = one.join(group.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")

@@ -157,6 +157,22 @@ def test_lines_of_documents(spark):
     assert [r.text for r in line_dedup.drop_repeated_lines(nobody).collect()] == [a]
 
 
+def test_short_lines_are_classes_too(spark):
+    lines = ["x", "x", "yes", "yes!", "yes", "", "", "twelve chars", "twelve char", "twelve chair", "elve chars", "nine char", "nine chars", "a line of nineteen.", "a line of nineteen.!", "a line of ninetee!", "a line of nineteen.!!"]
+    docs = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "doc_id long, text string")
+    allowed = lambda s: min(2, len(s) // 10)
+    links = [
+        (i, j) for i, a in enumerate(lines) for j, b in enumerate(lines)
+        if i < j and a and b and edit(a, b) <= min(allowed(a), allowed(b))
+    ]
+    got = {r.doc_id: (r.class_doc, r.kept, r.n_links) for r in line_dedup.line_classes(docs).collect()}
+    top = classes(range(len(lines)), links)
+    near = {i: len({lines[k] for e in links if i in e for k in e} - {lines[i]}) for i in top}
+    assert got == {i: (c, c == i, near[i]) for i, c in top.items()}
+    assert got[1] == (0, False, 0) and got[4] == (2, False, 0) and got[6][1] and got[9][0] == 7
+    assert sorted(r.doc_id for r in line_dedup.drop_repeated_lines(docs).collect()) == [i for i, c in top.items() if c == i]
+
+
 def test_embeddings_are_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(30, 16))
