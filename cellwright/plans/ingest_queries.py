@@ -410,7 +410,7 @@ def _(t: Tables) -> DataFrame:
     beats = days.select(F.lit("s").alias("session_id"), F.lit("beat").alias("kind"), "us", total.alias("published"))
     rows.union(beats).write.parquet(f"{path}/in")
     stream = t.spark.readStream.schema("session_id string, kind string, us long, published long").parquet(f"{path}/in")
-    return _run(t, ST.sync_stream(stream))
+    return _run(t, ST.sync_stream(stream, DAY))
 
 
 @query("src_live_topics", "SELECT seq, topic FROM M WHERE topic LIKE '%/bms/%'")

@@ -83,18 +83,44 @@ def current_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def sync_stream(marks: DataFrame) -> DataFrame:
+def received_counts(batches: Iterator[pd.DataFrame], every_us: int, most: int = 100_000) -> Iterator[pd.DataFrame]:
+    """Marks with n: of rows one mark for a session and interval, at the interval's end, with their count n;
+    beats as they are. No more than about most counts are held before they are given out."""
+    held = None
+
+    def given(counts: pd.Series) -> pd.DataFrame:
+        out = counts.rename("n").reset_index().assign(kind="row", published=0)
+        return out[["session_id", "kind", "us", "published", "n"]]
+
+    for pdf in batches:
+        beats = pdf[pdf["kind"] != "row"]
+        if len(beats):
+            yield beats.assign(n=0)[["session_id", "kind", "us", "published", "n"]]
+        rows = pdf[pdf["kind"] == "row"]
+        counts = rows.assign(us=rows["us"] // every_us * every_us + every_us - 1).groupby(["session_id", "us"], dropna=False).size()
+        held = counts if held is None else held.add(counts, fill_value=0).astype("int64")
+        if len(held) > most:
+            yield given(held)
+            held = None
+    if held is not None and len(held):
+        yield given(held)
+
+
+def sync_stream(marks: DataFrame, every_us: int = 1) -> DataFrame:
     """Loss by session from a stream of rows (session_id, kind, us, published): kind "row" is a message
     received, "beat" a heartbeat with the session's published total. After each beat: session_id, us,
-    published, received (both since the session's first beat), loss. A new session starts anew."""
+    published, received (both since the session's first beat), loss. A new session starts anew.
+
+    Each task counts its rows by intervals of every_us first, so a session's group reads a count for each
+    task and interval, not its rows. Beats must be at the last microsecond of an interval."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         base, got = state.get if state.exists else (None, 0)
         pdf = pd.concat(list(batches)).sort_values(["us", "kind"], ascending=[True, False], kind="stable")
         out = []
-        for kind, us, published in zip(pdf["kind"], pdf["us"], pdf["published"], strict=True):
+        for kind, us, published, n in zip(pdf["kind"], pdf["us"], pdf["published"], pdf["n"], strict=True):
             if kind == "row":
-                got += base is not None
+                got += int(n) if base is not None else 0
             elif base is None:
                 base = int(published)
             else:
@@ -103,4 +129,7 @@ def sync_stream(marks: DataFrame) -> DataFrame:
         yield pd.DataFrame(out, columns=["session_id", "us", "published", "received", "loss"])
 
     schema = "session_id string, us long, published long, received long, loss long"
-    return marks.groupBy("session_id").applyInPandasWithState(run, schema, "base long, got long", "append", "NoTimeout")
+    counted = marks.select("session_id", "kind", "us", "published").mapInPandas(
+        lambda batches: received_counts(batches, every_us), "session_id string, kind string, us long, published long, n long"
+    )
+    return counted.groupBy("session_id").applyInPandasWithState(run, schema, "base long, got long", "append", "NoTimeout")
