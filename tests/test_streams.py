@@ -1,7 +1,10 @@
 """Streams and files of very many rows of one session or unit."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from cellwright.plans import ingest_queries
+from cellwright.plans.registry import Tables
 from cellwright.streaming import jobs
 
 
@@ -12,3 +15,17 @@ def test_received_rows_are_counted_before_the_state_step():
     assert len(beats) == 50 and set(beats.published) == {7} and set(beats.us) == {99}
     assert sorted(zip(counts.us, counts.n, strict=True)) == [(100 * k + 99, 50 * (100 if k < 9 else 99)) for k in range(10)]
     assert sum(x.n.sum() for x in jobs.received_counts(iter([rows(7) for _ in range(50)]), 100, most=3)) == 50 * 999
+
+
+def test_annotated_tables_of_one_unit_are_bounded(spark, tmp_path):
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    events = spark.range(25_000).select(F.col("id").alias("event_id"), at.alias("ts"), F.lit(1).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    t = Tables(spark, str(tmp_path))
+    path = ingest_queries._annotated(t)
+    files = [r.value for r in spark.read.text(path, wholetext=True).collect()]
+    tables = [x for f in files for x in f.split("#group")[1:]]
+    assert len(tables) == 3 and max(x.count("\n") for x in tables) <= 10_000 + 5
+    from cellwright.sources import read_annotated_csv
+
+    assert read_annotated_csv(spark, path).count() == 25_000
