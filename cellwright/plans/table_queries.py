@@ -336,6 +336,11 @@ def _(t: Tables) -> DataFrame:
     return t.points.select("seq", F.when(F.col("value_i") % 5 != 0, F.col("us")).alias("us")).orderBy(F.col("us").asc_nulls_last(), "seq").limit(900)
 
 
+@query("sort_nulls_last_all", "SELECT seq, CASE WHEN value_i % 5 = 0 THEN NULL ELSE us END AS us FROM P")
+def _(t: Tables) -> DataFrame:
+    return t.points.select("seq", F.when(F.col("value_i") % 5 != 0, F.col("us")).alias("us")).orderBy(F.col("us").asc_nulls_last(), "seq")
+
+
 @query("sample_stride", """, N AS (SELECT *, row_number() OVER (PARTITION BY point_name ORDER BY us, seq) - 1 AS i, count(*) OVER (PARTITION BY point_name) AS n FROM P)
 SELECT seq, point_name FROM N WHERE i % greatest(1, n // 200) = 0""")
 def _(t: Tables) -> DataFrame:
@@ -371,6 +376,17 @@ def _(t: Tables) -> DataFrame:
     return S.to_wide(rows, ["hour"], "signal", "value_f", [f"u{u}__{p}" for u in range(3) for p in _POINTS], ["seq"])
 
 
+_SIGNALS = {p: f"{'bms_1' if p in ('click', 'view') else 'pcs_1'}__{p}" for p in _POINTS}
+
+
+@query("pivot_all_units", """, R AS (SELECT *, row_number() OVER (PARTITION BY us // 3600000000, unit_id, point_name ORDER BY seq DESC) AS rn FROM P)
+SELECT unit_id, us // 3600000000 AS hour, """ + ", ".join(f"max(CASE WHEN rn = 1 AND point_name = '{p}' THEN value_f END) AS {s}" for p, s in _SIGNALS.items()) + " FROM R GROUP BY ALL")
+def _(t: Tables) -> DataFrame:
+    signal = F.concat(F.when(F.col("point_name").isin("view", "click"), "bms_1__").otherwise("pcs_1__"), "point_name")
+    rows = t.points.select("unit_id", F.expr("us div 3600000000").alias("hour"), signal.alias("signal"), "value_f", "seq")
+    return S.to_wide(rows, ["unit_id", "hour"], "signal", "value_f", list(_SIGNALS.values()), ["seq"])
+
+
 @query("pivot_fields", "SELECT unit_id, us, " + ", ".join(f"max(CASE WHEN point_name = '{p}' THEN value_i END) AS {p}" for p in _POINTS) + " FROM P GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
     return S.to_wide(t.points, ["unit_id", "us"], "point_name", "value_i", _POINTS)
@@ -407,6 +423,12 @@ def _(t: Tables) -> DataFrame:
     return R.union_by_name(parts["fast"], parts["slow"])
 
 
+@query("split_fast_slow_all", "SELECT us, tie, voltage, power, NULL::DOUBLE AS temperature, NULL::DOUBLE AS soc FROM C UNION ALL SELECT us, tie, NULL, NULL, temperature, soc FROM C")
+def _(t: Tables) -> DataFrame:
+    parts = S.split_by_class(t.cells.select("us", "tie", "voltage", "power", "temperature", "soc"), ["us", "tie"], {"fast": ["v*", "p*"]}, "slow")
+    return R.union_by_name(parts["fast"], parts["slow"])
+
+
 @query("long_per_field", "SELECT us, tie, part, 'voltage' AS field, round(voltage / 1000, 6) AS value FROM C WHERE voltage > 4000 UNION ALL SELECT us, tie, part, 'power', round(power / 100, 6) FROM C WHERE voltage > 4000")
 def _(t: Tables) -> DataFrame:
     rows = t.cells.where("voltage > 4000").select("us", "tie", "part", F.round(F.col("voltage") / 1000, 6).alias("voltage"), F.round(F.col("power") / 100, 6).alias("power"))
