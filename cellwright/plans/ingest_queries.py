@@ -307,7 +307,20 @@ def _(t: Tables) -> DataFrame:
 
 @query("compact_inject_unit")
 def _(t: Tables) -> DataFrame:
-    return t.table("events").select("event_id", F.regexp_extract(F.col("_metadata.file_name"), r"^([^_.]+)[_.]", 1).alias("unit_id"))
+    path = scratch(t.spark)
+    # files by unit, twenty units of all users; named for the unit in one folder, as Spark names no files
+    units = t.table("events").withColumn("unit", F.concat(F.lit("u"), F.col("user_id") % 20))
+    units.write.partitionBy("unit").parquet(f"{path}/by-unit")
+    fs = t.spark._jvm.org.apache.hadoop.fs
+    here = fs.Path(path).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    here.mkdirs(fs.Path(f"{path}/leaf"))
+    for f in here.globStatus(fs.Path(f"{path}/by-unit/unit=*/part-*.parquet")):
+        old = f.getPath()
+        unit = old.getParent().getName().removeprefix("unit=")
+        if not here.rename(old, fs.Path(f"{path}/leaf/{unit}_{old.getName()}")):
+            raise RuntimeError(f"{old} was not moved")
+    compact(t.spark, f"{path}/leaf", min_files=2, unit_from_name=True)
+    return t.spark.read.parquet(f"{path}/leaf").select("event_id", "unit_id")
 
 
 # ---- streams: the same tables by a file stream, read to their end

@@ -179,7 +179,13 @@ def _(t: Tables) -> DataFrame:
 
 @query("compact_ffill", _FILLED)
 def _(t: Tables) -> DataFrame:
-    return J.ffill(_gaps(t), ["unit_id"], ORDER, ["v"]).select("seq", "v")
+    from ..sources import compact
+    from .ingest_queries import scratch
+
+    path = scratch(t.spark)
+    _gaps(t).repartition(8).write.parquet(path)
+    compact(t.spark, path, min_files=2, ffill_by=["unit_id"], ffill_order=ORDER)
+    return t.spark.read.parquet(path).select("seq", "v")
 
 
 @query("win_cumsum", f", B AS (SELECT point_name, us // {DAY} * {DAY} AS bucket, count(*) AS n FROM P GROUP BY ALL) SELECT point_name, bucket, CAST(sum(n) OVER (PARTITION BY point_name ORDER BY bucket) AS BIGINT) AS total FROM B")

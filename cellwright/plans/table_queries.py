@@ -453,7 +453,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("dq_partition_date")
 def _(t: Tables) -> DataFrame:
-    per = t.table("events").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last"))
+    from ..sources import with_event_date, write_store
+    from .ingest_queries import scratch
+
+    path = scratch(t.spark)
+    write_store(with_event_date(t.table("events")), path, ("date",))
+    per = t.spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last"))
     return per.withColumn("folder", F.regexp_extract("file", r"date=(\d{4}-\d{2}-\d{2})", 1)).withColumn("ok", F.coalesce((F.col("first") == F.col("folder").try_cast("date")) & (F.col("last") == F.col("first")), F.lit(False)))
 
 

@@ -14,3 +14,14 @@ def test_whole_tables(spark):
     wide = plans.QUERIES["pivot_all_units"](spark, DATA)
     assert wide.select("unit_id").distinct().count() == events.select("user_id").distinct().count()
     assert plans.QUERIES["split_fast_slow_all"](spark, DATA).count() == 2 * spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+
+
+def test_compaction_and_date_check_run_on_stores(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    filled = plans.QUERIES["compact_ffill"](spark, DATA)
+    assert filled.count() == events.count() and all("/compact-" in f for f in filled.inputFiles())
+    units = plans.QUERIES["compact_inject_unit"](spark, DATA)
+    want = {r.event_id: f"u{r.user_id % 20}" for r in events.collect()}
+    assert {r.event_id: r.unit_id for r in units.collect()} == want and all("/compact-" in f for f in units.inputFiles())
+    dates = plans.QUERIES["dq_partition_date"](spark, DATA).collect()
+    assert all(r.ok for r in dates) and {r.folder for r in dates} == {str(r.d) for r in events.select(F.to_date("ts").alias("d")).distinct().collect()}
