@@ -246,18 +246,24 @@ def _rest(shared: DataFrame, group: DataFrame, texts: DataFrame, least: float, s
     return pairs.union(by_element).union(by_bound).distinct()
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, class_id, kept) for every row of docs (doc_id, text, ...).
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, class_id, kept) for every row of docs (doc_id, text, ...), see text_classes."""
+    return text_classes(docs, **how).drop("digest")
+
+
+def text_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, digest, class_id, kept) for every row of docs (doc_id, text, ...), digest being the text's.
 
     class_id is the smallest doc_id of the documents that links of similarity >= least reach, kept
-    whether it is the document's own. Equal texts are one node with the smallest of their ids, so
+    whether it is the document's own. Equal texts are one node, headed by the smallest of their ids, so
     groups of exact copies of any size cost nothing after that. A document without words or with a
     null text is a class of its own and kept; a row without doc_id has a null class and is kept.
     Rows that repeat a doc_id each get the class of their own text. Other columns are ignored; an
     empty table gives an empty one."""
     marks = written(signatures(docs, bands, rows, size), "darts")
-    heads = written(marks.groupBy("digest").agg(F.min("doc_id").alias("node")), "heads")
-    nodes = marks.join(heads, "digest").where("doc_id = node")
+    heads = marks.groupBy("digest").agg(F.min("doc_id").alias("head"))
+    heads = written(heads.select(F.monotonically_increasing_id().alias("node"), "digest", "head"), "heads")
+    nodes = marks.join(heads, "digest").where("doc_id = head")
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).distinct()
     keys = written(keys, "bands")
 
@@ -269,10 +275,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     shared = written(shared.join(tops, ["band", "key"]), "tops")
     first = written(shared.where("node <> top").select(*_ordered("node", "top")).distinct(), "pairs")
 
-    wanted = shared.select("node").distinct()
-    named = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("node"), "text", F.md5("text").alias("digest"))
-    texts = named.join(small(wanted), "node", "left_semi")
-    texts = written(texts.dropDuplicates(["node", "digest"]).select("node", "text"), "texts")
+    wanted = written(heads.join(small(shared.select("node").distinct()), "node", "left_semi"), "wanted")
+    named = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("head"), "text", F.md5("text").alias("digest"))
+    texts = named.join(small(wanted), ["digest", "head"])
+    texts = written(texts.dropDuplicates(["node"]).select("node", "text"), "texts")
     links = written(_verified(first, texts, least, size), "links")
     group = written(components(links), "classes")
     rest = _rest(shared, group, texts, least, size).join(first, ["a", "b"], "left_anti")
@@ -280,13 +286,17 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     if more.limit(1).count():
         group = written(components(links.union(more)), "classes")
 
-    named = heads.join(group, "node", "left").select("digest", F.coalesce("component", "node").alias("class_id"))
+    member = heads.join(group, "node")
+    first_id = member.groupBy("component").agg(F.min("head").alias("first_id"))
+    member = member.join(first_id, "component").select("node", "first_id")
+    named = heads.join(member, "node", "left").select("digest", F.coalesce("first_id", "head").alias("class_id"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"))
-    out = out.join(named, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
-    return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    out = out.join(named, "digest", "left").select("doc_id", "digest", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+    return out.select("doc_id", "digest", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs of which near_duplicates keeps the document, with their columns."""
-    gone = near_duplicates(docs, **how).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    gone = text_classes(docs, **how).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest")).distinct()
+    same = (docs["doc_id"].cast("long") == gone["_gone"]) & (F.md5(docs["text"]) == gone["_digest"])
+    return docs.join(gone, same, "left_anti")

@@ -95,6 +95,15 @@ def test_near_duplicates_edge_cases(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_different_texts_of_one_id_are_apart(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"v{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, base), (2, base.replace("w7 ", "q ")), (2, other), (3, other.replace("v9 ", "q "))], "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False)]
+    assert sorted((r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs).collect()) == [(1, base), (2, other)]
+
+
 def test_a_large_group_of_near_copies_is_one_class(spark):
     rng = random.Random(2)
     base = [f"w{i}" for i in range(120)]
