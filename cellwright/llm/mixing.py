@@ -8,6 +8,8 @@ all documents; what comes to the driver is one number for each domain, or pair o
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +82,8 @@ def fit_rates(soft: DataFrame, targets: list[float], tolerance: float = 1e-6, ma
     The unknowns are square root of tokens times rate, so that long and short documents move alike,
     and residuals are measured by the inverse of the documents' Gram matrix; the gradient's Lipschitz
     constant is then 1 and a full step is taken each time. The end is reached when every expected
-    total is within tolerance of its target, relative to the largest, or after max_steps."""
+    total is within tolerance of its target, relative to the largest, or after max_steps, which warns
+    with what the largest difference then is."""
     k = len(targets)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     gram = soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first() if k else ()
@@ -88,12 +91,16 @@ def fit_rates(soft: DataFrame, targets: list[float], tolerance: float = 1e-6, ma
     for (i, j), x in zip(pairs, gram, strict=True):
         g[i, j] = g[j, i] = x or 0.0
     inverse, goal, steps = np.linalg.pinv(g, hermitian=True), np.array(targets), []
-    for _ in range(max_steps if k else 0):
+    for step in range(max_steps + 1 if k else 0):
         rate = rate_of(steps, k)
         now = soft.select("n_tokens", rate.alias("r"), *[f"p{i}" for i in range(k)]).agg(*[F.sum(F.col("n_tokens") * F.col("r") * F.col(f"p{i}")) for i in range(k)]).first()
         off = np.array([x or 0.0 for x in now]) - goal
         if np.abs(off).max() <= tolerance * max(goal.max(), 1.0):
             break
+        if step == max_steps:
+            left = np.abs(off).max() / max(goal.max(), 1.0)
+            warnings.warn(f"mixing targets missed after {max_steps} steps by {left:.3g} of the largest", RuntimeWarning, stacklevel=2)
+            break
         steps.append(inverse @ off)
     return steps
 

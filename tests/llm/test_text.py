@@ -127,6 +127,12 @@ def test_language_model_keeps_rare_grams_at_any_size(spark):
         assert got == pytest.approx(want, rel=1e-9)
 
 
+def test_missed_mixing_targets_are_reported(spark):
+    soft = spark.createDataFrame([(100, 0.9, 0.1), (50, 0.4, 0.6), (10, 0.2, 0.8)], "n_tokens long, p0 double, p1 double")
+    with pytest.warns(RuntimeWarning, match="missed after 1 steps"):
+        assert len(mixing.fit_rates(soft, [0.0, 160.0], max_steps=1)) == 1
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = queries.op6_language_id(spark, DATA).join(docs, "doc_id").where("held_out and lang is not null").collect()
