@@ -29,6 +29,8 @@ from .common import components, small, written
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
 #: Nodes of a bucket up to which all its pairs of different classes are compared.
 CROWD = 24
+#: How often elements that many texts of a crowd share are made buckets of their own.
+ROUNDS = 3
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -206,44 +208,102 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _rest(shared: DataFrame, group: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
-    """Pairs (a, b) of different classes that meet in a bucket and may be as similar as least.
+def _sides_of(part: DataFrame, side: str) -> DataFrame:
+    return part.withColumnsRenamed({"b": side, "c": f"c{side}", "weight": f"w{side}", "common": f"o{side}", "left": f"l{side}"})
+
+
+def _references(crowd: DataFrame) -> DataFrame:
+    """(a, b, c): the nodes b, of class c, of crowded buckets (node, top, met, c), and the text a that each
+    is held against: the top of its bucket, or what that top itself meets in two bands or more and more
+    others meet, so that the buckets of one crowd have one reference and not one for each band."""
+    seen = crowd.groupBy("node", "top").agg(F.count("*").alias("bands"), F.max("met").alias("met"))
+    tops = crowd.select(F.col("top").alias("node")).distinct()
+    better = seen.join(tops, "node", "left_semi").where("bands > 1 or node = top")
+    better = written(better.groupBy("node").agg(F.max_by("top", F.struct("met", -F.col("top"))).alias("ref")), "references")
+    once = better.withColumnsRenamed({"node": "top", "ref": "next"})
+    twice = better.withColumnsRenamed({"node": "next", "ref": "a"})
+    to = once.join(twice, "next", "left").select("top", F.coalesce("a", "next").alias("a"))
+    return crowd.join(to, "top").select("a", F.col("node").alias("b"), "c").distinct()
+
+
+def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of different classes c that meet in a bucket of held (band, key, node, n, top, met, c)
+    and may be as similar as least; and smaller buckets (band, key, node, n) whose pairs are left to be found.
 
     In buckets of up to CROWD nodes that is all such pairs. In larger ones each node is held against
-    the bucket's top: two nodes that have no element in common of which both have more than the top
-    share no more than either shares with the top. So a pair either shares such an element, and is
+    a reference: two nodes that have no element in common of which both have more than the reference
+    share no more than either shares with it. So a pair either shares such an element, and is
     found by the rarest one if what it may share from there on is enough, or has to pass that bound;
-    a crowd of copies of the top passes neither."""
-    held = shared.join(group, "node", "left").select("band", "key", "node", "top", "n", F.coalesce("component", "node").alias("c"))
-    held = written(held, "held")
+    a crowd of copies of the reference passes neither. Elements that more than CROWD nodes have make the
+    smaller buckets; the last time they are joined too."""
     few = held.where(F.col("n") <= CROWD)
     mixed = few.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band", "key")
     few = few.join(mixed, ["band", "key"]).select("band", "key", "node", "c")
     left, right = few.withColumnsRenamed({"node": "x", "c": "cx"}), few.withColumnsRenamed({"node": "y", "c": "cy"})
     pairs = left.join(right, ["band", "key"]).where("cx < cy").select(*_ordered("x", "y"))
 
-    many = held.where(F.col("n") > CROWD).select(F.col("top").alias("a"), F.col("node").alias("b"), "c").distinct()
+    many = written(_references(held.where(F.col("n") > CROWD)), "crowds")
     mixed = many.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
     facts = written(_against(many.join(mixed, "a"), texts, size), "facts")
-    part = facts.select("a", "b", "c", "weight", "common", F.explode(F.arrays_zip("more", "excess")).alias("z"))
-    part = part.select("a", "b", "c", "weight", "common", F.col("z.more").alias("e"), F.col("z.excess").alias("excess"))
+    # a pair of different classes has a side that is not of the reference's class
+    own = held.select(F.col("node").alias("a"), F.col("c").alias("ca")).distinct()
+    facts = facts.join(own, "a", "left").withColumn("stray", ~F.col("c").eqNullSafe(F.col("ca"))).drop("ca")
+
+    part = facts.select("a", "b", "c", "stray", "weight", "common", F.explode(F.arrays_zip("more", "excess")).alias("z"))
+    part = part.select("a", "b", "c", "stray", "weight", "common", F.col("z.more").alias("e"), F.col("z.excess").alias("excess"))
     met = part.groupBy("a", "e").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     # rare elements first: from the first one that a pair shares on, it shares no more than is left
     onward = Window.partitionBy("a", "b").orderBy("m", "e").rowsBetween(0, Window.unboundedFollowing)
     part = part.join(met.select("a", "e", "m"), ["a", "e"]).withColumn("left", F.sum("excess").over(onward))
-    part = written(part.select("a", "b", "c", "weight", "common", "e", "left"), "elements")
-    left = part.withColumnsRenamed({"b": "x", "c": "cx", "weight": "wx", "common": "ox", "left": "lx"})
-    right = part.withColumnsRenamed({"b": "y", "c": "cy", "weight": "wy", "common": "oy", "left": "ly"})
+    part = part.where(F.col("common") + F.col("left") >= least * F.col("weight"))
+    part = written(part.select("a", "b", "c", "stray", "weight", "common", "e", "m", "left"), "elements")
+    rare = part if last else part.where(F.col("m") <= CROWD)
     most = F.least("ox", "oy") + F.least("lx", "ly")
     enough = most >= least * (F.col("wx") + F.col("wy") - most)
-    by_element = left.join(right, ["a", "e"]).where((F.col("cx") < F.col("cy")) & enough).select(*_ordered("x", "y"))
+    left, right = _sides_of(rare.where("stray").drop("stray", "m"), "x"), _sides_of(rare.drop("stray", "m"), "y")
+    by_element = left.join(right, ["a", "e"]).where((F.col("cx") != F.col("cy")) & enough).select(*_ordered("x", "y"))
+
+    # without such an element: what a stray shares with the reference bounds the weight of its partners
     near = facts.where(F.col("common") >= least * F.col("weight")).drop("more", "excess")
-    left = near.withColumnsRenamed({"b": "x", "c": "cx", "weight": "wx", "common": "ox"})
-    right = near.withColumnsRenamed({"b": "y", "c": "cy", "weight": "wy", "common": "oy"})
+    cell = lambda w: F.floor(F.log(w) / F.log(F.lit(1.02))).cast("int")
+    widest = F.col("common") * ((1 + least) / least) - F.col("weight")
+    cells = F.sequence(cell(F.col("weight") * least) - 1, cell(F.greatest(widest, F.col("weight") * least)) + 1)
+    left = _sides_of(near.where("stray").withColumn("cell", F.explode(cells)).drop("stray"), "x")
+    right = _sides_of(near.withColumn("cell", cell(F.col("weight"))).drop("stray"), "y")
     most = F.least("ox", "oy")
     bound = most >= least * (F.col("wx") + F.col("wy") - most)
-    by_bound = left.join(right, "a").where((F.col("cx") < F.col("cy")) & bound).select(*_ordered("x", "y"))
-    return pairs.union(by_element).union(by_bound).distinct()
+    by_bound = left.join(right, ["a", "cell"]).where((F.col("cx") != F.col("cy")) & bound).select(*_ordered("x", "y"))
+
+    hot = part.where(F.col("m") > CROWD) if not last else part.limit(0)
+    hot = hot.select(F.lit(-1).alias("band"), F.xxhash64("a", "e").alias("key"), F.col("b").alias("node"), F.col("m").alias("n"))
+    return pairs.union(by_element).union(by_bound).distinct(), hot
+
+
+def _classes(shared: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
+    """(node, component) of the nodes that buckets shared (band, key, node, n) link."""
+    links = tried = None
+    for turn in range(ROUNDS):
+        # a bucket's top is the node that meets most others over all bands: what near copies are copies of
+        met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+        rows = shared.join(met, "node")
+        tops = rows.groupBy("band", "key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("top"), F.max("met").alias("met"))
+        shared = written(shared.join(tops, ["band", "key"]), "tops")
+        first = shared.where("node <> top").select(*_ordered("node", "top")).distinct()
+        first = written(first if tried is None else first.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = written(_verified(first, texts, least, size), "links")
+        links = found if links is None else links.union(found)
+        group = written(components(links), "classes")
+        held = shared.join(group, "node", "left").select("band", "key", "node", "top", "n", "met", F.coalesce("component", "node").alias("c"))
+        rest, shared = _rest(written(held, "held"), texts, least, size, turn == ROUNDS - 1)
+        tried = first if tried is None else tried.union(first)
+        rest = written(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+        more = written(_verified(rest, texts, least, size), "links")
+        left = turn < ROUNDS - 1 and shared.limit(1).count()
+        if more.limit(1).count():
+            links, tried = links.union(more), tried.union(rest)
+            group = group if left else written(components(links), "classes")
+        if not left:
+            return group
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
@@ -269,22 +329,11 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS,
 
     sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(keys.join(sizes, ["band", "key"]), "buckets")
-    # a bucket's top is the node that meets most others over all bands: what near copies are copies of
-    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    tops = shared.join(met, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("top"))
-    shared = written(shared.join(tops, ["band", "key"]), "tops")
-    first = written(shared.where("node <> top").select(*_ordered("node", "top")).distinct(), "pairs")
-
     wanted = written(heads.join(small(shared.select("node").distinct()), "node", "left_semi"), "wanted")
     named = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("head"), "text", F.md5("text").alias("digest"))
     texts = named.join(small(wanted), ["digest", "head"])
     texts = written(texts.dropDuplicates(["node"]).select("node", "text"), "texts")
-    links = written(_verified(first, texts, least, size), "links")
-    group = written(components(links), "classes")
-    rest = _rest(shared, group, texts, least, size).join(first, ["a", "b"], "left_anti")
-    more = written(_verified(rest, texts, least, size), "links")
-    if more.limit(1).count():
-        group = written(components(links.union(more)), "classes")
+    group = _classes(shared, texts, least, size)
 
     member = heads.join(group, "node")
     first_id = member.groupBy("component").agg(F.min("head").alias("first_id"))
