@@ -181,13 +181,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Da
     return _sides(pairs, texts).mapInArrow(run, "a long, b long")
 
 
-def _against(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _against(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
     """pairs (a, b, c) with weight, the total weight of b, common, that of what it shares with a, and the
-    elements of which b has more than a: more, and by how much: excess."""
+    elements of which b has more than a, in the order of their hashes: more, and by how much: excess. Of
+    these the first lead ones, a fifth of b's weight at most for least = 0.8, hold one that any text which is
+    as similar as least has too, unless common is enough for that alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight, common, more, excess = [], [], [], []
+            weight, common, more, excess, lead = [], [], [], [], []
             for x, y in zip(_text_words(batch.column(0)), _text_words(batch.column(1)), strict=True):
                 (a, wa), (b, wb) = weighted_shingles(x, size), weighted_shingles(y, size)
                 _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -197,11 +199,13 @@ def _against(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                 common.append(both.sum())
                 more.append(b[wb > both].view(np.int64))
                 excess.append((wb - both)[wb > both])
+                onward = np.cumsum(excess[-1][::-1])[::-1]
+                lead.append(int((onward >= least * weight[-1] - common[-1] - 1e-9).sum()))
             cuts = pa.array(np.cumsum([0, *map(len, more)]), pa.int32())
             lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, kind), *x]))) for x, kind in ((more, np.int64), (excess, np.float64))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (2, 3, 4)], pa.array(weight, pa.float64()), pa.array(common, pa.float64()), *lists], ["a", "b", "c", "weight", "common", "more", "excess"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (2, 3, 4)], pa.array(weight, pa.float64()), pa.array(common, pa.float64()), *lists, pa.array(lead, pa.int32())], ["a", "b", "c", "weight", "common", "more", "excess", "lead"])
 
-    return _sides(pairs, texts).mapInArrow(run, "a long, b long, c long, weight double, common double, more array<long>, excess array<double>")
+    return _sides(pairs, texts).mapInArrow(run, "a long, b long, c long, weight double, common double, more array<long>, excess array<double>, lead int")
 
 
 def _ordered(x: str, y: str) -> list:
@@ -242,14 +246,21 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
     left, right = few.withColumnsRenamed({"node": "x", "c": "cx"}), few.withColumnsRenamed({"node": "y", "c": "cy"})
     pairs = left.join(right, ["band", "key"]).where("cx < cy").select(*_ordered("x", "y"))
 
+    if not held.where(F.col("n") > CROWD).limit(1).count():
+        return pairs.distinct(), held.select("band", "key", "node", "n").limit(0)
     many = written(_references(held.where(F.col("n") > CROWD)), "crowds")
     mixed = many.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
-    facts = written(_against(many.join(mixed, "a"), texts, size), "facts")
+    facts = written(_against(many.join(mixed, "a"), texts, least, size), "facts")
     # a pair of different classes has a side that is not of the reference's class
     own = held.select(F.col("node").alias("a"), F.col("c").alias("ca")).distinct()
     facts = facts.join(own, "a", "left").withColumn("stray", ~F.col("c").eqNullSafe(F.col("ca"))).drop("ca")
 
-    part = facts.select("a", "b", "c", "stray", "weight", "common", F.explode(F.arrays_zip("more", "excess")).alias("z"))
+    # only texts of which another class has a leading element too are compared by all of theirs
+    head = facts.select("a", "b", "c", F.explode(F.slice("more", 1, F.col("lead"))).alias("e"))
+    met = head.groupBy("a", "e").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a", "e")
+    able = written(head.join(met, ["a", "e"]).select("a", "b").distinct(), "able")
+    part = facts.join(able, ["a", "b"], "left_semi")
+    part = part.select("a", "b", "c", "stray", "weight", "common", F.explode(F.arrays_zip("more", "excess")).alias("z"))
     part = part.select("a", "b", "c", "stray", "weight", "common", F.col("z.more").alias("e"), F.col("z.excess").alias("excess"))
     met = part.groupBy("a", "e").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     # rare elements first: from the first one that a pair shares on, it shares no more than is left
@@ -264,7 +275,7 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
     by_element = left.join(right, ["a", "e"]).where((F.col("cx") != F.col("cy")) & enough).select(*_ordered("x", "y"))
 
     # without such an element: what a stray shares with the reference bounds the weight of its partners
-    near = facts.where(F.col("common") >= least * F.col("weight")).drop("more", "excess")
+    near = facts.where(F.col("common") >= least * F.col("weight")).drop("more", "excess", "lead")
     cell = lambda w: F.floor(F.log(w) / F.log(F.lit(1.02))).cast("int")
     widest = F.col("common") * ((1 + least) / least) - F.col("weight")
     cells = F.sequence(cell(F.col("weight") * least) - 1, cell(F.greatest(widest, F.col("weight") * least)) + 1)
