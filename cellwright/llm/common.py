@@ -15,9 +15,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares for checkpoints; a temporary one only where none is set."""
+    """The folder that the cluster shares for checkpoints; a temporary one only where none is set and Spark
+    runs in this process alone. On a cluster without the setting that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names the folder that executors share; it is not set")
         path = tempfile.mkdtemp(prefix="cellwright-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -32,6 +35,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made one that no column of df has, upper and lower case alike."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most that many rows. df should be cheap to count."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

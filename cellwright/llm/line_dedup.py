@@ -14,15 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, small, written
+from .common import components, fresh, small, written
 
 #: Lines of MIN_CHARS characters may differ by EDITS edits, shorter ones by fewer in proportion.
 EDITS, MIN_CHARS = 2, 20
 #: Lines that share a key beyond which finer keys are used, and the segments of these.
 HOT, FINE_PARTS = 24, 8
-#: Letters that are counted before lines of crowded segments become candidates.
+#: Letters that are counted before texts of candidates are joined.
 LETTERS = "aeinorstdhlu"
 _LATE = 9223372036854775807
+_LINES = 1 << 32
 
 
 def segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
@@ -32,32 +33,43 @@ def segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
 
 
 def keys(lines: DataFrame, edits: int, index_only: bool = False) -> DataFrame:
-    """(id, key, indexed): the index entries and the probes of lines (id, line, size). A probe takes a
+    """(id, key): the index entries and the probes of lines (id, line, size). A probe takes a
     length that is less by 0 to edits, a segment i, and a shift of its place that leaves enough edits
     for what is left and right of it; the one that moves nothing is the index entry."""
-    probes = [
-        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
-        for less in range(edits + 1) for i in range(edits + 1)
-        for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
-        if not index_only or less == shift == 0
-    ]
-    rows = lines.select("id", "line", "size", F.explode(F.array(*probes)).alias("p"))
-    length = F.col("size") - F.col("p.less")
-    start, n = segment(length, F.col("p.i"), edits + 1)
-    rows = rows.select("id", "line", "size", "p", length.alias("length"), (start + F.col("p.shift")).alias("at"), n.alias("n"))
-    rows = rows.where("length > %d and at >= 0 and at + n <= size" % edits)
-    key = F.xxhash64("p.i", "length", F.substring("line", F.col("at") + 1, F.col("n")))
-    return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.shift = 0").alias("indexed"))
+    parts, out = edits + 1, []
+    for less in range(parts):
+        length = F.col("size") - less
+        for i in range(parts):
+            start, n = segment(length, F.lit(i), parts)
+            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
+                if not index_only or less == shift == 0:
+                    at = start + shift
+                    fits = (length > edits) & (at >= 0) & (at + n <= F.col("size"))
+                    out.append(F.when(fits, F.xxhash64(F.lit(i), length, F.substring("line", at + 1, n))))
+    return lines.select("id", F.explode(F.array(*out)).alias("key")).where("key is not null")
+
+
+def marks(line: Column) -> Column:
+    """How often each of LETTERS occurs, modulo 32, in five bits each."""
+    counts = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x))) for x in LETTERS]
+    out = F.lit(0).cast("long")
+    for k, n in enumerate(counts):
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(31)).cast("long"), 5 * k))
+    return out
 
 
-def counted(lines: DataFrame) -> DataFrame:
-    """lines with the counts n0, n1 ... of LETTERS."""
-    counts = [(F.length("line") - F.length(F.replace("line", F.lit(x)))).alias(f"n{k}") for k, x in enumerate(LETTERS)]
-    return lines.select("id", "line", "size", *counts)
+def apart(x: Column, y: Column) -> Column:
+    """By how much the counts of two marks differ in all, or less: an edit adds two at most."""
+    out = F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        d = F.abs(F.shiftright(x, 5 * k).bitwiseAND(F.lit(31)) - F.shiftright(y, 5 * k).bitwiseAND(F.lit(31)))
+        out = out + F.least(d, 32 - d)
+    return out
 
 
 def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
-    """Like keys, for up to two edits and counted lines that share a segment with very many others: of parts
+    """(id, key, indexed, marks): like keys, for up to two edits and lines (id, line, size, marks) that share
+    a segment with very many others: of parts
     segments all but two must be equal, as two edits touch two. What is left of a line without two
     segments is its beginning, a middle that may have moved by s, and its end."""
     probes = [
@@ -65,17 +77,16 @@ def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
         for b in range(parts) for c in range(b + 1, parts)
         for less in range(3) for s in range(-2, 3) if abs(s) + abs(less - s) <= 2
     ]
-    names = [f"n{k}" for k in range(len(LETTERS))]
-    rows = lines.select("id", "line", "size", *names, F.explode(F.array(*probes)).alias("p"))
+    rows = lines.select("id", "line", "size", "marks", F.explode(F.array(*probes)).alias("p"))
     length = F.col("size") - F.col("p.less")
     (b0, bn), (c0, cn) = (segment(length, F.col(f"p.{k}"), parts) for k in "bc")
-    rows = rows.select("id", "line", "size", *names, "p", length.alias("length"), b0.alias("b0"), (b0 + bn).alias("b1"), c0.alias("c0"), (c0 + cn).alias("c1"))
+    rows = rows.select("id", "line", "size", "marks", "p", length.alias("length"), b0.alias("b0"), (b0 + bn).alias("b1"), c0.alias("c0"), (c0 + cn).alias("c1"))
     rows = rows.where("b1 + p.s >= 0 and c0 + p.s <= size and length > 2")
     key = F.xxhash64(
         "p.b", "p.c", "length", F.substring("line", F.lit(1), F.col("b0")),
         F.substring("line", F.col("b1") + F.col("p.s") + 1, F.col("c0") - F.col("b1")), F.right("line", F.col("length") - F.col("c1")),
     )
-    return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.s = 0").alias("indexed"), *names)
+    return rows.select("id", key.alias("key"), F.expr("p.less = 0 and p.s = 0").alias("indexed"), "marks")
 
 
 def _let(fields: dict[str, Column], use: Callable[[Column], Column]) -> Column:
@@ -149,41 +160,49 @@ def within(x: Column, y: Column, edits: int) -> Column:
 
 def _met(rows: DataFrame, index: DataFrame, most: int | None = None) -> DataFrame:
     """Pairs that share a key; with most, only those whose letter counts differ by no more in all."""
-    counts = [f"n{k}" for k in range(len(LETTERS))] if most is not None else []
-    left = index.select("key", F.col("id").alias("i"), *counts)
-    right = rows.select("key", F.col("id").alias("p"), *[F.col(c).alias(f"p{c}") for c in counts])
+    own = ["marks"] if most is not None else []
+    left = index.select("key", F.col("id").alias("i"), *own)
+    right = rows.select("key", F.col("id").alias("p"), *[F.col(c).alias("others") for c in own])
     near = F.col("i") != F.col("p")
-    if counts:
-        near = near & (sum((F.abs(F.col(c) - F.col(f"p{c}")) for c in counts), F.lit(0)) <= most)
+    if own:
+        near = near & (apart(F.col("marks"), F.col("others")) <= most)
     return left.join(right, "key").where(near).select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b"))
 
 
 def candidates(lines: DataFrame, edits: int, hot: int = HOT) -> DataFrame:
-    """(a, b), a < b: pairs of lines (id, line, size) that share a key. Keys of more than hot lines are
+    """(a, b), a < b, some more than once: pairs of lines (id, line, size, marks) that share a key. Keys of more
+    than hot lines are
     not joined; the lines that have one are instead joined among themselves by finer keys, which every
     pair within edits shares too. That holds for up to two edits; for more all keys are joined."""
     rows, index = keys(lines, edits), keys(lines, edits, index_only=True)
     if edits > 2:
-        return _met(rows, index).distinct()
+        return _met(rows, index)
     crowded = written(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "crowded")
     if not crowded.limit(1).count():
-        return _met(rows, index).distinct()
+        return _met(rows, index)
     crowded = small(crowded)
     pairs = _met(rows, index.join(crowded, "key", "left_anti"))
     ids = written(rows.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
     # written, so that the long code of the finer keys runs over these lines alone
     picked = written(lines.join(small(ids), "id", "left_semi"), "crowded-text")
-    fine = fine_keys(counted(picked), FINE_PARTS)
-    # an edit changes the counts of two letters by one at most
-    return pairs.union(_met(fine, fine.where("indexed"), 2 * edits)).distinct()
+    fine = fine_keys(picked, FINE_PARTS)
+    return pairs.union(_met(fine, fine.where("indexed"), 2 * edits))
 
 
 def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """(a, b), a < b: the ids of distinct lines (id, line, size) within that many edits. Lines of no
-    more characters than edits link with nothing."""
-    pairs = written(candidates(lines, edits), "candidates")
-    both = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
-    both = both.join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    more characters than edits link with nothing. Candidates whose letter counts are too far apart to be
+    within edits go before any text is joined to them."""
+    if "marks" not in lines.columns:
+        lines = lines.withColumn("marks", marks(F.col("line")))
+    pairs = candidates(lines, edits)
+    for c in "ab":
+        pairs = pairs.join(lines.select(F.col("id").alias(c), F.col("marks").alias(f"marks_{c}")), c)
+    pairs = written(pairs.where(apart(F.col("marks_a"), F.col("marks_b")) <= 2 * edits).select("a", "b").distinct(), "candidates")
+    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate-lines")
+    texts = written(lines.select("id", "line").join(small(ids), "id", "left_semi"), "candidate-text")
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+    both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     close = _stripped(F.col("x"), F.col("y"), edits + 1, lambda x, y: within(x, y, edits))
     return both.where(close).select("a", "b")
 
@@ -225,23 +244,25 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     a hash of the text, for rows that share only a doc_id."""
     lines = _lines(docs)
     able = lines.where(F.col("size") > 0)
+    # document and line number as one number, so that the first place is a plain minimum
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LATE))
-    one = able.groupBy("line").agg(F.min(order).alias("doc"), F.count("*").alias("n"))
-    one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), "doc", "n"), "lines")
-    links = written(scaled_links(one.select("id", "line", "size"), edits, min_chars), "links")
+    place = order.cast("decimal(20,0)") * F.lit(_LINES).cast("decimal(11,0)") + F.col("line_no").cast("decimal(10,0)")
+    one = able.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("n"))
+    one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), marks(F.col("line")).alias("marks"), "place", "n"), "lines")
+    links = written(scaled_links(one.select("id", "line", "size", "marks"), edits, min_chars), "links")
     group = components(links)
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     shared = one.join(group.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")
     shared = shared.withColumn("component", F.coalesce("component", "id"))
-    least = shared.groupBy("component").agg(F.min("doc").alias("class_doc"))
-    mark = lambda c: (F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(1), F.reverse(c)).alias("h2"))
-    shared = shared.join(least, "component").join(ends, "id", "left").select(*mark("line"), "component", "class_doc", "n_links")
+    least = shared.groupBy("component").agg(F.min("place").alias("first"))
+    line_no = F.pmod("first", F.lit(_LINES).cast("decimal(11,0)"))
+    mark = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+    shared = shared.join(least, "component").join(ends, "id", "left").select(
+        *mark, ((F.col("first") - line_no) / F.lit(_LINES).cast("decimal(11,0)")).cast("long").alias("class_doc"), line_no.cast("int").alias("class_line"), "n_links"
+    )
     shared = written(shared, "shared")
-    at = lines.select("doc_id", "key", "line_no", "size", order.alias("doc"), *mark("line"))
-    placed = at.join(shared, ["h1", "h2"], "left")
-    first = placed.where("doc = class_doc").groupBy("component").agg(F.min("line_no").alias("class_line"))
-    out = placed.join(first, "component", "left")
-    alone = F.col("component").isNull()
+    out = lines.select("doc_id", "key", "line_no", order.alias("doc"), *mark).join(shared, ["h1", "h2"], "left")
+    alone = F.col("class_doc").isNull()
     kept = alone | ((F.col("doc") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
     real = F.when(F.col("class_doc") != _LATE, F.col("class_doc"))
     return out.select(
@@ -255,13 +276,16 @@ def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MI
     """docs without the lines that line_classes does not keep, with the columns of docs; n_chars, if
     there is one, is counted again. A document that loses lines and has no other text left is dropped, as all of it
     is kept elsewhere; others stay, those with a null or empty text too."""
-    gone = line_classes(docs, edits, min_chars).where("not kept").groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
-    gone = gone.agg(F.collect_set("line_no").alias("_gone"))
+    of, key_of, gone_at, new_text = fresh(docs, "of", "key", "gone", "left")
+    gone = line_classes(docs, edits, min_chars).where("not kept").groupBy(F.col("doc_id").alias(of), F.col("key").alias(key_of))
+    gone = gone.agg(F.collect_set("line_no").alias(gone_at))
     key = F.xxhash64(docs["text"])
-    both = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_doc"]) & (key == gone["_key"]), "left")
-    lines = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    both = both.withColumn("_text", text).where("_gone is null or trim(_text) <> ''")
-    new = {"text": F.col("_text"), "n_chars": F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))}
+    both = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[of]) & (key == gone[key_of]), "left")
+    lines, cut = F.split(docs["text"], "\n"), F.col(gone_at)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
+    text = F.when(cut.isNull(), docs["text"]).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    both = both.withColumn(new_text, text).where(cut.isNull() | (F.trim(F.col(new_text)) != ""))
+    new = {"text": F.col(new_text)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut.isNull(), docs["n_chars"]).otherwise(F.length(new_text).cast("long"))
     return both.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
