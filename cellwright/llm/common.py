@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -35,6 +36,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written: its cleaner removes those that the
+    driver's collector finds unused, which may else not run for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each made one that no column of df has, upper and lower case alike."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -1,53 +1,52 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Every word, and every pair and run of three that the training texts hold at least MIN_COUNT times, is
-part of the model: an absolute count, the same at every size, so that the model grows with the corpus.
-Its states and arcs are written tables, joined by hashes of 64 bits; a failure arc's weight is a sum
-over a history's arcs. What texts need is joined to them by distinct n-gram. The most frequent n-grams
-are also broadcast, but only as a cache: their values are those of the tables, and a share f of all
-tokens bounds them by 1 / f.
+part of the model: an absolute count, the same at every size, so that the model grows with the corpus
+and is nowhere whole. Counts are smoothed by interpolated absolute discounting:
 
-States are n-gram histories. An arc reads a word, adds its log-probability and leads to the longest
-history that is a state; if a state has no arc for a word, its failure arc adds the backoff weight and
-leads to the state without the oldest word.
+    P(w | h) = (c(hw) - off) / c(h) + left(h) P(w | h without its oldest word)   if hw is in the model
+    P(w | h) =                        left(h) P(w | h without its oldest word)   otherwise
 
-train builds the same automaton in memory, of n-grams above a share: with shares of 0 it is the whole
-model of a small corpus, which the tables are tested against.
+left(h) being what the discounts have left of h's probability; what all unseen words share is one outcome.
 
-Probabilities are absolutely discounted; what all unseen words share is one outcome.
+Texts are packed in chunks. A chunk asks for the counts of its distinct n-grams: its sorted hashes are
+cut into ranges, and what all chunks ask of a range meets there, one entry for each chunk however
+often an n-gram occurs in it, so that frequent ones are counted before they are shuffled. The range adds
+up and answers each chunk with the n-grams that are in the model; the first chunk that has such an
+n-gram adds it to what its history has kept. Runs are counted first, then pairs with what runs tell
+of them as histories, then words. From the answers a chunk builds the part of the automaton that its texts
+reach and reads them in one traversal from left to right.
+
+States are n-gram histories. An arc reads a word, adds its log-probability and leads to the longest
+history that is a state; if a state has no arc for a word, its failure arc adds log10(left) and
+leads to the state without the oldest word.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import ascii_lower, small, written
+from .common import released, written
 
-ORDER, WORD_SHARE, GRAM_SHARE = 3, 1e-5, 2e-6
 #: Cannot be a word, as it is white space.
 END = " "
-_RARE, _BEGIN = -1, -2
+_BEGIN = -2
 _LANE = 128
 #: How often an n-gram of several words has to occur to be an arc.
 MIN_COUNT = 2
-_WORD, _GRAM = 1, 2
-
-
-def _words(text: str) -> Column:
-    return F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+")
-
-
-def token_counts(texts: DataFrame) -> DataFrame:
-    """(token, c): how often each word occurs in the column text, and END once for each text."""
-    parts = texts.select(F.explode_outer(F.concat(_words("text"), F.array(F.lit(END)))).alias("token"))
-    return parts.where("token <> ''").groupBy("token").agg(F.count("*").alias("c"))
+#: Bytes of text of a chunk (a longer text is one of its own), of text whose n-grams meet in a range, and
+#: the ranges at least.
+CHUNK, RANGE, RANGES = 2 << 20, 16 << 20, 64
+_OWN = np.uint32(1 << 31)
 
 
 @dataclass
@@ -55,8 +54,6 @@ class Automaton:
     """fail, back: of each state its failure arc and that arc's weight; state 0 is the root, state
     1 + i has read word i alone. keys, goto, logp: the arcs, sorted by state * words + word."""
 
-    hashes: np.ndarray  # of the frequent words, sorted; a word's number is its place
-    counts: np.ndarray
     end: int
     logp1: np.ndarray
     fail: np.ndarray
@@ -64,15 +61,9 @@ class Automaton:
     keys: np.ndarray
     goto: np.ndarray
     logp: np.ndarray
-    order: int
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, _RARE) if len(self.hashes) else np.full(len(hashes), _RARE)
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Read one word in each lane: the next states and the log-probabilities. A rare word gives
-        the weights of its failure arcs alone."""
+        """Read one word in each lane: the next states and the log-probabilities."""
         out, to = np.zeros(len(state)), np.zeros(len(state), np.int64)
         begin = word == _BEGIN
         to[begin] = self.end + 1
@@ -81,15 +72,14 @@ class Automaton:
         while len(live):
             found = np.zeros(len(live), bool)
             if len(self.keys):
-                key = now * len(self.hashes) + read
+                key = now * len(self.logp1) + read
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = (self.keys[at] == key) & (read >= 0) & (now > 0)
+                found = (self.keys[at] == key) & (now > 0)
                 to[live[found]] = self.goto[at[found]]
                 out[live[found]] += self.logp[at[found]]
             root = ~found & (now == 0)
-            known = root & (read >= 0)
-            to[live[known]] = read[known] + 1
-            out[live[known]] += self.logp1[read[known]]
+            to[live[root]] = read[root] + 1
+            out[live[root]] += self.logp1[read[root]]
             on = ~found & ~root
             out[live[on]] += self.back[now[on]]
             live, now, read = live[on], self.fail[now[on]], read[on]
@@ -97,119 +87,42 @@ class Automaton:
 
     def read(self, word: np.ndarray) -> np.ndarray:
         """Log-probabilities of a run of words, read from left to right in lanes side by side. A lane
-        first reads the few words before it, after which its state is that of an unbroken traversal."""
-        lead = self.order - 1
+        first reads the two words before it, after which its state is that of an unbroken traversal."""
         lanes = -(-len(word) // _LANE)
-        padded = np.full(lead + lanes * _LANE, _BEGIN)
-        padded[lead : lead + len(word)] = word
+        padded = np.full(2 + lanes * _LANE, _BEGIN)
+        padded[2 : 2 + len(word)] = word
         at = np.arange(lanes) * _LANE
         state, out = np.zeros(lanes, np.int64), np.zeros((lanes, _LANE))
-        for k in range(lead + _LANE):
+        for k in range(2 + _LANE):
             state, logp = self.step(state, padded[at + k])
-            if k >= lead:
-                out[:, k - lead] = logp
+            if k >= 2:
+                out[:, k - 2] = logp
         return out.reshape(-1)[: len(word)]
 
 
-def _sentences(column: pa.Array, automaton: Automaton) -> Iterator[tuple]:
-    """Of each chunk: its first row, word numbers with _BEGIN before each text and END after, where
-    each text begins in these, and the bytes and spans of its words."""
-    for row, _, data, offs in tokens.chunks(column):
-        data = tokens.FOLD[data]
-        starts, ends, first = tokens.word_spans(data, offs, tokens.NOT_SPACE)
-        number = automaton.numbers(tokens.span_hashes(data, starts, ends))
-        begin = first[:-1] + 2 * np.arange(len(first) - 1)
-        word = np.full(len(starts) + 2 * (len(first) - 1), automaton.end)
-        word[begin] = _BEGIN
-        place = np.arange(len(starts)) + 1 + 2 * (np.searchsorted(first, np.arange(len(starts)), "right") - 1)
-        word[place] = number
-        yield row, word, begin, data, starts, ends, place
+def _left(c: np.ndarray, kept: np.ndarray, arcs: np.ndarray, off: float) -> np.ndarray:
+    """What is left of each history's probability by the arcs after it, kept being their counts in all."""
+    return np.where(arcs > 0, 1.0 - (kept - off * arcs) / np.maximum(c, 1), 1.0)
 
 
-def _gram_counts(texts: DataFrame, automaton: Automaton, level: int) -> DataFrame:
-    """(gram, c) of the runs of level words whose two parts of level - 1 words are states; gram is
-    state * words + word."""
-    shared = texts.sparkSession.sparkContext.broadcast(automaton)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            found = []
-            for _, word, *_ in _sentences(batch.column(0), m):
-                state = np.where(word >= 0, word + 1, np.where(word == _BEGIN, m.end + 1, 0))
-                for _ in range(2, level):  # the state of one more word, 0 if it is none
-                    before = np.zeros_like(state)
-                    before[1:] = state[:-1]
-                    key = before * len(m.hashes) + word
-                    at = np.minimum(np.searchsorted(m.keys, key), len(m.keys) - 1)
-                    own = (before > 0) & (word >= 0) & (m.keys[at] == key)
-                    state = np.where(own, m.goto[at], 0)
-                # state[i] has read level - 1 words up to i
-                gram = state[:-1] * len(m.hashes) + word[1:]
-                ok = (state[:-1] > 0) & (word[1:] >= 0)
-                if level > 2:
-                    ok &= state[1:] > 0
-                found.append(gram[ok])
-            gram, c = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(c.astype(np.int64))], ["gram", "c"])
-
-    return texts.select("text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-
-
-def train(texts: DataFrame, counts: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> tuple[Automaton, dict]:
-    """The automaton of the texts and the figures of counts, their written token counts: N tokens,
-    V distinct ones, and what a word's count is discounted by. For small corpora: at most 1 / word_share words and
-    1 / gram_share n-grams of an order come to the driver."""
-    row = counts.agg(F.sum("c"), F.count("*"), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
-    n, v, one, two = (int(x or 0) for x in row)
-    off = min(0.9, max(0.1, one / (one + 2 * two))) if one + two else 0.5
-    figures = {"N": n, "V": v, "off": off, "unseen": np.log10(off * v / n) if n else 0.0}
-
-    frequent = counts.where((F.col("c") >= word_share * n) | (F.col("token") == END)).collect()
-    frequent = frequent or [{"token": END, "c": 0}]
-    raw = [r["token"].encode() for r in frequent]
-    cuts = np.cumsum([0, *map(len, raw)])
-    hashes = tokens.span_hashes(np.frombuffer(b"".join(raw), np.uint8), cuts[:-1], cuts[1:])
-    by = np.argsort(hashes)
-    hashes, c1 = hashes[by], np.array([r["c"] for r in frequent], np.float64)[by]
-    end = int(np.searchsorted(hashes, np.uint64(tokens.hash_of(END.encode()))))
-    logp1 = np.log10(np.maximum(c1 - off, 1e-9) / max(n, 1)) if n else np.zeros(len(c1))
-    size = len(hashes)
-    m = Automaton(hashes, c1, end, logp1, np.zeros(size + 1, np.int64), np.zeros(size + 1), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), order)
-    held = np.concatenate([[float(n)], c1])  # how often each state was read
-    text = texts.select("text")
-    for level in range(2, order + 1):
-        least = max(2.0, gram_share * n)
-        rows = _gram_counts(text, m, level).where(F.col("c") >= least).orderBy("gram").toPandas() if n and (level == 2 or len(m.keys)) else None
-        if rows is None or not len(rows):
-            break
-        gram, c = rows["gram"].to_numpy(np.int64), rows["c"].to_numpy(np.float64)
-        source, word = gram // size, gram % size
-        logp = np.log10((c - off) / held[source])
-        # the same word read after the shorter history
-        if level == 2:
-            suffix, lower = word + 1, logp1[word]
-        else:
-            shorter = m.fail[source] * size + word
-            at = np.searchsorted(m.keys, shorter)
-            suffix, lower = m.goto[at], m.logp[at]
-        states = len(m.fail)
-        kept, below = np.zeros(states), np.zeros(states)
-        np.add.at(kept, source, 10**logp)
-        np.add.at(below, source, 10**lower)
-        has = kept > 0
-        m.back[has] = np.log10(np.maximum(1 - kept[has], 1e-9) / np.maximum(1 - below[has], 1e-9))
-        if level < order:
-            goto = states + np.arange(len(gram))
-            m.fail = np.concatenate([m.fail, suffix])
-            m.back = np.concatenate([m.back, np.zeros(len(gram))])
-            held = np.concatenate([held, c])
-        else:
-            goto = suffix
-        keys = np.concatenate([m.keys, gram])
-        by = np.argsort(keys, kind="stable")
-        m.keys, m.goto, m.logp = keys[by], np.concatenate([m.goto, goto])[by], np.concatenate([m.logp, logp])[by]
-    return m, figures
+def automaton(end: int, words: tuple, pairs: tuple, runs: tuple, n: int, v: int, off: float) -> Automaton:
+    """words: c, kept, arcs of each word; pairs: those of each arc of a word's state, and the word and the
+    next one; runs: c of each arc of a pair's state, the numbers of its history and of its last two words as pairs,
+    and the next word. kept and arcs are the counts in all and the number of the arcs after a history."""
+    c1, kept1, arcs1 = words
+    c2, kept2, arcs2, first, second = pairs
+    c3, history, low, third = runs
+    size = len(c1)
+    p1 = np.where(c1 > 0, (c1 - off) / n, off * v / n) if n else np.ones(size)
+    left1, left2 = _left(c1, kept1, arcs1, off), _left(c2, kept2, arcs2, off)
+    p2 = (c2 - off) / c1[first] + left1[first] * p1[second]
+    p3 = (c3 - off) / c2[history] + left2[history] * p2[low]
+    keys = np.concatenate([(1 + first) * size + second, (1 + size + history) * size + third]).astype(np.int64)
+    goto = np.concatenate([1 + size + np.arange(len(c2)), 1 + size + low]).astype(np.int64)
+    by = np.argsort(keys, kind="stable")
+    fail = np.concatenate([np.zeros(1 + size), 1 + second]).astype(np.int64)
+    back = np.log10(np.concatenate([[1.0], left1, left2]))
+    return Automaton(end, np.log10(p1), fail, back, keys[by], goto[by], np.log10(np.concatenate([p2, p3]))[by])
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -217,165 +130,260 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return tokens.mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
 
 
-def _runs(column: pa.Array) -> Iterator[tuple]:
-    """Of each chunk: its first row, where each text begins, the text of each place, and by place the
-    hashes of the word, of the last two and of the last three; then where the last two and three lie
-    within a text. A text begins with a place that is not read, of which only END is the history."""
+@dataclass
+class Grams:
+    """The words of a chunk, with a place that is not read before each text and END after. By place:
+    word, two, three, the hashes of the word, of the last two and of the last three; read and long, where the
+    last one and the last three lie within a text. begin is where texts begin."""
+
+    begin: np.ndarray
+    text: np.ndarray
+    word: np.ndarray
+    two: np.ndarray
+    three: np.ndarray
+    read: np.ndarray
+    long: np.ndarray
+
+
+def grams(column: pa.Array) -> Grams:
     end = np.uint64(tokens.hash_of(END.encode()))
-    for row, _, data, offs in tokens.chunks(column):
-        data = tokens.FOLD[data]
-        starts, ends, first = tokens.word_spans(data, offs, tokens.NOT_SPACE)
-        count = len(first) - 1
-        begin = first[:-1] + 2 * np.arange(count)
-        word = np.full(len(starts) + 2 * count, end, np.uint64)
-        word[np.arange(len(starts)) + 1 + 2 * (np.searchsorted(first, np.arange(len(starts)), "right") - 1)] = tokens.span_hashes(data, starts, ends)
-        text = np.repeat(np.arange(count), np.diff(np.append(begin, len(word))))
-        two, three = np.zeros_like(word), np.zeros_like(word)
-        two[1:] = _pair(word[:-1], word[1:])
-        three[1:] = _pair(two[:-1], word[1:])
-        read = np.ones(len(word), bool)
-        read[begin] = False
-        long = read.copy()
-        long[1:] &= read[:-1]
-        yield row, begin, text, word, two, three, read, long
-
-
-def gram_counts(docs: DataFrame, learn: Column) -> DataFrame:
-    """(level, key, hist, low, c) of each distinct run of level words in docs: its hash, those of what it
-    reads its last word after and of the run without the oldest word, and how often it occurs in the rows
-    that learn holds for, which may be never."""
+    data, offs = tokens.text_buffers(column)
+    data = tokens.FOLD[data]
+    starts, ends, first = tokens.word_spans(data, offs, tokens.NOT_SPACE)
+    count = len(first) - 1
+    begin = first[:-1] + 2 * np.arange(count)
+    word = np.full(len(starts) + 2 * count, end, np.uint64)
+    word[np.arange(len(starts)) + 1 + 2 * (np.searchsorted(first, np.arange(len(starts)), "right") - 1)] = tokens.span_hashes(data, starts, ends)
+    text = np.repeat(np.arange(count), np.diff(np.append(begin, len(word))))
+    two, three = np.zeros_like(word), np.zeros_like(word)
+    two[1:] = _pair(word[:-1], word[1:])
+    three[1:] = _pair(two[:-1], word[1:])
+    read = np.ones(len(word), bool)
+    read[begin] = False
+    long = read.copy()
+    long[1:] &= read[:-1]
+    return Grams(begin, text, word, two, three, read, long)
+
+
+def chunks(docs: DataFrame, learn: Column, size: int = CHUNK) -> DataFrame:
+    """(chunk, bytes, ids, learns, texts): docs (doc_id, text) packed in rows of about that many bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            learns = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)
-            for row, _, text, word, two, three, read, long in _runs(batch.column(0)):
-                own = learns[row + text]
-                before, pair = np.roll(word, 1), np.roll(two, 1)
-                for level, key, hist, low, ok in ((1, word, None, None, read), (2, two, before, word, read), (3, three, pair, two, long)):
-                    at = np.flatnonzero(ok)
-                    one, first, which = np.unique(key[at], return_index=True, return_inverse=True)
-                    c = np.bincount(which, own[at], len(one)).astype(np.int64)
-                    hist, low = (np.zeros(len(one), np.int64) if x is None else x[at[first]].view(np.int64) for x in (hist, low))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), level, np.int8)), *map(pa.array, (one.view(np.int64), hist, low, c))], _GRAM_NAMES)
-
-    rows = docs.select("text", learn.alias("learn")).mapInArrow(run, "level byte, key long, hist long, low long, c long")
-    return rows.groupBy("level", "key").agg(F.max("hist").alias("hist"), F.max("low").alias("low"), F.sum("c").alias("c"))
-
-
-def _weights(arcs: DataFrame, held: DataFrame, off: float) -> DataFrame:
-    """(hist, ch, back): of arcs (hist, c, lower), lower being the log-probability after the shorter
-    history, the weight of each history's failure arc; held (key, c) is how often each was read."""
-    sums = arcs.groupBy("hist").agg(F.sum(F.col("c") - off).alias("kept"), F.sum(F.pow(F.lit(10.0), "lower")).alias("below"))
-    both = sums.join(held.select(F.col("key").alias("hist"), F.col("c").alias("ch")), "hist")
-    rest = lambda x: F.greatest(1 - x, F.lit(1e-9))
-    return both.select("hist", "ch", F.log10(rest(F.col("kept") / F.col("ch")) / rest(F.col("below"))).alias("back"))
-
-
-def _next(grams: DataFrame, below: DataFrame, off: float, name: str) -> DataFrame:
-    """(key, hist, c, lp) of the runs of one level; below has key, c and lp of the level below."""
-    lower = small(below.select(F.col("key").alias("low"), F.col("lp").alias("lower")))
-    arcs = grams.where(F.col("c") >= MIN_COUNT).join(lower, "low")
-    weights = small(written(_weights(arcs, below, off), f"{name}-states"))
-    lp = F.when(F.col("c") >= MIN_COUNT, F.log10((F.col("c") - off) / F.col("ch"))).otherwise(F.coalesce("back", F.lit(0.0)) + F.col("lower"))
-    return written(grams.join(lower, "low").join(weights, "hist", "left").select("key", "hist", "c", lp.alias("lp")), name)
-
-
-def model(docs: DataFrame, learn: Column) -> tuple[DataFrame, dict]:
-    """(kind, key, c, lp) of every word and every whole history with its next word that docs hold, lp
-    being the log-probability with what failure arcs add, learned of the rows that learn holds for; and
-    the figures: N tokens, V distinct ones, and what a count is discounted by."""
-    grams = written(gram_counts(docs, learn), "grams")
-    level = lambda k: grams.where(F.col("level") == k)
-    row = level(1).agg(F.sum("c"), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+            text = batch.column(2).cast(pa.string()).fill_null("")
+            for row, end, data, _ in tokens.chunks(text, size):
+                one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+                part = [one(pa.concat_arrays([c.slice(row, end - row)])) for c in (batch.column(0), batch.column(1), text)]
+                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), pa.array([len(data)], pa.int64()), *part], ["chunk", "bytes", "ids", "learns", "texts"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), "text")
+    return rows.mapInArrow(run, "chunk long, bytes long, ids array<long>, learns array<boolean>, texts array<string>")
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    """Sorted hashes byte by byte: the first bytes of all, then the second ones; the first compress well."""
+    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+
+
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+
+
+_ASKS = "part long, chunk long, keys binary, c binary, kept binary, arcs binary"
+_ANSWERS = "part long, chunk long, level int, at binary, c binary, kept binary, arcs binary, facts array<long>"
+
+
+def _asks(chunk: int, keys: np.ndarray, c: np.ndarray, ranges: int, kept: np.ndarray | None = None, arcs: np.ndarray | None = None) -> pa.Table:
+    """A row for each range that the sorted keys of a chunk fall in."""
+    cuts = np.flatnonzero(np.diff(_range_of(keys, ranges).astype(np.int64), prepend=-1))
+    spans = list(zip(cuts, np.append(cuts[1:], len(keys)), strict=True)) if len(keys) else []
+    raw = lambda x, a, b: None if x is None else x[a:b].astype(np.int64 if x is not c else np.uint32).tobytes()
+    columns = {
+        "part": pa.array(_range_of(keys[cuts], ranges).astype(np.int64)), "chunk": pa.array([chunk] * len(spans), pa.int64()),
+        "keys": pa.array([_pack(keys[a:b]) for a, b in spans], pa.binary()),
+    }
+    for name, x in (("c", c), ("kept", kept), ("arcs", arcs)):
+        columns[name] = pa.array([raw(x, a, b) for a, b in spans], pa.binary())
+    return pa.table(columns)
+
+
+def _distinct(keys: np.ndarray, of: np.ndarray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys at the places of, how often each occurs in what is learnt, the place of one
+    occurrence, and by place the number of its key."""
+    places = np.flatnonzero(of)
+    one, first, which = np.unique(keys[places], return_index=True, return_inverse=True)
+    number = np.full(len(keys), -1)
+    number[places] = which
+    return one, np.bincount(which, learns[places], len(one)), places[first], number
+
+
+def _met(level: int):
+    """The function that answers what chunks ask of a range of n-grams of so many words."""
+    least = MIN_COUNT if level > 1 else 1
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = np.concatenate([_unpack(k) for k in pdf["keys"]])
+        stops = np.cumsum([len(k) // 8 for k in pdf["keys"]])
+        order = np.argsort(keys, kind="stable")
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[order][1:] != keys[order][:-1]
+        starts, which = np.flatnonzero(new), np.empty(len(keys), np.int64)
+        which[order] = np.cumsum(new) - 1
+        add = lambda parts, kind: np.add.reduceat(np.concatenate([np.frombuffer(x, kind) for x in parts]).astype(np.int64)[order], starts)
+        c = add(pdf["c"], np.uint32)
+        kept, arcs = (add(pdf[k], np.int64) if level < 3 else None for k in ("kept", "arcs"))
+        own = np.zeros(len(keys), bool)
+        own[order[starts]] = True
+        hit, rows = c >= least, []
+        if level == 1:
+            rows.append((pdf["part"].iloc[0], -1, level, None, None, None, None, [int(c.sum()), int(hit.sum()), int((c == 1).sum()), int((c == 2).sum())]))
+        for chunk, a, b in zip(pdf["chunk"], np.append(0, stops[:-1]), stops, strict=True):
+            at = np.flatnonzero(hit[which[a:b]])
+            if len(at):
+                g = which[a:b][at]
+                name = np.where(own[a:b][at], at.astype(np.uint32) | _OWN, at.astype(np.uint32)).astype(np.uint32)
+                rows.append((pdf["part"].iloc[0], chunk, level, name.tobytes(), c[g].tobytes(), *(None if x is None else x[g].tobytes() for x in (kept, arcs)), None))
+        return pd.DataFrame(rows, columns=["part", "chunk", "level", "at", "c", "kept", "arcs", "facts"])
+
+    return run
+
+
+def _answers(table: pa.Table, level: int, keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of a chunk's sorted keys what ranges say: c, kept, arcs and whether the chunk owns it."""
+    c, kept, arcs = (np.zeros(len(keys), np.int64) for _ in range(3))
+    own = np.zeros(len(keys), bool)
+    base = np.searchsorted(_range_of(keys, ranges), np.arange(ranges, dtype=np.uint64))
+    for row in table.to_pylist():
+        if row["level"] == level:
+            name = np.frombuffer(row["at"], np.uint32)
+            at = base[row["part"]] + (name & ~_OWN).astype(np.int64)
+            own[at] = (name & _OWN) > 0
+            for x, k in ((c, "c"), (kept, "kept"), (arcs, "arcs")):
+                if row[k] is not None:
+                    x[at] = np.frombuffer(row[k], np.int64)
+    return c, kept, arcs, own
+
+
+def _rows_of(table: pa.Table) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
+    table = table.combine_chunks()
+    for k in range(table.num_rows):
+        yield (table["chunk"][k].as_py(), *(table[name][k].values for name in ("ids", "learns", "texts")))
+
+
+def _learnt(g: Grams, learns: pa.Array) -> np.ndarray:
+    return np.asarray(learns.to_numpy(zero_copy_only=False), bool)[g.text]
+
+
+def answers(packed: DataFrame, ranges: int) -> DataFrame:
+    """What every chunk is told of its n-grams, and facts, of which the sums are the words in all, the
+    distinct ones, and those that occur once and twice."""
+    spark = packed.sparkSession
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, _, learns, texts in _rows_of(pa.Table.from_batches([batch])):
+                g = grams(texts)
+                one, c, *_ = _distinct(g.three, g.long, _learnt(g, learns))
+                yield from _asks(chunk, one, c, ranges).to_batches()
+
+    def pairs(packed: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for chunk, _, learns, texts in _rows_of(packed):
+            g = grams(texts)
+            one, c, _, number = _distinct(g.two, g.read, _learnt(g, learns))
+            three, _, at, _ = _distinct(g.three, g.long, np.ones(len(g.word)))
+            c3, _, _, own = _answers(told, 3, three, ranges)
+            history = number[at[own] - 1]
+            kept, arcs = np.bincount(history, c3[own], len(one)), np.bincount(history, minlength=len(one))
+            out.append(_asks(chunk, one, c, ranges, kept, arcs))
+        return pa.concat_tables(out)
+
+    def words(packed: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for chunk, _, learns, texts in _rows_of(packed):
+            g = grams(texts)
+            one, c, _, number = _distinct(g.word, g.read, _learnt(g, learns))
+            two, _, at, _ = _distinct(g.two, g.read, np.ones(len(g.word)))
+            c2, _, _, own = _answers(told, 2, two, ranges)
+            # a place that is not read is the END before a text
+            history = np.searchsorted(one, g.word[at[own] - 1])
+            kept, arcs = np.bincount(history, c2[own], len(one)), np.bincount(history, minlength=len(one))
+            out.append(_asks(chunk, one, c, ranges, kept, arcs))
+        return pa.concat_tables(out)
+
+    def meet(asks: DataFrame, level: int) -> DataFrame:
+        out = written(asks.groupBy("part").applyInPandas(_met(level), _ANSWERS), f"level{level}")
+        released(spark)
+        return out
+
+    def tell(f, told: DataFrame) -> DataFrame:
+        return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(f, _ASKS)
+
+    three = meet(packed.mapInArrow(runs, _ASKS), 3)
+    two = meet(tell(pairs, three), 2)
+    one = meet(tell(words, two), 1)
+    return three.union(two).union(one)
+
+
+def score(packed: DataFrame, told: DataFrame, ranges: int) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each text of the chunks."""
+    row = told.where("chunk = -1").agg(*[F.sum(F.get("facts", F.lit(k))) for k in range(4)]).first()
     n, v, one, two = (int(x or 0) for x in row)
     off = min(0.9, max(0.1, one / (one + 2 * two))) if one + two else 0.5
-    figures = {"N": n, "V": v, "off": off, "unseen": float(np.log10(off * v / n)) if n else 0.0}
-    lp = F.when(F.col("c") > 0, F.log10((F.col("c") - off) / max(n, 1))).otherwise(figures["unseen"])
-    words = level(1).select("key", "c", lp.alias("lp"))
-    pairs = _next(level(2), words, off, "pairs")
-    runs = _next(level(3), pairs, off, "runs")
-    end = int(np.uint64(tokens.hash_of(END.encode())).astype(np.int64))
-    kind = lambda df, k: df.select(F.lit(k).alias("kind"), "key", "c", "lp")
-    return kind(words, _WORD).union(kind(pairs.where(F.col("hist") == end), _GRAM)).union(kind(runs, _GRAM)), figures
-
-
-def _cache(values: DataFrame, kind: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys, counts and log-probabilities of what occurs at least so often."""
-    rows = values.where((F.col("kind") == kind) & (F.col("c") >= max(least, 1.0))).select("key", "c", "lp").toPandas()
-    keys = rows["key"].to_numpy(np.int64).view(np.uint64)
-    by = np.argsort(keys)
-    return keys[by], rows["c"].to_numpy(np.float64)[by], rows["lp"].to_numpy(np.float64)[by]
-
-
-def _found(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(of), bool), np.zeros(len(of), np.int64)
-    at = np.minimum(np.searchsorted(keys, of), len(keys) - 1)
-    return keys[at] == of, at
-
+    floor = float(np.log10(n + v + 1))
 
-def score(docs: DataFrame, values: DataFrame, figures: dict, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of docs.
+    def run(packed: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for _, ids, _, texts in _rows_of(packed):
+            g = grams(texts)
+            every = np.ones(len(g.word))
+            w, _, _, _ = _distinct(g.word, g.read, every)
+            number1 = np.searchsorted(w, g.word)  # END of the begin places too
+            k2, _, at2, number2 = _distinct(g.two, g.read, every)
+            k3, _, at3, _ = _distinct(g.three, g.long, every)
+            c1, kept1, arcs1, _ = _answers(told, 1, w, ranges)
+            c2, kept2, arcs2, _ = _answers(told, 2, k2, ranges)
+            c3, *_ = _answers(told, 3, k3, ranges)
+            arc2, arc3 = np.flatnonzero(c2), np.flatnonzero(c3)
+            new2 = np.cumsum(c2 > 0) - 1
+            at2, at3 = at2[arc2], at3[arc3]
+            m = automaton(
+                int(np.searchsorted(w, np.uint64(tokens.hash_of(END.encode())))), (c1, kept1, arcs1),
+                (c2[arc2], kept2[arc2], arcs2[arc2], number1[at2 - 1], number1[at2]),
+                (c3[arc3], new2[number2[at3 - 1]], new2[number2[at3]], number1[at3]), n, v, off,
+            )
+            logp = m.read(np.where(g.read, number1, _BEGIN))
+            known = g.read & (c1[number1] > 0)
+            base = np.where(g.read, np.log10(c1[number1] + 1.0) - floor, 0.0)
+            total = lambda x: np.add.reduceat(x, g.begin)
+            out.append(pa.table([
+                ids, pa.array(total(g.read.astype(np.int64))), pa.array(total(known.astype(np.int64))), pa.array(np.full(len(ids), n)),
+                pa.array(total(base)), pa.array(total(np.where(g.read, logp, 0.0))),
+            ], names=_COLUMNS))
+        return pa.concat_tables(out) if out else _NOTHING
+
+    kinds = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    told = told.where("chunk <> -1")
+    return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, kinds)
+
+
+_COLUMNS = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+_NOTHING = pa.table({name: pa.array([], pa.float64() if "score" in name else pa.int64()) for name in _COLUMNS})
+
+
+def fit_and_score(docs: DataFrame, learn: Column, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of docs (doc_id, text), by a
+    model of those that the condition learn holds for.
 
     base_score adds up log10((c + 1) / (N + V + 1)) of the tokens, c being the training count; score is
     the automaton's log10 probability of the text and its end; n_known counts the tokens with c > 0.
     A null or empty text has its end as only token. Repeated rows stay repeated; other columns are
-    ignored; without training texts every score is 0 (one outcome, certain). The shares say what is
-    cached and change no figure."""
-    n, v = figures["N"], figures["V"]
-    cached = _cache(values, _WORD, word_share * n), _cache(values, _GRAM, gram_share * n)
-    shared = docs.sparkSession.sparkContext.broadcast(cached)
-    floor = float(np.log10(n + v + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, counts, _), (grams, _, logps) = shared.value
-        base1 = np.log10(counts + 1) - floor
-        for batch in batches:
-            for row, begin, text, word, two, three, read, long in _runs(batch.column(2)):
-                count = len(begin)
-                ids, rows = batch.column(0).slice(row, count), batch.column(1).slice(row, count)
-                gram = np.where(long, three, two)
-                known, at = _found(words, word)
-                has, place = _found(grams, gram)
-                known, has = known & read, has & read
-                base = np.where(known, base1[at] if len(words) else 0.0, 0.0)
-                logp = np.where(has, logps[place] if len(grams) else 0.0, 0.0)
-                sums = [np.add.reduceat(x, begin) for x in (logp, base, known.astype(np.int64), read.astype(np.int64))]
-                # a text's own figures, on a key that differs from text to text
-                own = rows.to_numpy(zero_copy_only=False).view(np.uint64) + tokens.mix(np.arange(row, row + count))
-                yield pa.RecordBatch.from_arrays([rows, pa.array(own.view(np.int64)), pa.array(np.zeros(count, np.int32)), ids, *map(pa.array, sums)], _NAMES)
-                for kind, key, miss in ((_WORD, word, read & ~known), (_GRAM, gram, read & ~has)):
-                    where = np.flatnonzero(miss)
-                    for k in range(0, len(where), 100_000):
-                        some = where[k : k + 100_000]
-                        zero, nil = pa.array(np.zeros(len(some))), pa.array(np.zeros(len(some), np.int64))
-                        yield pa.RecordBatch.from_arrays(
-                            [rows.take(pa.array(text[some])), pa.array(key[some].view(np.int64)), pa.array(np.full(len(some), kind, np.int32)), pa.nulls(len(some), pa.int64()), zero, zero, nil, nil], _NAMES
-                        )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    parts = rows.mapInArrow(run, "row long, key long, kind int, doc_id long, score double, base double, known long, n long")
-    hit = parts.join(values.select("kind", "key", "c", "lp"), ["kind", "key"], "left")
-    word, gram = F.col("kind") == _WORD, F.col("kind") == _GRAM
-    base = F.col("base") + F.when(word, F.log10(F.coalesce("c", F.lit(0)) + 1.0) - floor).otherwise(0.0)
-    logp = F.col("score") + F.when(gram, F.col("lp")).otherwise(0.0)
-    sums = hit.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.count_if(F.col("kind") == 0).alias("rows"), F.sum("n").alias("n"),
-        F.sum(F.col("known") + F.when(word & (F.col("c") > 0), 1).otherwise(0)).alias("known"), F.sum(base).alias("base"), F.sum(logp).alias("logp"),
-    )
-    each = sums.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
-    whole = lambda c: F.expr(f"{c} div rows")
-    return each.select(
-        "doc_id", whole("n").alias("n_tokens"), whole("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("rows")).alias("base_score"), (F.col("logp") / F.col("rows")).alias("score"),
-    )
-
-
-_NAMES = ["row", "key", "kind", "doc_id", "score", "base", "known", "n"]
-_GRAM_NAMES = ["level", "key", "hist", "low", "c"]
-
-
-def fit_and_score(docs: DataFrame, learn: Column, **how) -> DataFrame:
-    """score() of all docs by a model of those that the condition learn holds for."""
-    values, figures = model(docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("_learn")), F.col("_learn"))
-    return score(docs, values, figures, **how)
+    ignored; without training texts every score is 0 (one outcome, certain); an empty table gives an empty one."""
+    packed = written(chunks(docs, learn, chunk), "chunks")
+    size = int(packed.agg(F.sum("bytes")).first()[0] or 0)
+    ranges = max(RANGES, -(-size // RANGE))
+    return score(packed, answers(packed, ranges), ranges)

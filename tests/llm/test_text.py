@@ -80,26 +80,66 @@ def test_language_model_whole_table(spark):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
-def test_automaton_is_normalised_and_reads_like_a_walk(spark):
-    texts = spark.createDataFrame([("a b a b c a b",), ("b c a a b",), ("a b c d",), (None,), ("",)], "text string")
-    counts = language_model.written(language_model.token_counts(texts), "t")
-    m, f = language_model.train(texts, counts)
-    assert f["N"] == 21 and f["V"] == 5 and len(m.keys) and len(m.fail) > len(m.hashes) + 1
-    words = np.arange(len(m.hashes))
-    for state in range(len(m.fail)):
-        _, p = m.step(np.full(len(words), state), words)
-        _, rare = m.step(np.array([state]), np.array([-1]))
-        assert (10**p).sum() + 10 ** (rare[0] + f["unseen"]) == pytest.approx(1)
+def plain_model(texts):
+    """Counts of n-grams, and the probability of a word after a history of up to two, by recursion."""
+    runs = [[" ", *SPACE.findall(low(t)), " "] for t in texts]
+    c1 = Counter(w for r in runs for w in r[1:])
+    grams = [Counter(tuple(r[i : i + k]) for r in runs for i in range(len(r) - k + 1)) for k in (2, 3)]
+    grams = {g: c for level in grams for g, c in level.items() if c >= 2}
+    n, v = sum(c1.values()), len(c1)
+    one, two = (sum(c == k for c in c1.values()) for k in (1, 2))
+    off = min(0.9, max(0.1, one / (one + 2 * two))) if one + two else 0.5
+
+    def p(w, h):
+        if not h:
+            return (c1[w] - off) / n if c1[w] else off * v / n
+        own = [c for g, c in grams.items() if g[:-1] == h]
+        all_of = c1[h[0]] if len(h) == 1 else grams.get(h, 0)
+        left = 1 - sum(c - off for c in own) / all_of if own else 1.0
+        return (max(grams[h + (w,)] - off, 0) / all_of if h + (w,) in grams else 0.0) + left * p(w, h[1:])
+
+    return c1, p
+
+
+def plain_score(p, text):
+    words, out = [" ", *SPACE.findall(low(text)), " "], 0.0
+    for i in range(1, len(words)):
+        out += math.log10(p(words[i], tuple(words[max(0, i - 2) : i])))
+    return out
+
+
+def test_plain_model_is_normalised():
+    c1, p = plain_model(["a b a b c a b", "b c a a b", "a b c d", "", ""])
+    for h in [(), ("a",), ("b",), (" ",), ("a", "b"), ("d", "c"), (" ", "a")]:
+        assert sum(p(w, h) for w in [*c1, "never"]) == pytest.approx(1)
+
+
+def test_lanes_read_like_a_walk():
     rng = np.random.default_rng(0)
-    run = rng.integers(-1, len(words), 700)
+    words = (np.array([30.0, 20, 10, 9]), np.array([20.0, 10, 0, 5]), np.array([2.0, 2, 0, 1]))
+    pairs = (np.array([12.0, 8, 6, 4, 5]), np.array([7.0, 0, 0, 2, 0]), np.array([2.0, 0, 0, 1, 0]), np.array([0, 0, 1, 1, 3]), np.array([0, 1, 0, 2, 1]))
+    runs = (np.array([4.0, 3, 2]), np.array([0, 0, 3]), np.array([0, 1, 0]), np.array([0, 1, 0]))
+    m = language_model.automaton(3, words, pairs, runs, 69, 4, 0.5)
+    run = rng.integers(0, 4, 700)
     run[[0, 301]] = -2
     state, out = np.zeros(1, np.int64), []
     for w in run:
-        state, p = m.step(state, np.array([w]))
-        out.append(p[0])
+        state, q = m.step(state, np.array([w]))
+        out.append(q[0])
     assert np.allclose(m.read(run), out)
 
 
+def test_language_model_is_plain_recursion(spark):
+    rare = "quite unusual phrase here"
+    rows = [(1, rare), (2, rare), *[(i, " ".join(f"w{(i * 7 + k * k) % 37}" for k in range(120))) for i in range(3, 20)], (50, f"{rare} w1 new"), (51, "phrase unusual w3 w3"), (52, ""), (53, rare.upper())]
+    docs = docs_of(spark, rows)
+    _, p = plain_model([t for i, t in rows if i < 50])
+    want = {i: plain_score(p, t) for i, t in rows}
+    for size in (1 << 20, 300):  # all in few chunks, and each text in one of its own
+        got = {r.doc_id: r.score for r in language_model.fit_and_score(docs, F.col("doc_id") < 50, chunk=size).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_language_model_edge_cases(spark):
     docs = docs_of(spark, [(1, None), (2, ""), (3, "A a"), (3, "A a"), (None, "a b"), (4, "x" * 5000)])
     rows = language_model.fit_and_score(docs, F.coalesce(F.col("doc_id") < 4, F.lit(True))).collect()
@@ -109,24 +149,6 @@ def test_language_model_edge_cases(spark):
     assert language_model.fit_and_score(docs.limit(0), F.lit(True)).count() == 0
 
 
-def test_language_model_keeps_rare_grams_at_any_size(spark):
-    # n-grams that occur twice count the same however much other text there is
-    rare = "quite unusual phrase here"
-    docs = docs_of(spark, [(1, rare), (2, rare), *[(i, " ".join(f"w{(i * 7 + k * k) % 97}" for k in range(400))) for i in range(3, 40)], (50, f"{rare} w1 new"), (51, "phrase unusual w3 w3")])
-    learn = F.col("doc_id") < 50
-    texts = docs.where(learn).select("text")
-    m, f = language_model.train(texts, language_model.written(language_model.token_counts(texts), "t"), word_share=0.0, gram_share=0.0)
-    number = {int(h): i for i, h in enumerate(m.hashes)}
-    want = {}
-    for d in docs.collect():
-        word = np.array([number.get(tokens.hash_of(w.encode()), -1) for w in [*SPACE.findall(low(d.text)), " "]])
-        run = m.read(np.concatenate([[-2], word]))[1:]
-        want[d.doc_id] = run.sum() + f["unseen"] * (word < 0).sum()
-    for share in (0.0, 2e-3, 0.5, 2.0):  # what is cached, from everything to nothing, changes nothing
-        got = {r.doc_id: r.score for r in language_model.fit_and_score(docs, learn, word_share=share, gram_share=share).collect()}
-        assert got == pytest.approx(want, rel=1e-9)
-
-
 def test_missed_mixing_targets_are_reported(spark):
     soft = spark.createDataFrame([(100, 0.9, 0.1), (50, 0.4, 0.6), (10, 0.2, 0.8)], "n_tokens long, p0 double, p1 double")
     with pytest.warns(RuntimeWarning, match="missed after 1 steps"):
