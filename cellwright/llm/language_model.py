@@ -46,7 +46,6 @@ MIN_COUNT = 2
 #: Bytes of text of a chunk (a longer text is one of its own), of text whose n-grams meet in a range, and
 #: the ranges at least.
 CHUNK, RANGE, RANGES = 2 << 20, 16 << 20, 64
-_OWN = np.uint32(1 << 31)
 
 
 @dataclass
@@ -145,9 +144,8 @@ class Grams:
     long: np.ndarray
 
 
-def grams(column: pa.Array) -> Grams:
+def grams(data: np.ndarray, offs: np.ndarray) -> Grams:
     end = np.uint64(tokens.hash_of(END.encode()))
-    data, offs = tokens.text_buffers(column)
     data = tokens.FOLD[data]
     starts, ends, first = tokens.word_spans(data, offs, tokens.NOT_SPACE)
     count = len(first) - 1
@@ -166,23 +164,25 @@ def grams(column: pa.Array) -> Grams:
 
 
 def chunks(docs: DataFrame, learn: Column, size: int = CHUNK) -> DataFrame:
-    """(chunk, bytes, ids, learns, texts): docs (doc_id, text) packed in rows of about that many bytes."""
+    """(chunk, bytes, ids, learns, ends, data): docs (doc_id, text) packed in rows of about that many bytes of text,
+    which are compressed as they are shuffled more than once; ends says where each text ends in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(2).cast(pa.string()).fill_null("")
-            for row, end, data, _ in tokens.chunks(text, size):
+            for row, end, data, offs in tokens.chunks(text, size):
                 one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-                part = [one(pa.concat_arrays([c.slice(row, end - row)])) for c in (batch.column(0), batch.column(1), text)]
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), pa.array([len(data)], pa.int64()), *part], ["chunk", "bytes", "ids", "learns", "texts"])
+                part = [one(pa.concat_arrays([c.slice(row, end - row)])) for c in (batch.column(0), batch.column(1))]
+                packed = pa.array([pa.compress(np.ascontiguousarray(data), codec="zstd", asbytes=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), pa.array([len(data)], pa.int64()), *part, one(pa.array(offs[1:])), packed], ["chunk", "bytes", "ids", "learns", "ends", "data"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), "text")
-    return rows.mapInArrow(run, "chunk long, bytes long, ids array<long>, learns array<boolean>, texts array<string>")
+    return rows.mapInArrow(run, "chunk long, bytes long, ids array<long>, learns array<boolean>, ends array<long>, data binary")
 
 
-def _pack(keys: np.ndarray) -> bytes:
-    """Sorted hashes byte by byte: the first bytes of all, then the second ones; the first compress well."""
-    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: the first bytes of all, then the second ones; of most of these all are alike."""
+    return np.ascontiguousarray(numbers.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -201,13 +201,12 @@ def _asks(chunk: int, keys: np.ndarray, c: np.ndarray, ranges: int, kept: np.nda
     """A row for each range that the sorted keys of a chunk fall in."""
     cuts = np.flatnonzero(np.diff(_range_of(keys, ranges).astype(np.int64), prepend=-1))
     spans = list(zip(cuts, np.append(cuts[1:], len(keys)), strict=True)) if len(keys) else []
-    raw = lambda x, a, b: None if x is None else x[a:b].astype(np.int64 if x is not c else np.uint32).tobytes()
     columns = {
         "part": pa.array(_range_of(keys[cuts], ranges).astype(np.int64)), "chunk": pa.array([chunk] * len(spans), pa.int64()),
         "keys": pa.array([_pack(keys[a:b]) for a, b in spans], pa.binary()),
     }
     for name, x in (("c", c), ("kept", kept), ("arcs", arcs)):
-        columns[name] = pa.array([raw(x, a, b) for a, b in spans], pa.binary())
+        columns[name] = pa.array([None if x is None else _pack(x[a:b]) for a, b in spans], pa.binary())
     return pa.table(columns)
 
 
@@ -233,9 +232,9 @@ def _met(level: int):
         new[1:] = keys[order][1:] != keys[order][:-1]
         starts, which = np.flatnonzero(new), np.empty(len(keys), np.int64)
         which[order] = np.cumsum(new) - 1
-        add = lambda parts, kind: np.add.reduceat(np.concatenate([np.frombuffer(x, kind) for x in parts]).astype(np.int64)[order], starts)
-        c = add(pdf["c"], np.uint32)
-        kept, arcs = (add(pdf[k], np.int64) if level < 3 else None for k in ("kept", "arcs"))
+        add = lambda parts: np.add.reduceat(np.concatenate([_unpack(x) for x in parts]).view(np.int64)[order], starts)
+        c = add(pdf["c"])
+        kept, arcs = (add(pdf[k]) if level < 3 else None for k in ("kept", "arcs"))
         own = np.zeros(len(keys), bool)
         own[order[starts]] = True
         hit, rows = c >= least, []
@@ -245,8 +244,8 @@ def _met(level: int):
             at = np.flatnonzero(hit[which[a:b]])
             if len(at):
                 g = which[a:b][at]
-                name = np.where(own[a:b][at], at.astype(np.uint32) | _OWN, at.astype(np.uint32)).astype(np.uint32)
-                rows.append((pdf["part"].iloc[0], chunk, level, name.tobytes(), c[g].tobytes(), *(None if x is None else x[g].tobytes() for x in (kept, arcs)), None))
+                name = 2 * np.diff(at, prepend=0) + own[a:b][at]
+                rows.append((pdf["part"].iloc[0], chunk, level, *(None if x is None else _pack(x) for x in (name, c[g], *(None if x is None else x[g] for x in (kept, arcs)))), None))
         return pd.DataFrame(rows, columns=["part", "chunk", "level", "at", "c", "kept", "arcs", "facts"])
 
     return run
@@ -259,19 +258,21 @@ def _answers(table: pa.Table, level: int, keys: np.ndarray, ranges: int) -> tupl
     base = np.searchsorted(_range_of(keys, ranges), np.arange(ranges, dtype=np.uint64))
     for row in table.to_pylist():
         if row["level"] == level:
-            name = np.frombuffer(row["at"], np.uint32)
-            at = base[row["part"]] + (name & ~_OWN).astype(np.int64)
-            own[at] = (name & _OWN) > 0
+            name = _unpack(row["at"]).view(np.int64)
+            at = base[row["part"]] + np.cumsum(name // 2)
+            own[at] = name % 2 > 0
             for x, k in ((c, "c"), (kept, "kept"), (arcs, "arcs")):
                 if row[k] is not None:
-                    x[at] = np.frombuffer(row[k], np.int64)
+                    x[at] = _unpack(row[k]).view(np.int64)
     return c, kept, arcs, own
 
 
-def _rows_of(table: pa.Table) -> Iterator[tuple[int, pa.Array, pa.Array, pa.Array]]:
-    table = table.combine_chunks()
+def _rows_of(table: pa.Table) -> Iterator[tuple[int, pa.Array, pa.Array, Grams]]:
+    """Of each row of a table of chunks: its name, ids, learns, and the words of its texts."""
     for k in range(table.num_rows):
-        yield (table["chunk"][k].as_py(), *(table[name][k].values for name in ("ids", "learns", "texts")))
+        ends = table["ends"][k].values.to_numpy()
+        data = pa.decompress(table["data"][k].as_py(), decompressed_size=int(ends[-1]), codec="zstd") if ends[-1] else b""
+        yield table["chunk"][k].as_py(), table["ids"][k].values, table["learns"][k].values, grams(np.frombuffer(data, np.uint8), np.append(0, ends))
 
 
 def _learnt(g: Grams, learns: pa.Array) -> np.ndarray:
@@ -285,15 +286,13 @@ def answers(packed: DataFrame, ranges: int) -> DataFrame:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, _, learns, texts in _rows_of(pa.Table.from_batches([batch])):
-                g = grams(texts)
+            for chunk, _, learns, g in _rows_of(pa.Table.from_batches([batch])):
                 one, c, *_ = _distinct(g.three, g.long, _learnt(g, learns))
                 yield from _asks(chunk, one, c, ranges).to_batches()
 
     def pairs(packed: pa.Table, told: pa.Table) -> pa.Table:
         out = []
-        for chunk, _, learns, texts in _rows_of(packed):
-            g = grams(texts)
+        for chunk, _, learns, g in _rows_of(packed):
             one, c, _, number = _distinct(g.two, g.read, _learnt(g, learns))
             three, _, at, _ = _distinct(g.three, g.long, np.ones(len(g.word)))
             c3, _, _, own = _answers(told, 3, three, ranges)
@@ -304,8 +303,7 @@ def answers(packed: DataFrame, ranges: int) -> DataFrame:
 
     def words(packed: pa.Table, told: pa.Table) -> pa.Table:
         out = []
-        for chunk, _, learns, texts in _rows_of(packed):
-            g = grams(texts)
+        for chunk, _, learns, g in _rows_of(packed):
             one, c, _, number = _distinct(g.word, g.read, _learnt(g, learns))
             two, _, at, _ = _distinct(g.two, g.read, np.ones(len(g.word)))
             c2, _, _, own = _answers(told, 2, two, ranges)
@@ -338,8 +336,7 @@ def score(packed: DataFrame, told: DataFrame, ranges: int) -> DataFrame:
 
     def run(packed: pa.Table, told: pa.Table) -> pa.Table:
         out = []
-        for _, ids, _, texts in _rows_of(packed):
-            g = grams(texts)
+        for _, ids, _, g in _rows_of(packed):
             every = np.ones(len(g.word))
             w, _, _, _ = _distinct(g.word, g.read, every)
             number1 = np.searchsorted(w, g.word)  # END of the begin places too
@@ -361,7 +358,7 @@ def score(packed: DataFrame, told: DataFrame, ranges: int) -> DataFrame:
             base = np.where(g.read, np.log10(c1[number1] + 1.0) - floor, 0.0)
             total = lambda x: np.add.reduceat(x, g.begin)
             out.append(pa.table([
-                ids, pa.array(total(g.read.astype(np.int64))), pa.array(total(known.astype(np.int64))), pa.array(np.full(len(ids), n)),
+                pa.concat_arrays([ids]), pa.array(total(g.read.astype(np.int64))), pa.array(total(known.astype(np.int64))), pa.array(np.full(len(ids), n)),
                 pa.array(total(base)), pa.array(total(np.where(g.read, logp, 0.0))),
             ], names=_COLUMNS))
         return pa.concat_tables(out) if out else _NOTHING

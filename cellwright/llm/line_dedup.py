@@ -20,10 +20,11 @@ from .common import components, fresh, small, written
 EDITS, MIN_CHARS = 2, 20
 #: Lines that share a key beyond which finer keys are used, and the segments of these.
 HOT, FINE_PARTS = 24, 8
-#: Letters that are counted before texts of candidates are joined.
+#: Letters that are counted before candidates are verified.
 LETTERS = "aeinorstdhlu"
 _LATE = 9223372036854775807
 _LINES = 1 << 32
+_CROWDED = -1
 
 
 def segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
@@ -36,35 +37,31 @@ def keys(lines: DataFrame, edits: int, index_only: bool = False) -> DataFrame:
     """(id, key): the index entries and the probes of lines (id, line, size). A probe takes a
     length that is less by 0 to edits, a segment i, and a shift of its place that leaves enough edits
     for what is left and right of it; the one that moves nothing is the index entry."""
-    parts, out = edits + 1, []
-    for less in range(parts):
-        length = F.col("size") - less
-        for i in range(parts):
-            start, n = segment(length, F.lit(i), parts)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                if not index_only or less == shift == 0:
-                    at = start + shift
-                    fits = (length > edits) & (at >= 0) & (at + n <= F.col("size"))
-                    out.append(F.when(fits, F.xxhash64(F.lit(i), length, F.substring("line", at + 1, n))))
-    return lines.select("id", F.explode(F.array(*out)).alias("key")).where("key is not null")
+    probes = [
+        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for less in range(edits + 1) for i in range(edits + 1)
+        for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
+        if not index_only or less == shift == 0
+    ]
+    # few and short expressions, as what longer ones are compiled to is too long to be compiled in turn; a probe that
+    # begins before the line or ends after it is some other piece, which costs a candidate at most
+    rows = lines.select("id", "line", "size", F.explode(F.array(*probes)).alias("p")).where("size - p.less > %d" % edits)
+    length = F.col("size") - F.col("p.less")
+    start, n = segment(length, F.col("p.i"), edits + 1)
+    return rows.select("id", F.xxhash64("p.i", length, F.substring("line", start + F.col("p.shift") + 1, n)).alias("key"))
 
 
 def marks(line: Column) -> Column:
-    """How often each of LETTERS occurs, modulo 32, in five bits each."""
-    counts = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x))) for x in LETTERS]
-    out = F.lit(0).cast("long")
-    for k, n in enumerate(counts):
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(31)).cast("long"), 5 * k))
-    return out
+    """How often each of LETTERS occurs, modulo 10, in five bits each of which the next number changes one."""
+    count = lambda x: F.octet_length(line) - F.octet_length(F.replace(line, x))
+    codes = F.array(*[F.lit(v).cast("long") for v in (0, 1, 3, 7, 15, 31, 30, 28, 24, 16)])
+    letters = F.array(*[F.lit(x) for x in LETTERS])
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda m, x: m * 32 + F.get(codes, count(x) % 10))
 
 
 def apart(x: Column, y: Column) -> Column:
     """By how much the counts of two marks differ in all, or less: an edit adds two at most."""
-    out = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        d = F.abs(F.shiftright(x, 5 * k).bitwiseAND(F.lit(31)) - F.shiftright(y, 5 * k).bitwiseAND(F.lit(31)))
-        out = out + F.least(d, 32 - d)
-    return out
+    return F.bit_count(x.bitwiseXOR(y))
 
 
 def fine_keys(lines: DataFrame, parts: int) -> DataFrame:
@@ -159,7 +156,7 @@ def within(x: Column, y: Column, edits: int) -> Column:
 
 
 def _met(rows: DataFrame, index: DataFrame, most: int | None = None) -> DataFrame:
-    """Pairs that share a key; with most, only those whose letter counts differ by no more in all."""
+    """Pairs that share a key; with most, only those whose marks differ by no more."""
     own = ["marks"] if most is not None else []
     left = index.select("key", F.col("id").alias("i"), *own)
     right = rows.select("key", F.col("id").alias("p"), *[F.col(c).alias("others") for c in own])
@@ -170,39 +167,37 @@ def _met(rows: DataFrame, index: DataFrame, most: int | None = None) -> DataFram
 
 
 def candidates(lines: DataFrame, edits: int, hot: int = HOT) -> DataFrame:
-    """(a, b), a < b, some more than once: pairs of lines (id, line, size, marks) that share a key. Keys of more
-    than hot lines are
+    """(a, b), a < b: pairs of lines (id, line, size) that share a key. Keys of more than hot lines are
     not joined; the lines that have one are instead joined among themselves by finer keys, which every
     pair within edits shares too. That holds for up to two edits; for more all keys are joined."""
     rows, index = keys(lines, edits), keys(lines, edits, index_only=True)
     if edits > 2:
-        return _met(rows, index)
+        return _met(rows, index).distinct()
     crowded = written(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "crowded")
-    if not crowded.limit(1).count():
-        return _met(rows, index)
-    crowded = small(crowded)
-    pairs = _met(rows, index.join(crowded, "key", "left_anti"))
-    ids = written(rows.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
+    # a crowded key is met once, as line -1, which tells the lines that have or probe one
+    index = index.join(small(crowded), "key", "left_anti").unionByName(crowded.select("key", F.lit(_CROWDED).cast("long").alias("id")))
+    met = written(_met(rows, index).distinct(), "met")
+    pairs, ids = met.where(F.col("a") != _CROWDED), met.where(F.col("a") == _CROWDED).select(F.col("b").alias("id"))
+    if not ids.limit(1).count():
+        return pairs
     # written, so that the long code of the finer keys runs over these lines alone
-    picked = written(lines.join(small(ids), "id", "left_semi"), "crowded-text")
+    picked = written(lines.join(small(ids), "id", "left_semi").withColumn("marks", marks(F.col("line"))), "crowded-text")
     fine = fine_keys(picked, FINE_PARTS)
-    return pairs.union(_met(fine, fine.where("indexed"), 2 * edits))
+    return pairs.union(_met(fine, fine.where("indexed"), 2 * edits)).distinct()
 
 
 def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """(a, b), a < b: the ids of distinct lines (id, line, size) within that many edits. Lines of no
-    more characters than edits link with nothing. Candidates whose letter counts are too far apart to be
-    within edits go before any text is joined to them."""
-    if "marks" not in lines.columns:
-        lines = lines.withColumn("marks", marks(F.col("line")))
-    pairs = candidates(lines, edits)
-    for c in "ab":
-        pairs = pairs.join(lines.select(F.col("id").alias(c), F.col("marks").alias(f"marks_{c}")), c)
-    pairs = written(pairs.where(apart(F.col("marks_a"), F.col("marks_b")) <= 2 * edits).select("a", "b").distinct(), "candidates")
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate-lines")
-    texts = written(lines.select("id", "line").join(small(ids), "id", "left_semi"), "candidate-text")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    more characters than edits link with nothing. The texts of candidates alone are joined to them, and only those
+    whose letter counts may be within edits are verified."""
+    pairs = written(candidates(lines, edits), "candidates")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = lines.select("id", "line").join(small(written(ids, "candidate-lines")), "id", "left_semi")
+    texts = written(texts.withColumn("marks", marks(F.col("line"))), "candidate-text")
+    both = pairs
+    for c, text in (("a", "x"), ("b", "y")):
+        both = both.join(texts.select(F.col("id").alias(c), F.col("line").alias(text), F.col("marks").alias(f"marks_{c}")), c)
+    both = both.where(apart(F.col("marks_a"), F.col("marks_b")) <= 2 * edits)
     close = _stripped(F.col("x"), F.col("y"), edits + 1, lambda x, y: within(x, y, edits))
     return both.where(close).select("a", "b")
 
@@ -248,8 +243,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LATE))
     place = order.cast("decimal(20,0)") * F.lit(_LINES).cast("decimal(11,0)") + F.col("line_no").cast("decimal(10,0)")
     one = able.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("n"))
-    one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), marks(F.col("line")).alias("marks"), "place", "n"), "lines")
-    links = written(scaled_links(one.select("id", "line", "size", "marks"), edits, min_chars), "links")
+    one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), "place", "n"), "lines")
+    links = written(scaled_links(one.select("id", "line", "size"), edits, min_chars), "links")
     group = components(links)
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     shared = one.join(group.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,8 +29,10 @@ from .common import components, small, written
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
 #: Nodes of a bucket up to which all its pairs of different classes are compared.
 CROWD = 24
-#: How often elements that many texts of a crowd share are made buckets of their own.
-ROUNDS = 3
+#: Texts of a crowd that share an element beyond which they are a bucket of their own, and how often that is done.
+HOT, ROUNDS = 512, 3
+#: How likely a pair is missed among texts of a crowd that have to share many elements; the bands miss 1e-4 at 0.8.
+MISS = 1e-6
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -181,15 +183,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Da
     return _sides(pairs, texts).mapInArrow(run, "a long, b long")
 
 
-def _against(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
+def _against(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """pairs (a, b, c) with weight, the total weight of b, common, that of what it shares with a, and the
-    elements of which b has more than a, in the order of their hashes: more, and by how much: excess. Of
-    these the first lead ones, a fifth of b's weight at most for least = 0.8, hold one that any text which is
-    as similar as least has too, unless common is enough for that alone."""
+    elements of which b has more than a, in the order of their hashes: more, by how much: excess, and
+    onward, the sum of excess from there on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight, common, more, excess, lead = [], [], [], [], []
+            weight, common, more, excess = [], [], [], []
             for x, y in zip(_text_words(batch.column(0)), _text_words(batch.column(1)), strict=True):
                 (a, wa), (b, wb) = weighted_shingles(x, size), weighted_shingles(y, size)
                 _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -199,13 +200,40 @@ def _against(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Dat
                 common.append(both.sum())
                 more.append(b[wb > both].view(np.int64))
                 excess.append((wb - both)[wb > both])
-                onward = np.cumsum(excess[-1][::-1])[::-1]
-                lead.append(int((onward >= least * weight[-1] - common[-1] - 1e-9).sum()))
+            onward = [np.cumsum(e[::-1])[::-1] for e in excess]
             cuts = pa.array(np.cumsum([0, *map(len, more)]), pa.int32())
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, kind), *x]))) for x, kind in ((more, np.int64), (excess, np.float64))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (2, 3, 4)], pa.array(weight, pa.float64()), pa.array(common, pa.float64()), *lists, pa.array(lead, pa.int32())], ["a", "b", "c", "weight", "common", "more", "excess", "lead"])
+            flat = lambda parts, kind: pa.array(np.concatenate([np.zeros(0, kind), *parts]))
+            lists = [pa.ListArray.from_arrays(cuts, flat(parts, kind)) for parts, kind in ((more, np.int64), (excess, np.float64), (onward, np.float64))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (2, 3, 4)], pa.array(weight, pa.float64()), pa.array(common, pa.float64()), *lists], _FACTS)
 
-    return _sides(pairs, texts).mapInArrow(run, "a long, b long, c long, weight double, common double, more array<long>, excess array<double>, lead int")
+    kinds = "a long, b long, c long, weight double, common double, more array<long>, excess array<double>, onward array<double>"
+    return _sides(pairs, texts).mapInArrow(run, kinds)
+
+
+_FACTS = ["a", "b", "c", "weight", "common", "more", "excess", "onward"]
+
+
+def _cell(weight: Column | str) -> Column:
+    """Weights of a cell differ by a fiftieth at most."""
+    return F.floor(F.log(weight) / F.log(F.lit(1.02))).cast("int")
+
+
+def _leading(facts: DataFrame, least: float) -> DataFrame:
+    """facts with lead: of the elements that a text has more of than its reference, any other that is as similar as
+    least shares one of the first lead ones, unless lead is all. What a pair has to share grows with both weights, and
+    no partner is lighter than the lightest text of the reference that may be one. A pair that has to share many
+    elements shares one of the lowest hashes: of these so many are taken that it misses them with probability MISS."""
+    present = facts.groupBy("a", _cell("weight").alias("cell")).agg(F.min("weight").alias("low"), F.max("weight").alias("high"))
+    # a few hundred cells at most, whatever the number of texts
+    present = present.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("cells"))
+    floor = F.col("weight") * least
+    partner = F.get(F.filter("cells", lambda x: x["high"] >= floor), F.lit(0))["low"]
+    need = (F.col("weight") + F.greatest(partner, floor)) * (least / (1 + least)) - F.col("common") - 1e-6
+    below = 1 - F.pow(F.lit(MISS), F.array_max("excess") / F.greatest(F.col("need"), F.lit(1e-6)))
+    unsigned = lambda v: F.when(v < 0, v + 2.0**64).otherwise(v.cast("double"))
+    low = F.size(F.filter("more", lambda v: unsigned(v) < F.col("below") * 2.0**64))
+    out = facts.join(present, "a").withColumn("need", need).withColumn("below", F.when(F.col("need") > 0, below).otherwise(1.0))
+    return out.withColumn("lead", F.least(low, F.size(F.filter("onward", lambda v: v >= F.col("need"))))).drop("cells", "need", "below", "onward")
 
 
 def _ordered(x: str, y: str) -> list:
@@ -238,7 +266,7 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
     a reference: two nodes that have no element in common of which both have more than the reference
     share no more than either shares with it. So a pair either shares such an element, and is
     found by the rarest one if what it may share from there on is enough, or has to pass that bound;
-    a crowd of copies of the reference passes neither. Elements that more than CROWD nodes have make the
+    a crowd of copies of the reference passes neither. Elements that more than HOT nodes have make the
     smaller buckets; the last time they are joined too."""
     few = held.where(F.col("n") <= CROWD)
     mixed = few.groupBy("band", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band", "key")
@@ -250,7 +278,8 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
         return pairs.distinct(), held.select("band", "key", "node", "n").limit(0)
     many = written(_references(held.where(F.col("n") > CROWD)), "crowds")
     mixed = many.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
-    facts = written(_against(many.join(mixed, "a"), texts, least, size), "facts")
+    facts = written(_against(many.join(mixed, "a"), texts, size), "facts")
+    facts = written(_leading(facts, least), "leading")
     # a pair of different classes has a side that is not of the reference's class
     own = held.select(F.col("node").alias("a"), F.col("c").alias("ca")).distinct()
     facts = facts.join(own, "a", "left").withColumn("stray", ~F.col("c").eqNullSafe(F.col("ca"))).drop("ca")
@@ -268,7 +297,7 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
     part = part.join(met.select("a", "e", "m"), ["a", "e"]).withColumn("left", F.sum("excess").over(onward))
     part = part.where(F.col("common") + F.col("left") >= least * F.col("weight"))
     part = written(part.select("a", "b", "c", "stray", "weight", "common", "e", "m", "left"), "elements")
-    rare = part if last else part.where(F.col("m") <= CROWD)
+    rare = part if last else part.where(F.col("m") <= HOT)
     most = F.least("ox", "oy") + F.least("lx", "ly")
     enough = most >= least * (F.col("wx") + F.col("wy") - most)
     left, right = _sides_of(rare.where("stray").drop("stray", "m"), "x"), _sides_of(rare.drop("stray", "m"), "y")
@@ -276,16 +305,15 @@ def _rest(held: DataFrame, texts: DataFrame, least: float, size: int, last: bool
 
     # without such an element: what a stray shares with the reference bounds the weight of its partners
     near = facts.where(F.col("common") >= least * F.col("weight")).drop("more", "excess", "lead")
-    cell = lambda w: F.floor(F.log(w) / F.log(F.lit(1.02))).cast("int")
     widest = F.col("common") * ((1 + least) / least) - F.col("weight")
-    cells = F.sequence(cell(F.col("weight") * least) - 1, cell(F.greatest(widest, F.col("weight") * least)) + 1)
+    cells = F.sequence(_cell(F.col("weight") * least) - 1, _cell(F.greatest(widest, F.col("weight") * least)) + 1)
     left = _sides_of(near.where("stray").withColumn("cell", F.explode(cells)).drop("stray"), "x")
-    right = _sides_of(near.withColumn("cell", cell(F.col("weight"))).drop("stray"), "y")
+    right = _sides_of(near.withColumn("cell", _cell(F.col("weight"))).drop("stray"), "y")
     most = F.least("ox", "oy")
     bound = most >= least * (F.col("wx") + F.col("wy") - most)
     by_bound = left.join(right, ["a", "cell"]).where((F.col("cx") != F.col("cy")) & bound).select(*_ordered("x", "y"))
 
-    hot = part.where(F.col("m") > CROWD) if not last else part.limit(0)
+    hot = part.where(F.col("m") > HOT) if not last else part.limit(0)
     hot = hot.select(F.lit(-1).alias("band"), F.xxhash64("a", "e").alias("key"), F.col("b").alias("node"), F.col("m").alias("n"))
     return pairs.union(by_element).union(by_bound).distinct(), hot
 
