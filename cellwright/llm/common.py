@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,9 @@ def released(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of steps whose results are written: its cleaner removes those that the
     driver's collector finds unused, which may else not run for a long time."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what a first collection lets go of may be all that holds the rest
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -232,7 +232,7 @@ def _leading(facts: DataFrame, least: float) -> DataFrame:
     below = 1 - F.pow(F.lit(MISS), F.array_max("excess") / F.greatest(F.col("need"), F.lit(1e-6)))
     unsigned = lambda v: F.when(v < 0, v + 2.0**64).otherwise(v.cast("double"))
     low = F.size(F.filter("more", lambda v: unsigned(v) < F.col("below") * 2.0**64))
-    out = facts.join(present, "a").withColumn("need", need).withColumn("below", F.when(F.col("need") > 0, below).otherwise(1.0))
+    out = facts.join(small(written(present, "present")), "a").withColumn("need", need).withColumn("below", F.when(F.col("need") > 0, below).otherwise(1.0))
     return out.withColumn("lead", F.least(low, F.size(F.filter("onward", lambda v: v >= F.col("need"))))).drop("cells", "need", "below", "onward")
 
 
