@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, small, written
+from .common import BROADCAST_ROWS, ascii_lower, fresh, small, written
 
 WINDOW = 10
 #: Fixed pattern: what separates words once A-Z is lower-cased.
@@ -61,12 +61,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> tuple[Da
         probe = at.withColumn("hash", F.xxhash64(F.array(*[F.get("w", F.col("i") + k) for k in range(size)])) if size > 1 else F.xxhash64(F.array("word")))
         fits = F.col("i") + size <= F.size("w")
         same = F.concat_ws(" ", *[F.get("w", F.col("i") + k) for k in range(size)]) == F.col("gram")
-        found = probe.join(small(named), (probe["hash"] == named["hash"]) & fits & same, "left")
+        place = [total.cast("long").alias("n_words"), (F.col("i") - lead).alias("pos"), F.lit(size).alias("size")]
+        if named.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+            # what is shuffled of a window is its hash, its place and its own words
+            grams_of = F.concat_ws(" ", *[F.get("w", F.col("i") + k) for k in range(size)]).alias("gram")
+            windows = probe.where(fits).select("key", "doc_id", *place, "hash", grams_of)
+            found = windows.join(named, ["hash", "gram"]).select("key", "doc_id", "n_words", "pos", "size", "gram_id")
+            if n == 0:
+                first = at.where(F.coalesce(F.col("i") == 0, F.lit(True))).select("key", "doc_id", *place, F.lit(None).cast("string").alias("gram_id"))
+                found = found.union(first)
+            out = found if out is None else out.union(found)
+            continue
+        found = probe.join(F.broadcast(named), (probe["hash"] == named["hash"]) & fits & same, "left")
         if n == 0:
             found = found.where(F.col("gram_id").isNotNull() | F.coalesce(F.col("i") == 0, F.lit(True)))
         else:
             found = found.where(F.col("gram_id").isNotNull())
-        found = found.select("key", "doc_id", total.cast("long").alias("n_words"), (F.col("i") - lead).alias("pos"), F.lit(size).alias("size"), "gram_id")
+        found = found.select("key", "doc_id", *place, "gram_id")
         out = found if out is None else out.union(found)
     return out, items
 
@@ -115,16 +126,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, re
     found, _ = hits(docs, benchmark, width)
     found = found.where("gram_id is not null")
     key = F.xxhash64(docs["doc_id"].cast("string"), docs["text"])
+    key_of, doc_of, cut_of = fresh(docs, "key_of", "doc_of", "cut_of")
     if remove == "documents":
-        bad = found.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")).distinct()
-        return docs.join(bad, (key == bad["_key"]) & docs["doc_id"].eqNullSafe(bad["_doc"]), "left_anti")
+        bad = found.select(F.col("key").alias(key_of), F.col("doc_id").alias(doc_of)).distinct()
+        return docs.join(bad, (key == bad[key_of]) & docs["doc_id"].eqNullSafe(bad[doc_of]), "left_anti")
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
-    cut = spans(found).groupBy(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")).agg(
-        F.flatten(F.collect_list(F.sequence("begin", F.col("end") - 1))).alias("_cut")
+    cut = spans(found).groupBy(F.col("key").alias(key_of), F.col("doc_id").alias(doc_of)).agg(
+        F.flatten(F.collect_list(F.sequence("begin", F.col("end") - 1))).alias(cut_of)
     )
-    both = docs.join(cut, (key == cut["_key"]) & docs["doc_id"].eqNullSafe(cut["_doc"]), "left")
+    both = docs.join(cut, (key == cut[key_of]) & docs["doc_id"].eqNullSafe(cut[doc_of]), "left")
     w = words_of("text")
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(w) - 1), F.col("_cut")), lambda i: F.get(w, i))
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(left, " "))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(w) - 1), F.col(cut_of)), lambda i: F.get(w, i))
+    text = F.when(F.col(cut_of).isNull(), F.col("text")).otherwise(F.array_join(left, " "))
     return both.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 #: Word buckets of the classifier and domains at most: its table has so many numbers whatever the corpus.
 BUCKETS, MAX_DOMAINS = 4096, 64
@@ -48,22 +48,26 @@ def train(labelled: DataFrame) -> tuple[DataFrame, list[str], list[float]]:
     return table, domains, [totals[d] / n for d in domains]
 
 
+def _mark(doc_id: str, text: str) -> Column:
+    return F.when(F.col(doc_id).isNull(), F.xxhash64(text))
+
+
 def posteriors(docs: DataFrame, model: tuple[DataFrame, list[str], list[float]]) -> DataFrame:
     """(doc_id, n_tokens, p0, p1, ...): each document's words and its posterior of each domain, the mean
     word's likelihood raised to at most EVIDENCE words. Without words the posteriors are 0. Rows that
-    share a doc_id, null too, are one document."""
+    share a doc_id are one document; of those without one, rows of equal text, which alone have a mark."""
     table, domains, shares = model
-    words = docs.select("doc_id", F.explode_outer(_tokens("text")).alias("w")).withColumn("bucket", _bucket("w"))
+    words = docs.select("doc_id", _mark("doc_id", "text").alias("mark"), F.explode_outer(_tokens("text")).alias("w")).withColumn("bucket", _bucket("w"))
     joined = words.join(F.broadcast(table), "bucket")  # BUCKETS rows
     real = F.col("w") != ""
     n = F.sum(real.cast("long"))
-    sums = joined.groupBy("doc_id").agg(n.alias("n_tokens"), *[F.sum(F.when(real, F.col(f"l{k}")).otherwise(0.0)).alias(f"s{k}") for k in range(len(domains))])
+    sums = joined.groupBy("doc_id", "mark").agg(n.alias("n_tokens"), *[F.sum(F.when(real, F.col(f"l{k}")).otherwise(0.0)).alias(f"s{k}") for k in range(len(domains))])
     scale = F.least(F.lit(1.0), F.lit(EVIDENCE) / F.greatest(F.col("n_tokens"), F.lit(1)))
-    sums = sums.select("doc_id", "n_tokens", *[(F.col(f"s{k}") * scale + float(np.log(p))).alias(f"s{k}") for k, p in enumerate(shares)])
+    sums = sums.select("doc_id", "mark", "n_tokens", *[(F.col(f"s{k}") * scale + float(np.log(p))).alias(f"s{k}") for k, p in enumerate(shares)])
     top = F.greatest(*[F.col(f"s{k}") for k in range(len(domains))]) if len(domains) > 1 else F.col("s0") if domains else F.lit(0.0)
-    sums = sums.select("doc_id", "n_tokens", *[F.exp(F.col(f"s{k}") - top).alias(f"e{k}") for k in range(len(domains))])
+    sums = sums.select("doc_id", "mark", "n_tokens", *[F.exp(F.col(f"s{k}") - top).alias(f"e{k}") for k in range(len(domains))])
     total = sum((F.col(f"e{k}") for k in range(len(domains))), F.lit(0.0))
-    return sums.select("doc_id", "n_tokens", *[F.when(F.col("n_tokens") > 0, F.col(f"e{k}") / total).otherwise(0.0).alias(f"p{k}") for k in range(len(domains))])
+    return sums.select("doc_id", "mark", "n_tokens", *[F.when(F.col("n_tokens") > 0, F.col(f"e{k}") / total).otherwise(0.0).alias(f"p{k}") for k in range(len(domains))])
 
 
 def rate_of(steps: list[np.ndarray], domains: int) -> Column:
@@ -105,13 +109,14 @@ def fit_rates(soft: DataFrame, targets: list[float], tolerance: float = 1e-6, ma
     return steps
 
 
-def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def _rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """(doc_id, n_tokens, domain, posterior, rate) for each document of docs (doc_id, text).
 
     weights: the share of all tokens that each domain shall have, made to add up to one; domains that
     it lacks get 0, and without it all domains get the same. The sum of tokens is kept. domain is the
     likeliest, posterior its posterior. A document without words, or with a null text, has no domain,
-    posterior 0 and rate 1. Rows that share a doc_id are one document and give one row. Without
+    posterior 0 and rate 1. Rows that share a doc_id are one document and give one row; without a doc_id, rows of
+    equal text are. Without
     labelled rows every rate is 1; other columns are ignored; an empty table gives an empty one."""
     model = train(labelled)
     domains = model[1]
@@ -125,11 +130,18 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
     name = F.lit(None).cast("string")
     for k in reversed(range(len(domains))):
         name = F.when((p[k] == best) & (F.col("n_tokens") > 0), F.lit(domains[k])).otherwise(name)
-    return soft.select("doc_id", "n_tokens", name.alias("domain"), best.alias("posterior"), rate_of(steps, len(domains)).alias("rate"))
+    return soft.select("doc_id", "mark", "n_tokens", name.alias("domain"), best.alias("posterior"), rate_of(steps, len(domains)).alias("rate"))
+
+
+def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """(doc_id, n_tokens, domain, posterior, rate) for each document, see _rates."""
+    return _rates(docs, labelled, weights).drop("mark")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """docs with a column rate, in place of any it has."""
-    rates = mixing_rates(docs, labelled, weights).select(F.col("doc_id").alias("_doc"), F.col("rate").alias("_rate"))
-    both = docs.join(rates, docs["doc_id"].eqNullSafe(rates["_doc"]), "left")
-    return both.select(*[docs[c] for c in docs.columns if c != "rate"], F.col("_rate").alias("rate"))
+    doc_of, mark_of, rate_of_doc = fresh(docs, "doc_of", "mark_of", "rate_of_doc")
+    rates = _rates(docs, labelled, weights).select(F.col("doc_id").alias(doc_of), F.col("mark").alias(mark_of), F.col("rate").alias(rate_of_doc))
+    mark = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
+    both = docs.join(rates, docs["doc_id"].eqNullSafe(rates[doc_of]) & mark.eqNullSafe(rates[mark_of]), "left")
+    return both.select(*[docs[c] for c in docs.columns if c != "rate"], F.col(rate_of_doc).alias("rate"))

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import small, written
 
-#: Longest word of the dictionary, and buckets that words are hashed into for the classifier: its
+#: Longest word of the dictionary, which is the longest name a host may have, and buckets that words are hashed into for the classifier: its
 #: model is a table of so many numbers whatever the urls are.
-MAX_WORD, BUCKETS = 24, 1 << 16
+MAX_WORD, BUCKETS = 63, 1 << 16
 
 # Fixed word list: host words that mark a url for the blocked class.
 SEEDS = """ads adserver advert banner track tracker tracking popup spam malware phishing warez torrent crack keygen
@@ -43,7 +43,8 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     host and all subdomains if the path starts with the rule's; of rules of equal length the first in
     order of their text."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for h, p, v in sorted(rules, key=lambda r: (len(r[0] + r[1]), r[0] + r[1]), reverse=False):
+    by_text = sorted(rules, key=lambda r: r[0] + r[1], reverse=True)
+    for h, p, v in sorted(by_text, key=lambda r: len(r[0] + r[1])):  # later ones win
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         rule, verdict = F.when(fits, F.lit(h + p)).otherwise(rule), F.when(fits, F.lit(v)).otherwise(verdict)
     return rule, verdict

@@ -36,6 +36,15 @@ def _weak(etag: Column) -> Column:
     return F.regexp_replace(etag, r"^W/", "")
 
 
+def _lower(headers: Column) -> Column:
+    """Headers by lower-case name; values of names that differ in case alone are sorted and joined by
+    commas, as the entries of a map have no order."""
+    entries = F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))
+    names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
+    values = lambda n: F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == n), lambda e: e["value"])
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.when(F.size(values(n)) == 1, F.get(values(n), F.lit(0))).otherwise(F.array_join(F.array_sort(values(n)), ", "))))
+
+
 def resolve_revisits(records: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
     """One row for each revisit among records (record_id, url, ts, kind, etag, last_modified, digest,
     headers): record_id, canonical, ts, ref_id, outcome, headers.
@@ -76,9 +85,8 @@ def resolve_revisits(records: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
     for have, same in checks:
         outcome = outcome.when(have, F.when(same, "resolved").otherwise("mismatch"))
     out = both.withColumn("outcome", outcome.otherwise("unverified"))
-    lower = lambda m: F.transform_keys(F.coalesce(m, F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
-    new = F.map_filter(lower(F.col("rec.headers")), lambda k, v: k.isin(*PERMITTED))
-    old = F.map_filter(lower(F.col("ref.headers")), lambda k, v: ~F.map_contains_key(F.col("_new"), k))
+    new = F.map_filter(_lower(F.col("rec.headers")), lambda k, v: k.isin(*PERMITTED))
+    old = F.map_filter(_lower(F.col("ref.headers")), lambda k, v: ~F.map_contains_key(F.col("_new"), k))
     out = out.withColumn("_new", new).withColumn("_old", old)
     merged = F.when(F.col("outcome").isin("resolved", "unverified"), F.map_concat("_old", "_new"))
     return out.select(

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellwright.llm import decontamination, language_id, language_model, mixing, queries, tokens, toxicity
+from cellwright.llm import decontamination, language_id, language_model, line_dedup, mixing, queries, tokens, toxicity
 
 from ..conftest import DATA
 from .test_dedup import WORD, low
@@ -63,6 +63,24 @@ def test_contamination_edge_cases(spark):
     assert decontamination.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_large_sets_of_windows_are_joined_by_a_shuffle(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(map(tuple, decontamination.contamination(docs, bench).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, decontamination.contamination(docs, bench).collect())) == want
+
+
+def test_helper_names_do_not_clash(spark):
+    rows = [(1, "one two three\nfour"), (2, "one two three\nfive"), (None, "six"), (None, "seven eight")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("_gone", "_text", "_cut", "_rate", "gone", "left", "of", "key", "cut_of", "key_of", "doc_of", "Rate_of_doc", "mark")})
+    bench = spark.createDataFrame([(1, "two three four")], "item_id long, text string")
+    assert {r.text for r in decontamination.decontaminate(docs, bench, remove="spans").collect()} == {"one", rows[1][1], "six", "seven eight"}
+    mixed = mixing.mix(docs, docs.select("text", F.lit("x").alias("domain")))
+    assert mixed.count() == 4 and mixed.columns == [*docs.columns, "rate"]
+    assert sorted(r.n_tokens for r in mixing.mixing_rates(docs, docs.select("text", F.lit("x").alias("domain"))).where("doc_id is null").collect()) == [1, 2]
+    assert sorted(r.text for r in line_dedup.drop_repeated_lines(docs).collect()) == ["five", "one two three\nfour", "seven eight", "six"]
+
+
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -98,3 +98,16 @@ def test_revisits_whole_table_against_sql(spark, duck):
         x = dict(zip(names, r, strict=True))
         want[x["record_id"]] = (x["canonical"], x["ts"], x["ref_id"], x["outcome"], x["headers"])
     assert rows == want
+
+
+def test_headers_that_differ_in_case_alone(spark):
+    rows = [(1, "http://a.com/x", 1, "response", None, None, "d", {"ETag": "1", "etag": "2", "Date": "x"}), (2, "http://a.com/x", 2, "revisit", None, None, "d", {"date": "y", "DATE": "z"})]
+    df = spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, etag string, last_modified long, digest string, headers map<string,string>")
+    assert warc.resolve_revisits(df).first().headers == {"etag": "1, 2", "date": "y, z"}
+
+
+def test_of_equally_long_rules_the_first_wins(spark):
+    rules = [("b.com", "/a", "block"), ("a.b.com", "/", "allow"), ("com", "/abc/", "allow"), ("com", "/abcd", "block")]
+    df = spark.createDataFrame([("x.com", "/abc/"), ("x.com", "/abcd/"), ("b.com", "/abcd")], "host string, path string")
+    rule, verdict = url_filter.rule_of(F.col("host"), F.col("path"), [*rules, ("b.com", "/ab", "allow")])
+    assert [tuple(r) for r in df.select(rule, verdict).collect()] == [("com/abc/", "allow"), ("com/abcd", "block"), ("b.com/ab", "allow")]
