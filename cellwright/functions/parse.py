@@ -22,17 +22,17 @@ def topic_kv(topic: Column) -> dict[str, Column]:
     """source_type, ints (map of the k=v segments whose v is an integer; of repeated keys the last) and
     field_name (the last segment without "=") of a topic like src/a=1/b=2/field. A null or empty topic
     has null source_type and field_name and no ints."""
-    parts = F.split(topic, "/")
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    pairs = F.filter(rest, lambda s: (F.instr(s, "=") > 1) & F.regexp_extract(s, r"=(.*)$", 1).rlike(_INT))
-    pair = F.transform(pairs, lambda s: F.struct(F.regexp_extract(s, r"^([^=]*)=", 1).alias("k"), F.regexp_extract(s, r"=(.*)$", 1).cast("long").alias("v")))
+    pairs = r"/([^/=]+)=(-?\d{1,18})(?=/|\z)"
+    names, values = (F.regexp_extract_all(topic, F.lit(pairs), F.lit(k)) for k in (1, 2))
+    # the last bare segment: what comes after it are pairs and empty ones
+    field = F.regexp_extract(topic, r"/([^/=]+)(?:/(?:[^/]*=[^/]*)?)*\z", 1)
     # of a repeated key the last: entries that a later one repeats are left out
-    last = F.filter(pair, lambda e, i: F.array_position(F.reverse(F.transform(pair, lambda x: x["k"])), e["k"]) == F.size(pair) - i)
-    bare = F.filter(rest, lambda s: (F.instr(s, "=") == 0) & (s != ""))
+    last = F.filter(F.arrays_zip(names.alias("k"), values.cast("array<bigint>").alias("v")), lambda e, i: F.array_position(F.reverse(names), e["k"]) == F.size(names) - i)
+    ints = F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, values.cast("array<bigint>"))).otherwise(F.map_from_entries(last))
     return {
-        "source_type": F.when(topic != "", F.get(parts, F.lit(0))),
-        "ints": F.when(topic.isNotNull(), F.map_from_entries(last)),
-        "field_name": F.get(bare, F.size(bare) - 1),
+        "source_type": F.when(topic != "", F.substring_index(topic, "/", 1)),
+        "ints": F.when(topic.isNotNull(), ints),
+        "field_name": F.when(field != "", field),
     }
 
 

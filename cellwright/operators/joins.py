@@ -65,7 +65,9 @@ def hot_cold(cold: DataFrame, hot: DataFrame, us: str, cutoff: int, t0: int, t1:
     a = cold.where((F.col(us) >= t0) & (F.col(us) <= t1) & (F.col(us) < cutoff))
     b = hot.where((F.col(us) >= t0) & (F.col(us) <= t1) & (F.col(us) >= cutoff))
     out = a.unionByName(b, allowMissingColumns=True)
-    out = (out if keep_hot_only else out.select(*cold.columns)).orderBy(F.col(us).asc_nulls_last())
+    out = out if keep_hot_only else out.select(*cold.columns)
+    rest = [F.col(f"`{c}`") for c, kind in out.dtypes if c != us and not kind.startswith("map")]  # equal times in one order, where a limit cuts
+    out = out.orderBy(F.col(us).asc_nulls_last(), *rest)
     return out.limit(limit) if limit is not None else out
 
 
@@ -90,30 +92,26 @@ def compare(a: DataFrame, b: DataFrame, keys: Sequence[str], values: Sequence[st
 def sync_check(rows: DataFrame, beats: DataFrame, us: str) -> DataFrame:
     """Published against found rows for each interval between heartbeats.
 
-    beats: session_id, seq, us, interval_published, total_published. A row belongs to the interval
-    that the next heartbeat of its session at or after its time closes. Result: session_id, seq,
+    beats: session_id, seq, us, interval_published, total_published. A row belongs to the interval of every
+    session whose heartbeats it lies between: after the one before, and at or before the one that closes it.
+    Sessions may overlap. Result: session_id, seq,
     published, found, dropped (of the interval alone, not below 0) and cumulative_loss (published
     since the session's first heartbeat less found since, in which late rows cancel out). The first
-    heartbeat of a session only marks where it begins and is left out. Rows and heartbeats are matched
-    by one sort in time, without a range join."""
+    heartbeat of a session only marks where it begins and is left out. What is found is the difference of how
+    many rows there are up to both ends: rows and ends are sorted once in time, by the hour, without a range join."""
     w = Window.partitionBy("session_id").orderBy("us")
     spans = beats.select("session_id", "seq", F.col(us).alias("us"), "interval_published", "total_published").withColumn("from_us", F.lag("us").over(w)).withColumn("base", F.first("total_published").over(w))
     spans = spans.where("from_us is not null")
-    marks = spans.select(F.col("us").alias("t"), F.struct("session_id", "seq", "from_us").alias("beat"))
+    ends = spans.select(F.explode(F.array("us", "from_us")).alias("t")).distinct()
     ticks = rows.where(F.col(us).isNotNull()).groupBy(F.col(us).alias("t")).agg(F.count("*").alias("n"))
-    both = marks.select("t", "beat", F.lit(0).cast("long").alias("n")).union(ticks.select("t", F.lit(None).cast(marks.schema["beat"].dataType), "n"))
-    # the next heartbeat in time; slices keep the sort parallel, each looks on to the next slice's first
-    day = F.floor(F.col("t") / 86_400_000_000)
-    both = both.withColumn("day", day)
-    ahead = Window.partitionBy("day").orderBy(F.col("t").desc(), F.when(F.col("beat").isNotNull(), 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, 0)
-    firsts = both.where("beat is not null").groupBy("day").agg(F.min_by("beat", "t").alias("first"))
-    days = both.select("day").distinct().join(firsts, "day", "left")
-    after = Window.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("later", F.last("first", ignorenulls=True).over(after)).drop("first")
-    near = both.withColumn("near", F.last("beat", ignorenulls=True).over(ahead)).where("n > 0")
-    near = near.join(F.broadcast(days), "day").withColumn("b", F.coalesce("near", "later")).where("t >= b.from_us")
-    found = near.groupBy(F.col("b.session_id").alias("session_id"), F.col("b.seq").alias("seq")).agg(F.sum("n").alias("found"))
-    out = spans.join(found, ["session_id", "seq"], "left").withColumn("found", F.coalesce("found", F.lit(0).cast("long")))
+    both = ends.select("t", F.lit(1).alias("end"), F.lit(0).cast("long").alias("n")).union(ticks.select("t", F.lit(0), "n"))
+    both = both.withColumn("hour", F.floor(F.col("t") / 3_600_000_000))
+    hours = both.groupBy("hour").agg(F.sum("n").alias("all"))  # one row an hour: its running sum is one small task
+    hours = hours.select("hour", (F.sum("all").over(Window.orderBy("hour")) - F.col("all")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("hour").orderBy("t", "end").rowsBetween(Window.unboundedPreceding, 0))
+    upto = both.withColumn("inside", inside).where("end = 1").join(hours, "hour").select("t", (F.col("inside") + F.col("before")).alias("upto"))
+    out = spans.join(upto.withColumnsRenamed({"t": "us", "upto": "last"}), "us").join(upto.withColumnsRenamed({"t": "from_us", "upto": "first"}), "from_us")
+    out = out.withColumn("found", F.col("last") - F.col("first"))
     total = F.sum("found").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return out.withColumn("loss", F.col("total_published") - F.col("base") - total).select(
         "session_id", "seq", F.col("interval_published").alias("published"), "found",

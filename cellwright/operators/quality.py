@@ -26,12 +26,28 @@ def deltas(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str)
 
 
 def delta_percentiles(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """n, p50, p95, p99 and largest of the deltas that are not 0, for each key. Exact: a key's deltas are
-    counted by distinct value before they meet."""
-    rows = deltas(df, keys, order, value).where("delta > 0")
-    at = F.percentile("delta", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), at.alias("p"), F.max("delta").alias("p100"))
-    return out.select(*keys, "n", *[F.get("p", F.lit(k)).alias(c) for k, c in enumerate(("p50", "p95", "p99"))], "p100")
+    """n, p50, p95, p99 and largest of the deltas that are not 0, for each key."""
+    return value_percentiles(deltas(df, keys, order, value).where("delta > 0"), keys, "delta")
+
+
+def value_percentiles(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """n, p50, p95, p99 and p100, the largest, of each key's values, interpolated. Exact: a key's values are
+    counted by distinct value, and the values at the ranks around each share are read off the running count, so
+    that no key's values are held at once."""
+    counted = rows.groupBy(*keys, F.col(value).alias("delta")).agg(F.count("*").alias("c"))
+    sizes = counted.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.sum("c").alias("n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("delta").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("upto", upto).join(sizes, same)
+    at = lambda rank: F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank), F.col("delta")))
+    named, out = {"p50": 0.5, "p95": 0.95, "p99": 0.99}, [F.max("delta").alias("p100")]
+    for name, share in named.items():
+        place = (F.col("n") - 1) * share
+        out += [at(F.floor(place)).alias(f"{name}_lo"), at(F.ceil(place)).alias(f"{name}_hi")]
+    between = lambda c, share: F.col(f"{c}_lo") + (F.col(f"{c}_hi") - F.col(f"{c}_lo")) * ((F.col("n") - 1) * share - F.floor((F.col("n") - 1) * share))
+    return ranked.groupBy(*keys, "n").agg(*out).select(*keys, "n", *[between(c, share).alias(c) for c, share in named.items()], "p100")
 
 
 def frozen_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, min_run: int = 20) -> DataFrame:

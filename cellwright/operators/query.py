@@ -55,13 +55,30 @@ def latest(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] | No
     """One row for each key: that of the largest ts, of equal ones of the largest order columns. With
     per_column each column has its latest value that is not null, which may be of different rows."""
     cols = [c for c in (cols or df.columns) if c not in keys]
-    at = F.struct(ts, *order)
     if per_column:
+        at = ordering(df, [ts, *order])
         return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
-    row = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), at).alias("_row"))
+    # largest times are found by hashing; only the rows that have them are ordered
+    top = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(ts).alias("_top"))
+    same = F.col(ts).eqNullSafe(F.col("_top"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    row = df.join(top, same).groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(ts, *order)).alias("_row"))
     return row.select(*keys, "_row.*")
 
 
+def ordering(df: DataFrame, columns: Sequence[str]) -> Column:
+    """One value by which rows are ordered as by the columns. Of one column, or two of whole numbers, it has a fixed
+    width, so that an aggregation by it is hashed; of others it is a struct, for which rows are sorted."""
+    kinds = dict(df.dtypes)
+    if len(columns) == 1:
+        return F.col(columns[0])
+    if len(columns) == 2 and all(kinds.get(c) in ("bigint", "int", "smallint", "tinyint") for c in columns):
+        high, low = (F.col(c).cast("decimal(19,0)") for c in columns)
+        return high * F.lit(10**19).cast("decimal(20,0)") + low
+    return F.struct(*columns)
+
+
 def bucket(df: DataFrame, us: str, every: str | int, aggs: Sequence[Column], by: Sequence[str] = (), mode: str = "floor", empty: bool = False) -> DataFrame:
     """aggs of each bucket of time and key, the bucket's start (or nearest multiple) in column bucket.
     With empty=True the buckets without rows between the first and the last of a key are there too,
@@ -105,7 +122,8 @@ def series_points(df: DataFrame, us: str, signal: str, t0: int, t1: int, unit: s
         rows = df.withColumn("value", F.col(f"`{signal}`").cast("double")).withColumn("dtype", F.lit("float"))
     if unit is not None:
         rows = with_tags(rows, {"unit_id": unit})
-    return in_range(rows.where("value is not null"), us, t0, t1).orderBy(us).limit(limit)
+    rest = [F.col(f"`{c}`") for c, kind in rows.dtypes if c != us and not kind.startswith("map")]  # so that a cut among equal times is the same each time
+    return in_range(rows.where("value is not null"), us, t0, t1).orderBy(us, *rest).limit(limit)
 
 
 def snapshot_at(df: DataFrame, us: str, keys: Sequence[str], t: int, cols: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

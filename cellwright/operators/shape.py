@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.parse import glob_regex
+from .query import ordering
 
 MAX_COLUMNS = 5_000
 
@@ -21,7 +22,7 @@ def to_wide(df: DataFrame, index: Sequence[str], name: str, value: str, names: S
     if len(names) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} columns")
     pick = F.max_by if last else F.min_by
-    at = F.struct(*(order or [value]))
+    at = ordering(df, order or [value])
     own = lambda n: F.when((F.col(name) == n) & F.col(value).isNotNull(), at)
     return df.groupBy(*index).agg(*[pick(value, own(n)).alias(str(n)) for n in names])
 
@@ -45,7 +46,7 @@ def split_by_class(df: DataFrame, index: Sequence[str], rules: dict[str, Sequenc
 
 def merge_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Rows that share keys in one: of each column the value that is not null of the largest order."""
-    at = F.struct(*order)
+    at = ordering(df, order)
     return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
 
 

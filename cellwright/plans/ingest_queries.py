@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,22 +12,17 @@ from ..functions.time import from_micros, iso_time, micros
 from ..operators import query as R
 from ..operators import shape as S
 from ..sources import compact, layout_sizes, merge_current, publish_hot, read_hot, with_event_date, write_store
-from .registry import Tables, query
+from .registry import Tables, query, scratch
 from .series_queries import RULES, _walk
 from .table_queries import DAY, HOUR
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster shares."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cellwright-")
-    return f"{base.rstrip('/')}/q-{uuid.uuid4().hex}"
-
-
 # ---- topics
 @query("topic_kv", "SELECT seq, 'src' AS source_type, CAST(unit_id AS BIGINT) % 5 AS site, CAST(unit_id AS BIGINT) AS unit, NULL::BIGINT AS x, point_name AS field_name FROM M")
 def _(t: Tables) -> DataFrame:
     k = X.topic_kv(F.col("kv"))
-    return t.messages.select("seq", k["source_type"].alias("source_type"), *[k["ints"][n].alias(n) for n in ("site", "unit", "x")], k["field_name"].alias("field_name"))
+    rows = t.messages.select("seq", k["source_type"].alias("source_type"), k["ints"].alias("ints"), k["field_name"].alias("field_name"))
+    return rows.select("seq", "source_type", *[F.col("ints")[n].alias(n) for n in ("site", "unit", "x")], "field_name")
 
 
 @query("topic_positional", "SELECT seq, split_part(topic, '/', 3) AS site_id, unit_id, split_part(topic, '/', 6) AS device, point_name, NULL::VARCHAR AS extra FROM M")

@@ -7,6 +7,8 @@ order. M (messages): topics and payloads made of events.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -69,6 +71,15 @@ class Tables:
         )
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that the cluster shares."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names the folder that executors share; it is not set")
+    base = base or tempfile.mkdtemp(prefix="cellwright-")
+    return f"{base.rstrip('/')}/q-{uuid.uuid4().hex}"
+
+
 def query(name: str, sql: str | None = None) -> Callable:
     """Register a function of Tables. sql goes after the derived tables: a SELECT, or ", X AS (...) SELECT"."""
 

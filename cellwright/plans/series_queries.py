@@ -281,9 +281,8 @@ def _(t: Tables) -> DataFrame:
 @query("dq_delta_pct", f", L AS (SELECT point_name, abs(value_f - lag(value_f) OVER ({_W})) AS d FROM P) SELECT point_name, count(*) AS n, round(quantile_cont(d, 0.5), 3) AS p50, round(quantile_cont(d, 0.95), 3) AS p95, round(quantile_cont(d, 0.99), 3) AS p99, max(d) AS p100 FROM L WHERE d > 0 GROUP BY point_name")
 def _(t: Tables) -> DataFrame:
     rows = Q.deltas(t.points, KEYS, ORDER, "value_f").where("delta > 0")
-    at = F.percentile("delta", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    out = rows.groupBy("point_name").agg(F.count("*").alias("n"), at.alias("p"), F.max("delta").alias("p100"))
-    return out.select("point_name", "n", *[F.round(F.get("p", F.lit(k)), 3).alias(c) for k, c in enumerate(("p50", "p95", "p99"))], "p100")
+    out = Q.value_percentiles(rows, ["point_name"], "delta")
+    return out.select("point_name", "n", *[F.round(c, 3).alias(c) for c in ("p50", "p95", "p99")], "p100")
 
 
 @query("dq_zscore", ", S AS (SELECT unit_id, avg(value_f) AS m, stddev_samp(value_f) AS s FROM P GROUP BY unit_id) SELECT seq, round(abs(value_f - m) / s, 4) AS z FROM P JOIN S USING (unit_id) WHERE s > 0 AND abs(value_f - m) / s > 2.5")

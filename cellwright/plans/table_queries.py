@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,8 +12,8 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import query as R
 from ..operators import shape as S
-from ..sources import retention
-from .registry import Tables, query
+from ..sources import read_store, scoped, trim_store, write_store
+from .registry import Tables, query, scratch
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
 T0, T1 = 1_704_067_200_000_000 + 5 * DAY, 1_704_067_200_000_000 + 12 * DAY  # within January 2024, where events lie
@@ -23,18 +25,27 @@ LAST = "ORDER BY us DESC, tie DESC, part DESC, power DESC"
 # ---- sources
 @query("src_parquet_union", "SELECT seq, us, unit_id, value_f, NULL::BIGINT AS value_i FROM P WHERE point_name = 'view' UNION ALL SELECT seq, us, unit_id, NULL, value_i FROM P WHERE point_name = 'click'")
 def _(t: Tables) -> DataFrame:
-    p = t.points
-    return R.union_by_name(p.where("point_name = 'view'").select("seq", "us", "unit_id", "value_f"), p.where("point_name = 'click'").select("seq", "us", "unit_id", "value_i"))
+    p, path = t.points, scratch(t.spark)
+    p.where("point_name = 'view'").select("seq", "us", "unit_id", "value_f").write.parquet(f"{path}/views")
+    p.where("point_name = 'click'").select("seq", "us", "unit_id", "value_i").write.parquet(f"{path}/clicks")
+    return read_store(t.spark, f"{path}/views", f"{path}/clicks").select("seq", "us", "unit_id", "value_f", "value_i")
 
 
 @query("src_date_scoped", f"SELECT seq, us, unit_id, point_name FROM P WHERE us >= {T0} AND us < {T0 + 2 * DAY}")
 def _(t: Tables) -> DataFrame:
-    return R.in_range(t.points, "us", T0, T0 + 2 * DAY, "left").select("seq", "us", "unit_id", "point_name")
+    path, first = scratch(t.spark), datetime.datetime.fromtimestamp(T0 / 1e6, datetime.UTC).date()
+    dated = t.points.withColumn("date", F.to_date(F.timestamp_micros("us")))
+    write_store(dated, path, ["date"])
+    two = scoped(read_store(t.spark, path), str(first), str(first + datetime.timedelta(days=2)))
+    return R.in_range(two, "us", T0, T0 + 2 * DAY, "left").select("seq", "us", "unit_id", "point_name")
 
 
 @query("src_missing_ok", "SELECT seq, us FROM P WHERE us > 4102444800000000")
 def _(t: Tables) -> DataFrame:
-    return t.points.where("us > 4102444800000000").select("seq", "us")
+    # the store of a far year was never written
+    p, path = t.points.select("seq", "us"), scratch(t.spark)
+    p.where("us <= 4102444800000000").write.parquet(f"{path}/year=now")
+    return read_store(t.spark, f"{path}/year=2100", schema=p.schema)
 
 
 @query("src_filename_col")
@@ -51,12 +62,18 @@ def _(t: Tables) -> DataFrame:
 
 @query("downsample_task", f"SELECT unit_id, us // {HOUR} * {HOUR} AS bucket, avg(value_f) AS mean FROM P GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
-    return R.bucket(t.points, "us", "1h", [F.avg("value_f").alias("mean")], ["unit_id"])
+    path = scratch(t.spark)
+    hourly = R.bucket(t.points, "us", "1h", [F.avg("value_f").alias("mean")], ["unit_id"])
+    write_store(hourly.withColumn("date", F.to_date(F.timestamp_micros("bucket"))), path, ["date"])
+    return read_store(t.spark, path).select("unit_id", "bucket", "mean")
 
 
 @query("retention_trim", "SELECT event_id AS seq FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-30' - 7")
 def _(t: Tables) -> DataFrame:
-    return retention(t.table("events").withColumn("date", F.to_date("ts")), 7, "2024-01-30").select(F.col("event_id").alias("seq"))
+    path = scratch(t.spark)
+    write_store(t.table("events").withColumn("date", F.to_date("ts")), path, ["date"])
+    trim_store(t.spark, path, 7, "2024-01-30")
+    return read_store(t.spark, path).select(F.col("event_id").alias("seq"))
 
 
 # ---- projection and filters

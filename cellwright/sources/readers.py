@@ -13,12 +13,21 @@ from ..schemas import RECORDING
 
 
 def read_store(spark: SparkSession, *paths: str, merge: bool = True, schema=None) -> DataFrame:
-    """Parquet of one or more paths, columns united by name. With a schema, paths without files give an
-    empty table."""
+    """Parquet of one or more paths, columns united by name. With a schema, paths that are not there are left out,
+    and if none is the table is empty; without one a missing path is an error."""
     reader = spark.read.option("mergeSchema", merge)
-    if schema is not None:
-        reader = reader.schema(schema).option("ignoreMissingFiles", True)
-    return reader.parquet(*paths)
+    if schema is None:
+        return reader.parquet(*paths)
+    there = [p for p in paths if path_exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return reader.schema(schema).option("ignoreMissingFiles", True).parquet(*there)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a pattern of paths, names something that Spark's file systems have."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at))
 
 
 def scoped(df: DataFrame, t0: str, t1: str, project=None, site=None) -> DataFrame:

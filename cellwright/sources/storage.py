@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 import time
 import uuid
 from collections.abc import Sequence
@@ -58,6 +60,21 @@ def retention(df: DataFrame, days: int, as_of: str) -> DataFrame:
     return df.where(F.col("date") > F.date_sub(F.lit(as_of).cast("date"), days))
 
 
+def trim_store(spark: SparkSession, path: str, days: int, as_of: str) -> list[str]:
+    """Delete the folders date=... of a store that are older than the last days up to as_of, and name them. Nothing is
+    read but the list of folders."""
+    first = datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days)
+    fs = spark._jvm.org.apache.hadoop.fs
+    here, gone = fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for f in here.globStatus(fs.Path(f"{path}/date=*")) or []:
+        day = f.getPath().getName().removeprefix("date=")
+        if re.fullmatch(r"\d{4}-\d\d-\d\d", day) and datetime.date.fromisoformat(day) <= first:
+            if not here.delete(f.getPath(), True):
+                raise RuntimeError(f"{f.getPath()} was not deleted")
+            gone.append(day)
+    return sorted(gone)
+
+
 _COMPACTED = "compact-"
 
 

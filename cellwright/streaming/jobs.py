@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import parse_payload, topic_patterns
 from ..operators.change import passes, threshold
+from ..sources.readers import path_exists
 from ..sources.sinks import merge_current, publish_hot, read_hot, with_event_date
 
 
@@ -68,16 +69,11 @@ def cov_stream(stream: DataFrame, keys: Sequence[str], us: str, value: str, rule
 
 def current_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, order: Sequence[str] = ()) -> StreamingQuery:
     """The latest row of each sensor, replaced whole after each micro-batch."""
-    seen: list[bool] = []
 
     def merge(batch: DataFrame, _: int) -> None:
-        try:
-            old = read_hot(batch.sparkSession, path)
-        except Exception:  # no table yet, as before the first batch
-            if seen:
-                raise
-            old = None
-        seen.append(True)
+        # without a pointer there is no table yet; any other failure to read it ends the batch
+        spark = batch.sparkSession
+        old = read_hot(spark, path) if path_exists(spark, f"{path}/pointer") else None
         publish_hot(merge_current(old, batch, keys, ts, order), path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

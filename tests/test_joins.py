@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellwright.operators import joins as J
+from cellwright.operators import quality as Q
 from cellwright.operators import query as R
 
 
@@ -58,6 +60,28 @@ def test_sync_check_sessions_deficit_and_late_rows(spark):
     assert got == {("s", 1): (3, 2, 1, 1), ("s", 2): (2, 3, 0, 0), ("t", 1): (1, 1, 0, 0)}
 
 
+def test_sync_check_counts_rows_for_every_session_that_runs(spark):
+    rows = spark.createDataFrame([(t,) for t in (20, 30, 40, 50, 60, None)], "us long")
+    beats = [("x", 0, 0, 0, 0), ("x", 1, 100, 5, 5), ("y", 0, 10, 0, 0), ("y", 1, 90, 5, 5), ("y", 2, 100, 0, 5)]
+    df = spark.createDataFrame(beats, "session_id string, seq long, us long, interval_published long, total_published long")
+    got = {(r.session_id, r.seq): (r.found, r.dropped) for r in J.sync_check(rows, df, "us").collect()}
+    assert got == {("x", 1): (5, 0), ("y", 1): (5, 0), ("y", 2): (0, 0)}
+
+
+def test_latest_breaks_ties_and_keeps_keys_without_time(spark):
+    df = spark.createDataFrame([(1, 5, 1, "a"), (1, 5, 2, "b"), (1, 4, 9, "c"), (None, 3, 1, "d"), (2, None, 1, "e"), (2, None, 3, "f")], "k long, us long, seq long, v string")
+    assert {r.k: r.v for r in R.latest(df, ["k"], "us", ["v"], order=["seq"]).collect()} == {1: "b", None: "d", 2: "f"}
+
+
+def test_percentiles_are_interpolated(spark):
+    import numpy as np
+
+    values = [1.0, 1.0, 2.0, 5.0, 9.0, 9.5, 30.0]
+    df = spark.createDataFrame([("a", v) for v in values] + [(None, 4.0)], "k string, v double")
+    got = {r.k: (r.n, r.p50, r.p95, r.p99, r.p100) for r in Q.value_percentiles(df, ["k"], "v").collect()}
+    assert got["a"] == pytest.approx((7, *np.percentile(values, [50, 95, 99]), 30.0)) and got[None] == (1, 4.0, 4.0, 4.0, 4.0)
+
+
 def test_latest_per_column_skips_nulls(spark):
     df = spark.createDataFrame([(1, 1, 5.0, None), (1, 2, None, 7.0)], "k long, us long, a double, b double")
     assert [tuple(r) for r in R.latest(df, ["k"], "us", ["a", "b"], per_column=True).collect()] == [(1, 5.0, 7.0)]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cellwright import plans
+from cellwright import plans, sources
 
 from .conftest import DATA
 
@@ -25,3 +25,16 @@ def test_compaction_and_date_check_run_on_stores(spark):
     assert {r.event_id: r.unit_id for r in units.collect()} == want and all("/compact-" in f for f in units.inputFiles())
     dates = plans.QUERIES["dq_partition_date"](spark, DATA).collect()
     assert all(r.ok for r in dates) and {r.folder for r in dates} == {str(r.d) for r in events.select(F.to_date("ts").alias("d")).distinct().collect()}
+
+
+def test_missing_paths_and_pruned_folders(spark, tmp_path):
+    df = spark.range(10).withColumn("date", F.expr("date_add(date'2024-01-01', cast(id as int))"))
+    store = str(tmp_path / "store")
+    sources.write_store(df, store, ["date"])
+    schema = sources.read_store(spark, store).schema
+    assert sources.read_store(spark, str(tmp_path / "none"), schema=schema).count() == 0
+    assert sources.read_store(spark, str(tmp_path / "none"), store, schema=schema).count() == 10
+    two = sources.scoped(sources.read_store(spark, store), "2024-01-02", "2024-01-03")
+    assert two.count() == 2 and "PartitionFilters: [isnotnull(date" in two._jdf.queryExecution().executedPlan().toString()
+    assert sources.trim_store(spark, store, 7, "2024-01-10") == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert sources.read_store(spark, store).count() == 7
