@@ -45,7 +45,7 @@ _LANE = 128
 MIN_COUNT = 2
 #: Bytes of text of a chunk (a longer text is one of its own), of text whose n-grams meet in a range, and
 #: the ranges at least.
-CHUNK, RANGE, RANGES = 2 << 20, 16 << 20, 64
+CHUNK, RANGE, RANGES = 2 << 20, 6 << 20, 64
 
 
 @dataclass
