@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs no more than the task it ran."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

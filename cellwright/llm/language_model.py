@@ -210,14 +210,17 @@ def _asks(chunk: int, keys: np.ndarray, c: np.ndarray, ranges: int, kept: np.nda
     return pa.table(columns)
 
 
-def _distinct(keys: np.ndarray, of: np.ndarray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _distinct(keys: np.ndarray, of: np.ndarray, learns: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
     """The distinct keys at the places of, how often each occurs in what is learnt, the place of one
     occurrence, and by place the number of its key."""
     places = np.flatnonzero(of)
-    one, first, which = np.unique(keys[places], return_index=True, return_inverse=True)
-    number = np.full(len(keys), -1)
-    number[places] = which
-    return one, np.bincount(which, learns[places], len(one)), places[first], number
+    places = places[np.argsort(keys[places])]
+    new = np.ones(len(places), bool)
+    new[1:] = keys[places[1:]] != keys[places[:-1]]
+    starts, number = np.flatnonzero(new), np.full(len(keys), -1)
+    number[places] = np.cumsum(new) - 1
+    c = None if learns is None else np.bincount(number[places], learns[places], len(starts))
+    return keys[places[starts]], c, places[starts], number
 
 
 def _met(level: int):
@@ -227,7 +230,7 @@ def _met(level: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([_unpack(k) for k in pdf["keys"]])
         stops = np.cumsum([len(k) // 8 for k in pdf["keys"]])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         new = np.ones(len(keys), bool)
         new[1:] = keys[order][1:] != keys[order][:-1]
         starts, which = np.flatnonzero(new), np.empty(len(keys), np.int64)
@@ -294,7 +297,7 @@ def answers(packed: DataFrame, ranges: int) -> DataFrame:
         out = []
         for chunk, _, learns, g in _rows_of(packed):
             one, c, _, number = _distinct(g.two, g.read, _learnt(g, learns))
-            three, _, at, _ = _distinct(g.three, g.long, np.ones(len(g.word)))
+            three, _, at, _ = _distinct(g.three, g.long)
             c3, _, _, own = _answers(told, 3, three, ranges)
             history = number[at[own] - 1]
             kept, arcs = np.bincount(history, c3[own], len(one)), np.bincount(history, minlength=len(one))
@@ -305,7 +308,7 @@ def answers(packed: DataFrame, ranges: int) -> DataFrame:
         out = []
         for chunk, _, learns, g in _rows_of(packed):
             one, c, _, number = _distinct(g.word, g.read, _learnt(g, learns))
-            two, _, at, _ = _distinct(g.two, g.read, np.ones(len(g.word)))
+            two, _, at, _ = _distinct(g.two, g.read)
             c2, _, _, own = _answers(told, 2, two, ranges)
             # a place that is not read is the END before a text
             history = np.searchsorted(one, g.word[at[own] - 1])
@@ -337,11 +340,10 @@ def score(packed: DataFrame, told: DataFrame, ranges: int) -> DataFrame:
     def run(packed: pa.Table, told: pa.Table) -> pa.Table:
         out = []
         for _, ids, _, g in _rows_of(packed):
-            every = np.ones(len(g.word))
-            w, _, _, _ = _distinct(g.word, g.read, every)
+            w, _, _, _ = _distinct(g.word, g.read)
             number1 = np.searchsorted(w, g.word)  # END of the begin places too
-            k2, _, at2, number2 = _distinct(g.two, g.read, every)
-            k3, _, at3, _ = _distinct(g.three, g.long, every)
+            k2, _, at2, number2 = _distinct(g.two, g.read)
+            k3, _, at3, _ = _distinct(g.three, g.long)
             c1, kept1, arcs1, _ = _answers(told, 1, w, ranges)
             c2, kept2, arcs2, _ = _answers(told, 2, k2, ranges)
             c3, *_ = _answers(told, 3, k3, ranges)
