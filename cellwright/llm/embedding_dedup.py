@@ -7,6 +7,8 @@ threshold passes with the asked probability.
 
 Vectors are compared within a label only. A label is dealt into blocks of hashed vectors, and each
 pair of blocks is one small group, whatever the label's size. Equal vectors are one, with a weight.
+A group gives one row for each vector that links there, with how many others and the smallest vector
+that its links reach, and not one for each link: a crowd of n near copies gives no n * n rows.
 """
 
 from __future__ import annotations
@@ -72,33 +74,53 @@ def _links(a: np.ndarray, b: np.ndarray, lines: np.ndarray, half: float, count:
     return left[keep], right[keep]
 
 
+def reached(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the smallest one that the links (u, v) reach."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[u], root[v])
+        now = root.copy()
+        np.minimum.at(now, root[u], least)
+        np.minimum.at(now, root[v], least)
+        now = now[now]
+        if (now == root).all():
+            return root
+        root = now
+
+
 def links(vectors: DataFrame, cosine: float = COSINE, lines: int = LINES, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """(a, b), a < b: the nodes of vectors (node, label, unit) whose cosine is at least that. unit is
-    an array of doubles of length 1; nodes of unlike length do not link. Candidates can miss a pair at
-    the threshold with probability 1 - recall, and fewer the more alike it is."""
+    """(node, root, others) of the nodes of vectors (node, label, unit, copies) that link with others, their
+    cosine being at least that: a row for each pair of blocks where a node does, with the copies that its
+    partners there have together and the smallest node that links there reach. unit is an array of doubles
+    of length 1; nodes of unlike length do not link. Candidates can miss a pair at the threshold with
+    probability 1 - recall, and fewer the more alike it is."""
     half, count = window_and_count(cosine, lines, recall)
 
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({c: pd.Series(dtype="int64") for c in ("node", "root", "others")})]
         for _, same in pdf.groupby(pdf["unit"].map(len)):
+            same = same.sort_values("node")
             unit = np.stack(same["unit"].to_numpy())
             axes = np.random.default_rng(11).normal(size=(unit.shape[1], lines))
-            node, side = same["node"].to_numpy(), same["block"].to_numpy()
+            node, side, copies = (same[c].to_numpy() for c in ("node", "block", "copies"))
             one, two = same["one"].iloc[0], same["two"].iloc[0]
             i, j = np.flatnonzero(side == one), np.flatnonzero(side == two)
             if len(i) and len(j):
                 p, q = _links(unit[i], unit[j], axes, half, count, cosine)
-                u, v = node[i[p]], node[j[q]]
-                ok = u < v if one == two else u != v
-                out.append(pd.DataFrame({"a": np.minimum(u, v)[ok], "b": np.maximum(u, v)[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+                u, v = i[p], j[q]
+                if one == two:
+                    u, v = u[u < v], v[u < v]
+                others = (np.bincount(u, copies[v], len(node)) + np.bincount(v, copies[u], len(node))).astype(np.int64)
+                some = others > 0
+                out.append(pd.DataFrame({"node": node[some], "root": node[reached(u, v, len(node))][some], "others": others[some]}))
+        return pd.concat(out)
 
     sizes = vectors.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = vectors.join(small(sizes), "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    each = dealt.select("label", "node", "unit", "block", F.explode(other).alias("other"))
-    each = each.select("label", "node", "unit", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    return each.groupBy("label", "one", "two").applyInPandas(pairs, "a long, b long")
+    each = dealt.select("label", "node", "unit", "copies", "block", F.explode(other).alias("other"))
+    each = each.select("label", "node", "unit", "copies", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    return each.groupBy("label", "one", "two").applyInPandas(linked, "node long, root long, others long")
 
 
 def near_duplicates(embeddings: DataFrame, **how) -> DataFrame:
@@ -126,12 +148,10 @@ def near_duplicates(embeddings: DataFrame, **how) -> DataFrame:
     units = written(units.withColumn("digest", F.sha2(F.to_json("unit"), 256)), "units")
     heads = units.groupBy("label", "digest").agg(F.min("vec_id").alias("head"), F.count("*").alias("copies"))
     heads = written(heads.withColumn("node", F.monotonically_increasing_id()), "heads")
-    one = units.join(heads, ["label", "digest"]).where("vec_id = head").dropDuplicates(["node"]).select("node", "label", "unit")
+    one = units.join(heads, ["label", "digest"]).where("vec_id = head").dropDuplicates(["node"]).select("node", "label", "unit", "copies")
     pair = written(links(one, **how), "links")
-    copies = heads.select("node", "copies")
-    both = pair.select("a", "b").union(pair.select(F.col("b"), F.col("a")).toDF("a", "b"))
-    degree = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
-    group = components(pair)
+    degree = pair.groupBy("node").agg(F.sum("others").alias("others"))
+    group = components(pair, "node", "root")
     known = heads.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("head").alias("component_id"))
     known = known.join(least, "component").join(degree, "node", "left")

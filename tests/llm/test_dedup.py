@@ -205,3 +205,12 @@ def test_embeddings_are_brute_force(spark):
     assert links and got.pop(None) == (0, None, True)
     assert got == {i: (n[i], top[i], top[i] == i) for i, *_ in good}
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embeddings_that_links_reach_within_a_group():
+    u, v = np.array([5, 1, 7, 3, 8]), np.array([4, 5, 3, 9, 8])
+    assert embedding_dedup.reached(u, v, 10).tolist() == [0, 1, 2, 3, 1, 1, 6, 3, 8, 3]
+    path = np.arange(999)
+    assert not embedding_dedup.reached(path, path + 1, 1000).any()
+    none = np.zeros(0, np.int64)
+    assert embedding_dedup.reached(none, none, 3).tolist() == [0, 1, 2]
