@@ -3,23 +3,22 @@
 Names in hosts are often words written together. A unigram Viterbi search splits each distinct name
 by the counts of words in given texts; the counts are joined to the substrings of the names, so the
 dictionary may have any size. A multinomial naive Bayes classifier then scores the words of host and
-path. It is fitted on all urls, those with a seed word in the host standing for the blocked class.
+path; its counts are a table of words, joined to those of each distinct url. It is fitted on all
+urls, those with a seed word in the host standing for the blocked class.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, written
 
-#: Longest word of the dictionary, which is the longest name a host may have, and buckets that words are hashed into for the classifier: its
-#: model is a table of so many numbers whatever the urls are.
-MAX_WORD, BUCKETS = 63, 1 << 16
+#: Longest word of the dictionary, which is the longest name a host may have.
+MAX_WORD = 63
 
 # Fixed word list: host words that mark a url for the blocked class.
 SEEDS = """ads adserver advert banner track tracker tracking popup spam malware phishing warez torrent crack keygen
@@ -127,34 +126,29 @@ def judge(pages: DataFrame, texts: DataFrame, rules: list[tuple[str, str, str]])
     cut = written(segment(parts.select("name"), words), "names")
     named = parts.join(cut, "name").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("i", "words"))).alias("p"))
     named = written(named.select("host", F.flatten("p.words").alias("host_words")), "segmented")
-    rows = urls.join(small(named, 100_000), "host", "left").select(
-        "page_id", "host", "path", F.coalesce("host_words", F.array().cast("array<string>")).alias("host_words")
-    )
-    rows = rows.withColumn("words", F.concat("host_words", _names(F.col("path"))))
-    seeded = F.arrays_overlap("host_words", F.array(*[F.lit(w) for w in SEEDS]))
-    bucket = lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")
-    counted = rows.select(seeded.cast("long").alias("y"), F.explode_outer("words").alias("w")).where("w is not null")
-    table = counted.groupBy(bucket(F.col("w")).alias("b")).agg(F.sum("y").alias("block"), F.sum(1 - F.col("y")).alias("allow")).collect()
-    bad, all_ = rows.agg(F.sum(seeded.cast("long")), F.count("*")).first()
-    odds, prior = _log_odds(table, bad or 0, all_)
-    shared = pages.sparkSession.sparkContext.broadcast(odds)
-
-    @F.pandas_udf("double")
-    def log_odds(buckets: pd.Series) -> pd.Series:
-        return pd.Series([prior + float(shared.value[np.asarray(b, np.int64)].sum()) for b in buckets], dtype="float64")
+    once = urls.groupBy("host", "path").agg(F.count("*").alias("n")).join(small(named, 100_000), "host", "left")
+    host_words = F.coalesce("host_words", F.array().cast("array<string>"))
+    seeded = F.arrays_overlap(host_words, F.array(*[F.lit(w) for w in SEEDS])).cast("long")
+    once = once.select("host", "path", "n", seeded.alias("seeded"), F.concat(host_words, _names(F.col("path"))).alias("words"))
+    once = written(once.withColumn("place", F.monotonically_increasing_id()), "urls")
+    odds, prior = word_odds(once)
+    sums = once.select("place", F.explode("words").alias("word")).join(small(odds), "word").groupBy("place").agg(F.sum("odds").alias("odds"))
+    scored = once.join(sums, "place", "left").select("host", "path", "words", (F.lit(prior) + F.coalesce("odds", F.lit(0.0))).alias("log_odds"))
 
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    scored = rows.withColumn("log_odds", log_odds(F.transform("words", bucket)))
     judged = F.when((F.col("log_odds") > 0) & (F.size("words") > 0), "block").otherwise("allow")
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, judged).alias("verdict"), "words", "log_odds")
-
-
-def _log_odds(table: list, bad: int, total: int) -> tuple[np.ndarray, float]:
-    counts = np.zeros((2, BUCKETS))
-    for r in table:
-        counts[0, r["b"]], counts[1, r["b"]] = r["block"], r["allow"]
-    if not bad:
-        return np.zeros(BUCKETS), -math.inf if total else -1.0
-    used = max(int((counts.sum(0) > 0).sum()), 1)
-    share = (counts + 1.0) / (counts.sum(1, keepdims=True) + used)
-    return np.log(share[0] / share[1]), math.log(bad / max(total - bad, 1))
+    return urls.join(scored, ["host", "path"]).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, judged).alias("verdict"), "words", "log_odds")
+
+
+def word_odds(urls: DataFrame) -> tuple[DataFrame, float]:
+    """(word, odds) of urls (n, seeded, words), each occurring n times and of the blocked class if seeded
+    is 1: the log of a word's share in blocked urls over its share in others, one being added to each
+    count; and the log-odds of the classes. Without a blocked url the latter are minus infinity."""
+    bad = F.col("seeded") * F.col("n")
+    counts = urls.select("n", "seeded", F.explode("words").alias("word")).groupBy("word").agg(F.sum(bad).alias("block"), F.sum(F.col("n") - bad).alias("allow"))
+    counts = written(counts, "counts")
+    known = counts.agg(F.count("*").alias("words"), F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
+    share = [(F.col(c) + 1.0) / float(known[c] + known["words"] if known["words"] else 1) for c in ("block", "allow")]
+    of = urls.agg(F.sum(bad).alias("block"), F.sum("n").alias("all")).first()
+    prior = math.log(of["block"] / max(of["all"] - of["block"], 1)) if of["block"] else -math.inf
+    return counts.select("word", F.log(share[0] / share[1]).alias("odds")), prior
