@@ -19,7 +19,7 @@ from . import tokens
 
 WINDOW, WIDTHS, EMBED, FILTERS = 256, (2, 3, 4), 8, 16
 #: Labelled texts that the network is fitted on at most, and windows of each.
-SAMPLE_ROWS, WINDOWS_EACH, MAX_LANGUAGES = 3_000, 3, 256
+SAMPLE_ROWS, WINDOWS_EACH = 3_000, 3
 UNKNOWN = "und"
 
 
@@ -139,8 +139,6 @@ def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Netwo
         return None
     got = got.sort_values(["window", "lang"])
     languages = sorted(set(got["lang"]))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     x = np.frombuffer(b"".join(bytes(w) for w in got["window"]), np.uint8).reshape(-1, WINDOW)
     return train(x, np.searchsorted(np.array(languages), got["lang"].to_numpy()), languages)
 

@@ -22,7 +22,6 @@ from . import tokens
 SAMPLE_ROWS = 20_000
 #: Stems are word beginnings of that many bytes, or whole words (0).
 STEMS = (0, 4, 5, 6, 7, 9)
-MAX_STEMS = 2_000
 NEAR = 5
 
 # Fixed word lists.
@@ -213,7 +212,8 @@ class Model:
 
 
 def _toxic_stems(sample: DataFrame) -> np.ndarray:
-    """Hashes of the stems of which toxic texts have significantly more than their share."""
+    """Hashes of the stems of which toxic texts have significantly more than their share: those of the
+    bounded sample only, and each in several texts, so the sample bounds how many there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +236,7 @@ def _toxic_stems(sample: DataFrame) -> np.ndarray:
         return np.zeros(0, np.uint64)
     seen = sample.select("text", "label").mapInArrow(run, "stem long, n long, t long").groupBy("stem").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     z = (F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    best = seen.where((z >= 7) & (F.col("t") >= 0.9 * F.col("n"))).orderBy(F.desc(z), "stem").limit(MAX_STEMS)
+    best = seen.where((z >= 7) & (F.col("t") >= 0.9 * F.col("n"))).select("stem")
     return np.sort(np.array([r["stem"] for r in best.collect()], np.int64).view(np.uint64))
 
 

@@ -9,7 +9,6 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from cellwright.llm import language_id, queries, toxicity, url_filter
 
@@ -72,19 +71,12 @@ def test_url_verdicts_are_plain_viterbi_and_bayes(spark):
         assert left == names(r.path)
         blocked.append(bool(set(host) & set(url_filter.SEEDS)))
         count[blocked[-1]].update(r.words)
-    met = sorted(set(count[0]) | set(count[1]))
-    hashed = spark.createDataFrame([(w,) for w in met], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(url_filter.BUCKETS)).alias("b"))
-    bucket = {r.w: r.b for r in hashed.collect()}
-    by = [Counter(), Counter()]
-    for k in (0, 1):
-        for w, n in count[k].items():
-            by[k][bucket[w]] += n
-    used = len(set(bucket.values()))
+    used = len(set(count[0]) | set(count[1]))
     prior = math.log(sum(blocked) / (len(rows) - sum(blocked)))
     for r in rows:
         odds = prior
         for w in r.words:
-            block, allow = ((by[k][bucket[w]] + 1) / (by[k].total() + used) for k in (1, 0))
+            block, allow = ((count[k][w] + 1) / (count[k].total() + used) for k in (1, 0))
             odds += math.log(block / allow)
         assert r.log_odds == pytest.approx(odds)
         assert r.rule or r.verdict == ("block" if odds > 0 and r.words else "allow")
@@ -170,3 +162,10 @@ def test_toxicity_of_held_out_documents(spark):
     toxic, clean = ([r for r in rows if labels[r.doc_id] == k] for k in (1, 0))
     ranked = np.mean([(x.score > y.score) + 0.5 * (x.score == y.score) for x in toxic for y in clean])
     assert np.mean([r.predicted for r in toxic]) > 0.8 and np.mean([r.predicted for r in clean]) < 0.01 and ranked > 0.95
+
+
+def test_any_number_of_languages():
+    n = 300
+    x = np.tile(np.arange(n, dtype=np.int64)[:, None] % 256, (1, language_id.WINDOW)).astype(np.uint8)
+    net = language_id.train(x[:300], np.arange(n), [f"l{k:03}" for k in range(n)])
+    assert net.logits(x[:4], net.tables()).shape == (4, n)
