@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh, written
 
-#: Word buckets of the classifier and domains at most: its table has so many numbers whatever the corpus.
-BUCKETS, MAX_DOMAINS = 4096, 64
+#: Word buckets of the classifier: its table has so many rows whatever the corpus, and a column for each domain.
+BUCKETS = 4096
+#: Sums that one aggregation over all documents takes at most; the products of many domains take several.
+SUMS = 500
 #: Tokens that a posterior counts as evidence: more of them would make every document all of one domain.
 EVIDENCE = 12.0
 
@@ -35,9 +37,7 @@ def train(labelled: DataFrame) -> tuple[DataFrame, list[str], list[float]]:
     domains in order and their shares of the words. Rows with a null domain are skipped."""
     words = labelled.where("domain is not null").select(F.col("domain").cast("string").alias("domain"), F.explode_outer(_tokens("text")).alias("w"))
     counted = written(words.where("w <> ''").groupBy("domain", _bucket("w").alias("bucket")).agg(F.count("*").alias("c")), "buckets")
-    totals = {r["domain"]: r["n"] for r in counted.groupBy("domain").agg(F.sum("c").alias("n")).limit(MAX_DOMAINS + 1).collect()}
-    if len(totals) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    totals = {r["domain"]: r["n"] for r in counted.groupBy("domain").agg(F.sum("c").alias("n")).collect()}
     domains = sorted(totals)
     every = labelled.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     wide = counted.groupBy("bucket").agg(*[F.sum(F.when(F.col("domain") == d, F.col("c"))).alias(f"c{k}") for k, d in enumerate(domains)] or [F.sum("c")])
@@ -90,7 +90,9 @@ def fit_rates(soft: DataFrame, targets: list[float], tolerance: float = 1e-6, ma
     with what the largest difference then is."""
     k = len(targets)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    gram = soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first() if k else ()
+    gram = []
+    for at in range(0, len(pairs), SUMS):
+        gram += soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs[at : at + SUMS]]).first()
     g = np.zeros((k, k))
     for (i, j), x in zip(pairs, gram, strict=True):
         g[i, j] = g[j, i] = x or 0.0
@@ -127,9 +129,8 @@ def _rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | Non
     steps = fit_rates(soft, targets)
     p = [F.col(f"p{k}") for k in range(len(domains))]
     best = F.greatest(*p) if len(p) > 1 else p[0] if p else F.lit(0.0)
-    name = F.lit(None).cast("string")
-    for k in reversed(range(len(domains))):
-        name = F.when((p[k] == best) & (F.col("n_tokens") > 0), F.lit(domains[k])).otherwise(name)
+    first = F.array_position(F.array(*p), best).cast("int") if p else F.lit(0)
+    name = F.when((F.col("n_tokens") > 0) & (first > 0), F.get(F.array(*[F.lit(d) for d in domains]).cast("array<string>"), first - 1))
     return soft.select("doc_id", "mark", "n_tokens", name.alias("domain"), best.alias("posterior"), rate_of(steps, len(domains)).alias("rate"))
 
 

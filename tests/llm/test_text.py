@@ -247,3 +247,14 @@ def test_mixing_edge_cases(spark):
     assert sorted(out.columns) == sorted(docs.columns) and out.count() == docs.count()
     assert {r.rate for r in mixing.mixing_rates(docs, labelled.limit(0)).collect()} == {1.0}
     assert mixing.mixing_rates(docs.limit(0), labelled).count() == 0
+
+
+def test_mixing_takes_any_number_of_domains(spark):
+    n = 70
+    rows = [(k, " ".join([f"word{k}", f"term{k}"] * 6), f"d{k:02}") for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    got = mixing.mixing_rates(docs, docs.select("text", "domain")).collect()
+    words = docs.select(F.explode(F.split("text", " ")).alias("w")).distinct()
+    shared = Counter(r.b for r in words.select(mixing._bucket("w").alias("b")).collect())
+    assert len(got) == n and sum(r.domain == f"d{r.doc_id:02}" for r in got) >= n - 2 * sum(c - 1 for c in shared.values())
+    assert all(r.rate >= 0 and r.n_tokens == 12 for r in got)
