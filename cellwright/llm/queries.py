@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embedding_dedup, language_id, language_model, line_dedup, minhash, mixing, toxicity, url_filter, warc
+from . import decontamination, embedding_dedup, importance, language_id, language_model, line_dedup, minhash, mixing, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,9 +94,14 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_mixing, op3_revisits, op4_decontamination, op5_line_dedup, op6_language_id, op7_language_model,
-    op8_minhash, op9_toxicity, op10_embedding_dedup,
+    op8_minhash, op9_toxicity, op10_embedding_dedup, op11_importance,
 )}
 
 ORACLES: dict[str, str] = {
