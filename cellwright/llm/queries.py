@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embedding_dedup, importance, language_id, language_model, line_dedup, minhash, mixing, toxicity, url_filter, warc
+from . import (
+    decontamination, embedding_dedup, id_store, importance, language_id, language_model, line_dedup, minhash, mixing, toxicity, url_filter, warc,
+)
+from .common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,9 +105,19 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    store = id_store.IdStore.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, by_words=True)
+    rows = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    found = store.lookup(rows.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy")))
+    return found.select("doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_mixing, op3_revisits, op4_decontamination, op5_line_dedup, op6_language_id, op7_language_model,
     op8_minhash, op9_toxicity, op10_embedding_dedup, op11_importance,
+    op12_id_store,
 )}
 
 ORACLES: dict[str, str] = {
