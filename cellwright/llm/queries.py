@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, embedding_dedup, id_store, importance, language_id, language_model, line_dedup, minhash, mixing, toxicity, url_filter, warc,
+    decontamination, embedding_dedup, id_store, importance, language_id, language_model, line_dedup, minhash, mixing, token_alignment,
+    toxicity, url_filter, warc,
 )
 from .common import shared_dir
 
@@ -114,10 +115,16 @@ def op12_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    out, _ = token_alignment.align(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    return out.drop("groups")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_mixing, op3_revisits, op4_decontamination, op5_line_dedup, op6_language_id, op7_language_model,
     op8_minhash, op9_toxicity, op10_embedding_dedup, op11_importance,
-    op12_id_store,
+    op12_id_store, op13_token_alignment,
 )}
 
 ORACLES: dict[str, str] = {
