@@ -11,7 +11,7 @@ from ..functions import parse as X
 from ..functions.time import from_micros, iso_time, micros
 from ..operators import query as R
 from ..operators import shape as S
-from ..sources import compact, layout_sizes, merge_current, publish_hot, read_hot, with_event_date, write_store
+from ..sources import KeyedTable, compact, layout_sizes, publish_hot, read_hot, with_event_date, write_store
 from .registry import Tables, query, scratch
 from .series_queries import RULES, _walk
 from .table_queries import DAY, HOUR
@@ -261,9 +261,10 @@ _CURRENT = ", R AS (SELECT *, row_number() OVER (PARTITION BY unit_id, point_nam
 
 @query("sink_current_state", _CURRENT)
 def _(t: Tables) -> DataFrame:
-    p = t.points
-    out = merge_current(p.where("value_i < 50"), p.where("value_i >= 50"), ["unit_id", "point_name"], "us", ["seq"])
-    return out.select("unit_id", "point_name", "us", "value_f")
+    table = KeyedTable(t.spark, scratch(t.spark), ["unit_id", "point_name"], "us", ["seq"], buckets=16)
+    for k in range(3):  # batches out of order of time
+        table.upsert(t.points.where(F.col("value_i") % 3 == k), k)
+    return table.read().select("unit_id", "point_name", "us", "value_f")
 
 
 def _small_files(t: Tables) -> str:
@@ -372,8 +373,9 @@ def _(t: Tables) -> DataFrame:
 @query("st_current_state", _CURRENT)
 def _(t: Tables) -> DataFrame:
     path = scratch(t.spark)
-    ST.current_state(_points(_stream(t)).drop("ts"), path, f"{path}/checkpoint", ["unit_id", "point_name"], "us", ["seq"]).awaitTermination()
-    return read_hot(t.spark, path).select("unit_id", "point_name", "us", "value_f")
+    keys = ["unit_id", "point_name"]
+    ST.current_state(_points(_stream(t)).drop("ts"), path, f"{path}/checkpoint", keys, "us", ["seq"], 16).awaitTermination()
+    return KeyedTable(t.spark, path, keys, "us", ["seq"]).read().select("unit_id", "point_name", "us", "value_f")
 
 
 @query("st_ingest", f"SELECT site, unit, device, point_name, value_i AS value, us FROM (SELECT *, split_part(topic, '/', 3) AS site, unit_id AS unit, split_part(topic, '/', 6) AS device FROM M) WHERE payload <> 'not json' AND point_name <> 'error'")

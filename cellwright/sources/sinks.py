@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.query import latest
+from .commits import CommitLog
 
 
 def with_event_date(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -33,18 +34,31 @@ def write_store(df: DataFrame, path: str, partitions: Sequence[str] = ("project"
     (writer.partitionBy(*cols) if cols else writer).parquet(path)
 
 
-def publish_hot(df: DataFrame, path: str) -> None:
-    """Replace the last batch: a new folder is written whole, then a pointer names it. Readers of the
-    old one keep theirs until the next but one."""
+def publish_hot(df: DataFrame, path: str) -> int:
+    """Replace the last batch: a new folder is written whole, then a numbered entry names it. Readers of the
+    old one keep theirs until the next but one, when its folder goes. Returns the number."""
     name = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/data/{name}")
-    spark = df.sparkSession
-    spark.range(1).select(F.lit(name).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+    log = CommitLog(df.sparkSession, f"{path}/pointer")
+    last = log.last()
+    version = last[0] + 1 if last else 0
+    log.commit(version, {"version": name})
+    versions = log.versions()
+    kept = {log.read(v)["version"] for v in versions[-2:]}
+    for old in log.files.names(f"{path}/data"):
+        if old not in kept:
+            log.files.delete(f"{path}/data/{old}")
+    for v in versions[:-2]:
+        log.forget(v)
+    return version
 
 
 def read_hot(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.parquet(f"{path}/pointer").orderBy(F.col("at").desc()).first()["version"]
-    return spark.read.parquet(f"{path}/data/{version}")
+    """The batch that was published last."""
+    last = CommitLog(spark, f"{path}/pointer").last()
+    if last is None:
+        raise ValueError(f"nothing was published to {path}")
+    return spark.read.parquet(f"{path}/data/{last[1]['version']}")
 
 
 def merge_current(old: DataFrame | None, new: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str] = ()) -> DataFrame:

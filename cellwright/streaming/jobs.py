@@ -14,8 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import parse_payload, topic_patterns
 from ..operators.change import passes, threshold
-from ..sources.readers import path_exists
-from ..sources.sinks import merge_current, publish_hot, read_hot, with_event_date
+from ..sources.keyed import KeyedTable
+from ..sources.sinks import with_event_date
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str, patterns: Sequence[dict], fields: dict[str, str], ts_format: str = "iso", partitions: Sequence[str] = ("site_id", "date"), codec: str = "snappy", every: str | None = None, drop_points: Sequence[str] = ()) -> StreamingQuery:
@@ -67,14 +67,16 @@ def cov_stream(stream: DataFrame, keys: Sequence[str], us: str, value: str, rule
     return rows.groupBy(*keys).applyInPandasWithState(run, fields, "last double, last_us long", "append", "NoTimeout")
 
 
-def current_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, order: Sequence[str] = ()) -> StreamingQuery:
-    """The latest row of each sensor, replaced whole after each micro-batch."""
+def current_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, order: Sequence[str] = (), buckets: int = 64) -> StreamingQuery:
+    """The latest row of each sensor in a KeyedTable at path: a micro-batch rewrites the buckets that it touches, and
+    one that is replayed after a failure changes nothing."""
 
-    def merge(batch: DataFrame, _: int) -> None:
-        # without a pointer there is no table yet; any other failure to read it ends the batch
-        spark = batch.sparkSession
-        old = read_hot(spark, path) if path_exists(spark, f"{path}/pointer") else None
-        publish_hot(merge_current(old, batch, keys, ts, order), path)
+    def merge(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # read once for its buckets and once for its rows
+        try:
+            KeyedTable(batch.sparkSession, path, keys, ts, order, buckets).upsert(batch, number, checkpoint)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
