@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,44 +34,68 @@ from .perfect_hash import PerfectHash
 
 #: Bytes of text of a shard, keys of a block, bytes that are read at once.
 SHARD, BLOCK, READ = 8 << 20, 1024, 4 << 20
-#: Bytes of distinct words whose ids a worker keeps, and of texts that it encodes at a time.
-KEEP, STEP = 4 << 20, 1 << 20
+#: Characters of distinct words whose ids a worker keeps, and bytes of texts that it encodes at a time.
+KEEP, STEP = 4 << 20, 8 << 20
 _MARK = b"idshard1"
+#: A letter or digit, and a mark of ASCII but the apostrophe.
+_BEFORE_MARK = r"([0-9A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@])"
 
-Encoder = Callable[[list[str]], list[bytes]]
+Encoder = Callable[[pa.Array], pa.Array]
 
 
 class Words:
-    """The ids of texts by a tokenizer that drops white space and never looks beyond it, such as word_bpe: each distinct
-    word is encoded once by the library and its ids are kept, within a bound, for later texts."""
+    """The ids of texts by a tokenizer that drops white space, lower-cases and never lets a token hold letters and
+    marks, such as word_bpe: texts are cut at white space and between a letter or digit and a mark, and each distinct piece
+    is encoded once by the library. Its ids are kept, within a bound, for later texts."""
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), np.dtype("<u2" if width == 2 else "<u4")
+        plain = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.normalized or t.single_word)]
+        self.mark = plain[0] if plain else None
         self.known: dict[str, bytes] = {}
         self.held = 0
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            ids = [e.ids for e in found]
-            raw = np.fromiter((i for x in ids for i in x), self.kind).tobytes()
-            stop = 0
-            for word, x in zip(part, ids):
-                begin, stop = stop, stop + len(x) * self.kind.itemsize
-                self.known[word] = raw[begin:stop]
-                self.held += len(word)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Words are encoded in rows, a special token between two; those that may hold one themselves alone."""
+        size = self.kind.itemsize
+        odd = [w for w in words if self.mark is None or "<" in w]
+        rest = [w for w in words if "<" not in w] if self.mark else []
+        for at in range(0, len(odd), 4096):
+            for word, e in zip(odd[at : at + 4096], self.tokenizer.encode_batch_fast(odd[at : at + 4096], add_special_tokens=False)):
+                self.known[word] = np.array(e.ids, self.kind).tobytes()
+        for at in range(0, len(rest), 2048):
+            part = rest[at : at + 2048]
+            [row] = self.tokenizer.encode_batch_fast([self.mark[1].join(part)], add_special_tokens=False)
+            ids = np.array(row.ids, np.int64)
+            stops = [*np.flatnonzero(ids == self.mark[0]).tolist(), len(ids)]
+            raw, begin = ids.astype(self.kind).tobytes(), 0
+            for word, stop in zip(part, stops, strict=True):
+                self.known[word] = raw[begin * size : stop * size]
+                begin = stop + 1
+        self.held += sum(map(len, words))
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
         if self.held > KEEP:
             self.known, self.held = {}, 0
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.known.keys()
-        if new:
-            self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        # A-Z can be lower-cased before the tokenizer does it, save where accents join letters or a special token may stand
+        odd = pc.match_substring_regex(texts, r"\p{M}|<\|")
+        texts = pc.replace_substring(pc.if_else(odd, texts, pc.ascii_lower(texts)), "\n", " ")
+        texts = pc.replace_substring_regex(texts, _BEFORE_MARK, r"\1 \2")
+        split = pc.split_pattern(texts, " ")
+        codes = split.flatten().dictionary_encode()
+        words = codes.dictionary.to_pylist()
+        self._learn([w for w in words if w not in self.known])
+        ids = [self.known[w] for w in words]
+        raw, length = np.frombuffer(b"".join(ids), self.kind), np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        first = np.cumsum(length) - length
+        at = codes.indices.to_numpy()
+        n = length[at]
+        stop = np.concatenate([[0], np.cumsum(n)])
+        out = raw[np.arange(stop[-1]) + np.repeat(first[at] - stop[:-1], n)] if len(raw) else raw
+        edges = (stop[split.offsets.to_numpy()] * self.kind.itemsize).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(out))]).cast(pa.binary())
 
 
 class Texts:
@@ -81,8 +106,12 @@ class Texts:
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), np.dtype("<u2" if width == 2 else "<u4")
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        ids = []
+        for begin in range(0, len(texts), 16):
+            found = self.tokenizer.encode_batch_fast(texts.slice(begin, 16).to_pylist(), add_special_tokens=False)
+            ids += [np.array(e.ids, self.kind).tobytes() for e in found]
+        return pa.array(ids, pa.binary())
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -99,16 +128,16 @@ def _encoder(path: str, width: int, by_words: bool) -> Encoder:
     return _ENCODERS[key]
 
 
-def steps(texts: list[str], size: int = STEP) -> Iterator[tuple[int, int]]:
-    """Runs of whole texts of about size characters; a longer text is one of its own."""
+def steps(length: list[int], size: int = STEP) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about size in all; a longer text is one of its own."""
     begin, held = 0, 0
-    for k, t in enumerate(texts):
-        if k > begin and held + len(t) > size:
+    for k, n in enumerate(length):
+        if k > begin and held + n > size:
             yield begin, k
             begin, held = k, 0
-        held += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+        held += n
+    if begin < len(length):
+        yield begin, len(length)
 
 
 def _open(path: str) -> pa.NativeFile:
@@ -186,14 +215,13 @@ class IdStore:
             keys, lengths = [], []
             for batch in batches:
                 keys.append(batch["doc_id"])
-                texts = batch["text"].to_pylist()
-                for begin, stop in steps(texts):
-                    ids = encoder(texts[begin:stop])
-                    lengths += [len(x) // width + 1 for x in ids]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+                for begin, stop in steps(pc.binary_length(batch["text"]).to_pylist()):
+                    ids = encoder(batch["text"].slice(begin, stop - begin))
+                    lengths.append(pc.binary_length(ids).to_numpy().astype(np.int64) // width + 1)
+                    yield pa.RecordBatch.from_arrays([ids], names=["ids"])
             if lengths:
                 sink = pa.BufferOutputStream()
-                table = pa.table({"doc_id": pa.chunked_array(keys), "n": pa.array(lengths, pa.int64())})
+                table = pa.table({"doc_id": pa.chunked_array(keys), "n": pa.array(np.concatenate(lengths))})
                 with pa.ipc.new_stream(sink, table.schema) as out:
                     out.write_table(table)
                 raw = sink.getvalue().to_pybytes()

@@ -197,7 +197,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
             yield both(len(ids), chunk, {"number": range(len(ids)), "doc_id": ids} | named)
 
         for batch in batches:
-            for begin, stop in steps((texts := batch["text"].to_pylist()), STEP):
+            texts = batch["text"].to_pylist()
+            for begin, stop in steps([len(t) for t in texts], STEP):
                 found = aligner(texts[begin:stop])
                 done = 0
                 while done < len(found):  # a chunk may end within these texts
