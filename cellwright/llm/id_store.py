@@ -37,8 +37,8 @@ SHARD, BLOCK, READ = 8 << 20, 1024, 4 << 20
 #: Characters of distinct words whose ids a worker keeps, and bytes of texts that it encodes at a time.
 KEEP, STEP = 4 << 20, 8 << 20
 _MARK = b"idshard1"
-#: A letter or digit, and a mark of ASCII but the apostrophe.
-_BEFORE_MARK = r"([0-9A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@])"
+#: A letter or digit that stays one letter in lower case, and a mark of ASCII but the apostrophe.
+_BEFORE_MARK = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@])"
 
 Encoder = Callable[[pa.Array], pa.Array]
 
