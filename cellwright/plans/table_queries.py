@@ -53,11 +53,18 @@ def _(t: Tables) -> DataFrame:
     return t.table("events").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
 
 
-@query("src_parquet_footer")
+_FOOTER = ("event_id", "user_id", "value", "ts")
+
+
+@query("src_parquet_footer", " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count(*) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS nulls, CAST(min({x}) AS DOUBLE) AS least, CAST(max({x}) AS DOUBLE) AS most FROM events"
+    for c in _FOOTER for x in [f"epoch_us({c})" if c == "ts" else c]
+))
 def _(t: Tables) -> DataFrame:
-    from ..sources import file_stats
+    from ..sources import column_footers
 
-    return file_stats(t.table("events"), "value")
+    chunks = column_footers(t.spark, f"{t.sf_dir}/events.parquet", _FOOTER)
+    return chunks.groupBy(F.col("column").alias("name")).agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("least_n").alias("least"), F.max("most_n").alias("most"))
 
 
 @query("downsample_task", f"SELECT unit_id, us // {HOUR} * {HOUR} AS bucket, avg(value_f) AS mean FROM P GROUP BY ALL")
@@ -258,11 +265,15 @@ def _(t: Tables) -> DataFrame:
     return per.agg(F.count("*").alias("cells"), F.min("lo").alias("first_us"), F.max("hi").alias("last_us"))
 
 
-@query("agg_file_interval")
+@query("agg_file_interval", """, F AS (SELECT CAST(unit_id AS BIGINT) % 3 AS site, us // 86400000000 AS day, count(*) AS n, max(us) - min(us) AS span FROM P GROUP BY ALL)
+SELECT CAST(site AS VARCHAR) AS site, count(*) AS files, avg(span) / 1e6 AS mean_s, max(span) / 1e6 AS most_s, avg(n) AS mean_rows, CAST(sum(n) AS BIGINT) AS rows FROM F GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
-    per = t.table("events").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n"))
-    span = F.timestamp_diff("SECOND", "lo", "hi")
-    return per.agg(F.count("*").alias("files"), F.avg(span).alias("mean_s"), F.max(span).alias("most_s"), F.sum("n").alias("rows"))
+    from ..sources import file_intervals
+
+    path = scratch(t.spark)
+    rows = t.points.select((F.col("unit_id").cast("long") % 3).alias("site"), F.floor(F.col("us") / DAY).alias("day"), "us", "seq")
+    rows.repartition("site", "day").write.partitionBy("site", "day").parquet(path)  # a file for each
+    return file_intervals(t.spark, path, "us", ["site"])
 
 
 @query("agg_overview", "SELECT point_name, count(*) AS n, count(DISTINCT unit_id) AS units, count(*) FILTER (WHERE value_i % 2 = 0) AS even, count(*) FILTER (WHERE value_i % 2 <> 0) AS odd, min(us) AS first_us, max(us) AS last_us FROM P GROUP BY point_name")

@@ -29,7 +29,7 @@ class Files:
 
     def move(self, source: str, target: str) -> None:
         """Rename a file or folder to a name that is free."""
-        if self.exists(target) or not self.fs.rename(self.of(source), self.of(target)) or not self.exists(target):
+        if not self.exists(source) or self.exists(target) or not self.fs.rename(self.of(source), self.of(target)) or not self.exists(target):
             raise OSError(f"{source} was not moved to {target}")
 
     def delete(self, path: str) -> None:

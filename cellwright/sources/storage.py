@@ -1,37 +1,44 @@
-"""Compaction, retention and storage figures."""
+"""Retention and storage figures."""
 
 from __future__ import annotations
 
 import datetime
 import re
-import time
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import ffill
+from .commits import Files
+from .footers import column_footers
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    """(leaf, file, bytes, modified) of each Parquet file under path, without opening it."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return listed.select(F.regexp_replace("path", r"/[^/]*$", "").alias("leaf"), F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+def file_stats(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(file, rows, nulls, least, most) of a column for each file under path, from footers alone. Bounds are numbers, times
+    in microseconds, and null for other types; nulls and bounds are null where a file does not tell them."""
+    chunks = column_footers(spark, path, [column])
+    return chunks.groupBy("file").agg(
+        F.sum("rows").alias("rows"), F.when(F.count_if(F.col("nulls").isNull()) == 0, F.sum("nulls")).alias("nulls"), F.min("least_n").alias("least"), F.max("most_n").alias("most"),
+    )
 
 
-def file_stats(df: DataFrame, column: str) -> DataFrame:
-    """(file, rows, nulls, least, most) of a column for each file that df is read from."""
-    rows = df.select(F.col("_metadata.file_path").alias("file"), F.col(column).alias("c"))
-    return rows.groupBy("file").agg(F.count("*").alias("rows"), F.count_if(F.col("c").isNull()).alias("nulls"), F.min("c").alias("least"), F.max("c").alias("most"))
+def storage_stats(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
+    """(files, bytes, rows, first_ts, last_ts) of the Parquet under path, from footers alone; a file without bounds of
+    ts counts, its times do not."""
+    chunks = column_footers(spark, path, [ts])
+    per = chunks.groupBy("file").agg(F.max("file_bytes").alias("b"), F.sum("rows").alias("n"), F.min("least_n").alias("lo"), F.max("most_n").alias("hi"))
+    at = lambda c: F.timestamp_micros(c.cast("long"))
+    return per.agg(F.count("*").alias("files"), F.sum("b").alias("bytes"), F.sum("n").alias("rows"), at(F.min("lo")).alias("first_ts"), at(F.max("hi")).alias("last_ts"))
 
 
-def storage_stats(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
-    """(files, bytes, rows, first_ts, last_ts) of the Parquet under path."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
-    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"), F.col(ts).alias("t"))
-    per = files.groupBy("f").agg(F.first("b").alias("b"), F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
-    return per.agg(F.count("*").alias("files"), F.sum("b").alias("bytes"), F.sum("n").alias("rows"), F.min("lo").alias("first_ts"), F.max("hi").alias("last_ts"))
+def file_intervals(spark: SparkSession, path: str, ts: str = "ts", levels: Sequence[str] = ()) -> DataFrame:
+    """By the partition folders named in levels (like site for site=3), or over all: files, mean_s and most_s (the seconds
+    that a file spans), mean_rows and rows. From footers alone."""
+    per = file_stats(spark, path, ts).select("*", (F.col("most") - F.col("least")).alias("span"))
+    by = [F.regexp_extract("file", f"/{re.escape(c)}=([^/]*)/", 1).alias(c) for c in levels]
+    return per.groupBy(*by).agg(
+        F.count("*").alias("files"), (F.avg("span") / 1e6).alias("mean_s"), (F.max("span") / 1e6).alias("most_s"), F.avg("rows").alias("mean_rows"), F.sum("rows").alias("rows"),
+    )
 
 
 def wire_ratio(spark: SparkSession, path: str, topic: str, payload: str) -> DataFrame:
@@ -60,59 +67,15 @@ def retention(df: DataFrame, days: int, as_of: str) -> DataFrame:
     return df.where(F.col("date") > F.date_sub(F.lit(as_of).cast("date"), days))
 
 
-def trim_store(spark: SparkSession, path: str, days: int, as_of: str) -> list[str]:
-    """Delete the folders date=... of a store that are older than the last days up to as_of, and name them. Nothing is
-    read but the list of folders."""
+def trim_store(spark: SparkSession, path: str, days: int, as_of: str, depth: int = 6) -> list[str]:
+    """Delete the folders date=... of a store, below up to depth levels of other partitions, that are older than the last
+    days up to as_of, and name their days. Nothing is read but lists of folders."""
     first = datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days)
-    fs = spark._jvm.org.apache.hadoop.fs
-    here, gone = fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), []
-    for f in here.globStatus(fs.Path(f"{path}/date=*")) or []:
-        day = f.getPath().getName().removeprefix("date=")
-        if re.fullmatch(r"\d{4}-\d\d-\d\d", day) and datetime.date.fromisoformat(day) <= first:
-            if not here.delete(f.getPath(), True):
-                raise RuntimeError(f"{f.getPath()} was not deleted")
-            gone.append(day)
+    files, gone = Files(spark, path), set()
+    for level in range(depth + 1):
+        for f in files.glob(f"{path.rstrip('/')}/{'*=*/' * level}date=*"):
+            day = f.getPath().getName().removeprefix("date=")
+            if re.fullmatch(r"\d{4}-\d\d-\d\d", day) and datetime.date.fromisoformat(day) <= first:
+                files.delete(f.getPath().toString())
+                gone.add(day)
     return sorted(gone)
-
-
-_COMPACTED = "compact-"
-
-
-def compact(spark: SparkSession, path: str, min_files: int = 3, min_age_s: float = 0, codec: str = "zstd", ffill_by: Sequence[str] = (), ffill_order: Sequence[str] = (), dry_run: bool = False, target_bytes: int = 128 << 20, unit_from_name: bool = False) -> DataFrame:
-    """Merge the small files of each folder under path; (leaf, files, bytes, rows, null_pct, compacted).
-
-    A folder with fewer than min_files files, with one younger than min_age_s, or already compacted is
-    skipped. New files are written beside the old ones under a hidden name, read back and counted;
-    only then are they moved in and the old ones deleted, so a failure leaves the old ones whole.
-    ffill_by and ffill_order fill nulls forward on the way. unit_from_name takes unit_id from the part
-    of the file's name before "_" where the column is missing. dry_run only reports."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    now = F.lit(time.time()).cast("timestamp")
-    leaves = _files(spark, path).groupBy("leaf").agg(
-        F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.collect_list("file").alias("names"),
-        F.bool_or(F.col("file").contains(f"/{_COMPACTED}")).alias("done"), ((now.cast("double") - F.max("modified").cast("double")) < min_age_s).alias("young"),
-    ).where(F.col("files") >= min_files).where("not done and not young")
-    report = []
-    for r in leaves.toLocalIterator():
-        df = spark.read.option("mergeSchema", True).parquet(*r["names"])
-        if unit_from_name and "unit_id" not in df.columns:
-            df = df.withColumn("unit_id", F.regexp_extract(F.col("_metadata.file_name"), r"^([^_]+)_", 1))
-        columns = df.columns
-        stats = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{k}") for k, c in enumerate(columns)]).first()
-        nulls = sum(stats[1:])
-        row = (r["leaf"], r["files"], r["bytes"], stats["n"], 100.0 * nulls / max(stats["n"] * len(columns), 1))
-        if not dry_run:
-            if ffill_by:
-                df = ffill(df, ffill_by, ffill_order, [c for c in columns if c not in {*ffill_by, *ffill_order}])
-            fresh = f"{r['leaf']}/_{_COMPACTED}{uuid.uuid4().hex}"
-            df.coalesce(max(1, -(-r["bytes"] // target_bytes))).write.option("compression", codec).parquet(fresh)
-            if spark.read.parquet(fresh).count() != stats["n"]:
-                raise RuntimeError(f"{fresh} has not the rows of {r['leaf']}; nothing was deleted")
-            here = fs.Path(fresh).getFileSystem(spark._jsc.hadoopConfiguration())
-            for k, f in enumerate(here.globStatus(fs.Path(f"{fresh}/part-*.parquet"))):
-                here.rename(f.getPath(), fs.Path(f"{r['leaf']}/{_COMPACTED}{k}-{f.getPath().getName()}"))
-            for name in r["names"]:
-                here.delete(fs.Path(name), False)
-            here.delete(fs.Path(fresh), True)
-        report.append((*row, not dry_run))
-    return spark.createDataFrame(report, "leaf string, files long, bytes long, rows long, null_pct double, compacted boolean")

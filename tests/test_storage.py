@@ -36,7 +36,7 @@ def test_compaction(spark, tmp_path):
     assert [(r.files, r.rows, r.compacted) for r in done] == [(4, 40, True)] and done[0].null_pct == pytest.approx(25.0)
     assert len(glob.glob(f"{path}/date=2024-01-01/*.parquet")) == 1
     assert spark.read.parquet(path).count() == 43
-    assert S.compact(spark, path).count() == 0  # never again
+    assert S.compact(spark, path).count() == 0  # nothing new
     assert S.compact(spark, path, min_files=1, min_age_s=3600).count() == 0  # too young
 
 
