@@ -51,32 +51,78 @@ def select_glob(df: DataFrame, include: Sequence[str], exclude: Sequence[str] =
     return df.select(*[F.col(f"`{c}`") for c in df.columns if hit(c, include) and not hit(c, exclude)])
 
 
-def latest(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] | None = None, per_column: bool = False, order: Sequence[str] = ()) -> DataFrame:
-    """One row for each key: that of the largest ts, of equal ones of the largest order columns. With
-    per_column each column has its latest value that is not null, which may be of different rows."""
-    cols = [c for c in (cols or df.columns) if c not in keys]
+#: Types whose values have one width, so that aggregates of them are hashed.
+_FIXED = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz")
+
+
+def latest(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] | None = None, per_column: bool = False, order: Sequence[str] = (), words: int = 1 << 14) -> DataFrame:
+    """One row for each key: that of the largest ts, of equal ones of the largest order columns, nulls before all values. With
+    per_column each column has its latest value that is not null, which may be of different rows.
+
+    Where ts with at most one order column are whole numbers and all columns are of fixed width, one hashed aggregation finds
+    them. Else the largest times are found by hashing, for each column if asked for. They make a bit filter of 64 * words
+    bits, by which a second scan keeps the rows that may have one: these alone are shuffled and ordered. A row that
+    passes by chance loses to its key's true one, so any size gives the same rows; with many more keys than 4 * words more pass."""
+    cols, kinds = [c for c in (cols or df.columns) if c not in keys], dict(df.dtypes)
+    exists = lambda c: F.col(f"`{c}`").isNotNull()
+    if len(order) < 2 and all(kinds[c] in _WHOLE for c in (ts, *order)) and all(kinds[c] in _FIXED for c in cols):
+        at = ordering(df, [ts, *order], nulls_first=True)
+        return df.groupBy(*keys).agg(*[F.max_by(F.col(f"`{c}`"), F.when(exists(c), at) if per_column else at).alias(c) for c in cols])
+    marks = cols if per_column else [None]
+    none = ~F.coalesce(*[F.when(exists(c), True) for c in cols], F.lit(False)) if per_column else F.lit(False)
+    named = lambda k, t: F.xxhash64(F.lit(k), F.col(t), *keys)
+    tops = df.groupBy(*keys).agg(
+        F.max(ts).alias("_top"), F.bool_and(none).alias("_none"), *[F.max(F.when(exists(c), F.col(ts)) if c else F.col(ts)).alias(f"_top{k}") for k, c in enumerate(marks)]
+    )
+    hashes = [named(k, f"_top{k}") for k in range(len(marks))] + ([F.when(F.col("_none"), named(-1, "_top"))] if per_column else [])
+    seen = bit_filter(tops.select(F.explode(F.array(*hashes)).alias("h")).where("h is not null"), words)
+    hit = none & in_filter(named(-1, ts), F.col("_seen"), words)
+    for k, c in enumerate(marks):
+        maybe = in_filter(named(k, ts), F.col("_seen"), words)
+        hit = hit | (exists(c) & maybe if c else maybe)
+    rows = df.crossJoin(F.broadcast(seen.withColumnRenamed("bits", "_seen"))).where(hit).drop("_seen")  # one row of fixed size
+    by = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in (ts, *order)])
+    rows = rows.withColumn("_nth", F.row_number().over(by))
     if per_column:
-        at = ordering(df, [ts, *order])
-        return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
-    # largest times are found by hashing; only the rows that have them are ordered
-    top = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(ts).alias("_top"))
-    same = F.col(ts).eqNullSafe(F.col("_top"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    row = df.join(top, same).groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(ts, *order)).alias("_row"))
-    return row.select(*keys, "_row.*")
+        whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.withColumns({c: F.first(F.col(f"`{c}`"), ignorenulls=True).over(whole) for c in cols})
+    return rows.where("_nth = 1").select(*keys, *[F.col(f"`{c}`") for c in cols])
+
+
+def bit_filter(hashes: DataFrame, words: int) -> DataFrame:
+    """One row, an array of words whole numbers: in one of them, three bits are set for each hash in column h."""
+    bits = hashes.select(*[c.alias(n) for c, n in zip(_place(F.col("h"), words), ("word", "bits"))])
+    bits = bits.union(hashes.sparkSession.range(words).select("id", F.lit(0).cast("long")))
+    bits = bits.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return bits.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits"))
+
+
+def _place(h: Column, words: int) -> tuple[Column, Column]:
+    """The word of a hash and its bits, of other parts of the hash."""
+    bit = lambda by: F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(h, by) % 64).cast("int"))
+    return F.pmod(h, F.lit(words)).cast("long"), bit(40).bitwiseOR(bit(46)).bitwiseOR(bit(52))
+
+
+def in_filter(h: Column, filtered: Column, words: int) -> Column:
+    """Whether a hash may be one of those that the filter was made of."""
+    word, bits = _place(h, words)
+    return F.get(filtered, word.cast("int")).bitwiseAND(bits) == bits
+
+
+_WHOLE = ("bigint", "int", "smallint", "tinyint")
 
 
-def ordering(df: DataFrame, columns: Sequence[str]) -> Column:
+def ordering(df: DataFrame, columns: Sequence[str], nulls_first: bool = False) -> Column:
     """One value by which rows are ordered as by the columns. Of one column, or two of whole numbers, it has a fixed
-    width, so that an aggregation by it is hashed; of others it is a struct, for which rows are sorted."""
+    width, so that an aggregation by it is hashed; of others it is a struct, for which rows are sorted. With nulls_first
+    whole numbers that are null come before all others; else the value may be null."""
     kinds = dict(df.dtypes)
-    if len(columns) == 1:
-        return F.col(columns[0])
-    if len(columns) == 2 and all(kinds.get(c) in ("bigint", "int", "smallint", "tinyint") for c in columns):
-        high, low = (F.col(c).cast("decimal(19,0)") for c in columns)
-        return high * F.lit(10**19).cast("decimal(20,0)") + low
-    return F.struct(*columns)
+    if len(columns) <= 2 and all(kinds.get(c) in _WHOLE for c in columns) and (nulls_first or len(columns) == 2):
+        values = [F.col(c).cast("decimal(19,0)") for c in columns]
+        if nulls_first:
+            values = [F.coalesce(v, F.lit(str(-(1 << 63) - 1)).cast("decimal(19,0)")) for v in values]
+        return values[0] if len(columns) == 1 else values[0] * F.lit(str(10**19)).cast("decimal(20,0)") + values[1]
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
 def bucket(df: DataFrame, us: str, every: str | int, aggs: Sequence[Column], by: Sequence[str] = (), mode: str = "floor", empty: bool = False) -> DataFrame:
