@@ -16,7 +16,6 @@ their offset, however large the store is. What is read goes through the file sys
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -24,11 +23,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.footers import open_file
 from .common import small, written
 from .perfect_hash import PerfectHash
 
@@ -140,12 +139,6 @@ def steps(length: list[int], size: int = STEP) -> Iterator[tuple[int, int]]:
         yield begin, len(length)
 
 
-def _open(path: str) -> pa.NativeFile:
-    uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3a:", "s3:", path))
-    fs, inner = pa.fs.FileSystem.from_uri(uri)
-    return fs.open_input_file(inner)
-
-
 def hashed(keys: DataFrame, blocks: int) -> DataFrame:
     """keys with h1, h2 and the block of (doc_id, copy)."""
     name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("null"))
@@ -262,7 +255,7 @@ class IdStore:
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    with _open(r["path"]) as f:
+                    with open_file(r["path"]) as f:
                         size, mark = struct.unpack("<Q8s", f.read_at(16, r["length"] - width - 16))
                         if mark != _MARK:
                             raise ValueError(f"{r['path']} is no shard of ids")
@@ -326,7 +319,7 @@ class IdStore:
                     if paths[begin] != path:
                         if f is not None:
                             f.close()
-                        path, f = paths[begin], _open(paths[begin])
+                        path, f = paths[begin], open_file(paths[begin])
                     first = offset[begin]
                     raw = np.frombuffer(f.read_at(int(offset[stop - 1] + n[stop - 1] - first) * width, int(first) * width), f"<u{width}").astype("<u4")
                     ids = [raw[o : o + k].tobytes() for o, k in zip(offset[begin:stop] - first, n[begin:stop])]

@@ -114,10 +114,11 @@ def train(x: np.ndarray, y: np.ndarray, languages: list, epochs: int = 8, batch:
 
 def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Network | None:
     """A network of the languages that rows with learn, a lang and a letter in text have; None if
-    there is none. At most sample_rows of these rows are used, those of the smallest hashes."""
+    there is none. At most sample_rows of these rows are used, those of the smallest hashes of doc_id and text, null
+    ids included; equal rows count once, and a text with two languages is a row of each."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.xxhash64("doc_id", "text").alias("h"), "text")
-    chosen = F.broadcast(rows.select("d", "h", "l").orderBy("h", "d", "l").limit(sample_rows).distinct())
+    rows = rows.select(F.col("lang").cast("string").alias("l"), F.xxhash64("doc_id", "text").alias("h"), "text")
+    chosen = F.broadcast(rows.select("h", "l").distinct().orderBy("h", "l").limit(sample_rows))
     # of each text a few windows at hashed places, cut by the executors; short texts give one
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +134,8 @@ def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Netwo
                 out += [w.tobytes() for w in x[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(out, pa.binary())], ["lang", "window"])
 
-    sample = rows.join(chosen.select("d", "h"), ["d", "h"], "left_semi").dropDuplicates(["d", "h"])
-    got = sample.select(F.col("l").cast("string"), "h", "text").mapInArrow(run, "lang string, window binary").toPandas()
+    sample = rows.join(chosen, ["h", "l"], "left_semi").dropDuplicates(["h", "l"])
+    got = sample.select("l", "h", "text").mapInArrow(run, "lang string, window binary").toPandas()
     if not len(got):
         return None
     got = got.sort_values(["window", "lang"])

@@ -140,9 +140,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """docs with a column rate, in place of any it has."""
+    """docs with a column rate, in place of any of that name, in upper or lower case."""
     doc_of, mark_of, rate_of_doc = fresh(docs, "doc_of", "mark_of", "rate_of_doc")
     rates = _rates(docs, labelled, weights).select(F.col("doc_id").alias(doc_of), F.col("mark").alias(mark_of), F.col("rate").alias(rate_of_doc))
     mark = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
     both = docs.join(rates, docs["doc_id"].eqNullSafe(rates[doc_of]) & mark.eqNullSafe(rates[mark_of]), "left")
-    return both.select(*[docs[c] for c in docs.columns if c != "rate"], F.col(rate_of_doc).alias("rate"))
+    return both.select(*[docs[c] for c in docs.columns if c.lower() != "rate"], F.col(rate_of_doc).alias("rate"))

@@ -252,15 +252,17 @@ def _rows(texts: DataFrame, stems: np.ndarray, ids: str) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on documents that labels (doc_id, toxic) names with toxic 0 or 1; other labels count as
-    none, and of several for one document the larger holds. At most sample_rows of them are used,
-    those of the smallest hashes; equal texts count once. Without labels of both kinds every score is
-    the share of label 1, 0 if there is none."""
+    none, and of several for one document the larger holds. At most sample_rows labels and as many texts are used,
+    those of the smallest hashes; equal texts count once, with the label of their smallest id, however many rows have them, and
+    different texts of one id each have its label. Without labels of both kinds every score is the share of label 1, 0 if there is none."""
     named = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("label"))
     named = F.broadcast(named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    sample = docs.select(F.col("doc_id").alias("id"), "text").join(named.withColumnRenamed("doc_id", "id"), "id")
     digest = F.md5(F.coalesce("text", F.lit("")))
-    once = sample.groupBy(digest.alias("digest")).agg(F.min("id").alias("id"))
-    sample = sample.join(F.broadcast(once.select("id").distinct()), "id", "left_semi")
+    rows = docs.select(F.col("doc_id").alias("id"), "text", digest.alias("digest")).join(named.withColumnRenamed("doc_id", "id"), "id")
+    once = rows.groupBy("digest").agg(F.min(F.struct("id", "label")).alias("of"))
+    once = once.select("digest", "of.*").orderBy(F.xxhash64("id"), "id", "digest").limit(sample_rows)
+    sample = rows.join(F.broadcast(once.select("digest", "id")), ["digest", "id"], "left_semi")
+    sample = sample.groupBy("digest").agg(F.min("text").alias("text"), F.max("label").alias("label")).drop("digest")
     stems = _toxic_stems(sample)
     rows = _rows(sample.select("label", "text"), stems, "label").toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(-1, len(FEATURES))

@@ -20,9 +20,12 @@ from ..conftest import DATA
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
+TOKENIZER, ENCODER = Tokenizer.from_file(PATH), id_store.Words(PATH, 2)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
-    return Tokenizer.from_file(PATH)
+    return TOKENIZER
 
 
 def ids_of(tokenizer, text):
@@ -100,11 +103,9 @@ def test_wide_ids_and_texts_encoded_whole(spark, tmp_path):
 @settings(deadline=None, max_examples=400)
 @given(st.lists(st.text(st.sampled_from("ab'sSJ1 .,!\n\t\u0301\u030c\u0307\u0338é한😀<|endoftxE>İß\x00"), max_size=40), max_size=4))
 def test_words_are_encoded_as_in_their_text(texts):
-    tokenizer = Tokenizer.from_file(PATH)
-    encoder = id_store.Words(PATH, 2)
-    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    expected = [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
     array = pa.array(texts, pa.string())
-    assert encoder(array).to_pylist() == expected and encoder(array).to_pylist() == expected
+    assert ENCODER(array).to_pylist() == expected
 
 
 def test_perfect_hash():

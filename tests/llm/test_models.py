@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cellwright.llm import language_id, queries, toxicity, url_filter
 
@@ -169,3 +170,29 @@ def test_any_number_of_languages():
     x = np.tile(np.arange(n, dtype=np.int64)[:, None] % 256, (1, language_id.WINDOW)).astype(np.uint8)
     net = language_id.train(x[:300], np.arange(n), [f"l{k:03}" for k in range(n)])
     assert net.logits(x[:4], net.tables()).shape == (4, n)
+
+
+def test_toxicity_sample_is_bounded_by_texts(spark, monkeypatch):
+    """One labelled id with 500 equal rows, one with two texts, and the same text under two ids."""
+    rows = [(1, "you are an idiot")] * 500 + [(2, "a"), (2, "b"), (3, "c"), (4, "c")] + [(k, f"plain words {k}") for k in range(10, 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0), *[(k, 0) for k in range(10, 120)]], "doc_id long, toxic int")
+    seen = []
+    plain = toxicity.boost
+    monkeypatch.setattr(toxicity, "boost", lambda x, y: seen.append(y) or plain(x, y))
+    toxicity.fit(docs, labels, sample_rows=60)
+    toxicity.fit(docs, labels)
+    assert len(seen[0]) <= 60 and seen[0].sum() <= 2
+    assert len(seen[1]) == 1 + 2 + 1 + 110 and seen[1].sum() == 2  # c has the label of id 3
+
+
+def test_language_sample_with_null_ids_and_contradictions(spark):
+    docs = spark.createDataFrame([(None, f"der die das {k} und", "de") for k in range(20)] + [(None, f"the of and {k} to", "en") for k in range(20)], "doc_id long, text string, lang string")
+    learn = F.lit(True)
+    got = language_id.predict(docs, language_id.fit(docs, learn)).collect()
+    assert {r.lang_pred for r in got} == {"de", "en"}
+    again = docs.union(docs.where("lang = 'de'").withColumn("lang", F.lit("en"))).union(docs).union(docs)
+    one, two = language_id.fit(again, learn), language_id.fit(again.repartition(7), learn)
+    assert one.languages == two.languages and all(np.array_equal(a, b) for a, b in zip(one.kernels, two.kernels))
+    few = language_id.fit(docs.union(docs).union(docs), learn, sample_rows=10)  # equal rows do not fill the limit
+    assert few is not None

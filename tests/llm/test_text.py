@@ -258,3 +258,11 @@ def test_mixing_takes_any_number_of_domains(spark):
     shared = Counter(r.b for r in words.select(mixing._bucket("w").alias("b")).collect())
     assert len(got) == n and sum(r.domain == f"d{r.doc_id:02}" for r in got) >= n - 2 * sum(c - 1 for c in shared.values())
     assert all(r.rate >= 0 and r.n_tokens == 12 for r in got)
+
+
+def test_mix_takes_the_place_of_a_rate_in_any_case(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b", 5, 6), (2, "c", 7, 8)], "doc_id long, text string, Rate int, rAte2 int")
+    mixed = mixing.mix(docs, docs.select("text", F.lit("x").alias("domain")))
+    assert mixed.columns == ["doc_id", "text", "rAte2", "rate"]
+    mixed.write.parquet(str(tmp_path / "m"))
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
