@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.parse import glob_regex
+from . import slices
 
 DAY_US = 86_400_000_000
 
@@ -34,7 +36,7 @@ def threshold(name: str, rules: Sequence[tuple[str, float]], default: float) ->
     return out
 
 
-def passes(last: float | None, last_us: int | None, value: float, us: int, limit: float, kind: str, exact: bool, heartbeat_us: int | None) -> bool:
+def passes(last: float | str | None, last_us: int, value: float | str, us: int, limit: float, kind: str, exact: bool, heartbeat_us: int | None) -> bool:
     """Whether a reading goes out, given the last one that did: the step of cov and of its stream form.
     NaN equals NaN; a change from or to NaN is a change."""
     if last is None:
@@ -48,33 +50,41 @@ def passes(last: float | None, last_us: int | None, value: float, us: int, limit
     return abs(value - last) >= limit
 
 
-def cov(df: DataFrame, keys: Sequence[str], us: str, value: str, rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", heartbeat_us: int | None = None, name: str | None = None, exact: Column | None = None, day_cut: bool = False, order: Sequence[str] = ()) -> DataFrame:
+def cov(df: DataFrame, keys: Sequence[str], us: str, value: str, rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", heartbeat_us: int | None = None, name: str | None = None, exact: Column | None = None, day_cut: bool = False, order: Sequence[str] = (), slice_rows: int | None = None) -> DataFrame:
     """Rows that differ enough from the last row of their key that was kept.
 
     kind "absolute": by at least the threshold; "relative": by more than that share of the last value.
     The threshold is that of the first rule whose glob matches column name (by default the last key).
-    exact: where true, any change counts. With heartbeat_us a row that long after the last kept one
+    exact: where true, any change counts, as it does for strings. With heartbeat_us a row that long after the last kept one
     stays too. Nulls are left out. Rows of a key are sorted by us and order and read one after the
-    other, so a key is one task's work; with day_cut each day of a key is its own series (and its
-    first row is kept), which splits long series."""
+    other, so a key is one task's work. With slice_rows, keys of more rows are read in slices of about that many by
+    as many tasks, with the same result (see slices; order must then be total). With day_cut each day of a key is its own
+    series (and its first row is kept)."""
     name = name or keys[-1]
     limit = threshold(name, rules, default)
     rows = df.where(F.col(value).isNotNull() & F.col(us).isNotNull())
-    extra = {"_limit": limit, "_exact": exact if exact is not None else F.lit(False), "_value": F.col(value).cast("double")}
+    text = dict(df.dtypes)[value] == "string"
+    extra = {"_limit": limit, "_exact": F.lit(True) if text else exact if exact is not None else F.lit(False), "_value": F.col(value) if text else F.col(value).cast("double")}
     if day_cut:
         extra["_day"] = F.floor(F.col(us) / DAY_US)
     rows = rows.withColumns(extra)
     group = [*keys, *(["_day"] if day_cut else [])]
+    sliced = slice_rows is not None
+    if sliced:
+        rows = slices.long_series(rows, group, us, slice_rows)
+        rows = slices.with_entries(rows, group, slices.entries(rows, group, us, order, kind, heartbeat_us))
+        group = [*group, "_slice"]
     fields = df.schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, last, last_us = None, None, None
         for pdf in batches:
             keep = []
-            marks = list(zip(*[pdf[g] for g in group], strict=True))
-            for key, v, t, e, x in zip(marks, pdf["_value"], pdf[us], pdf["_limit"], pdf["_exact"], strict=True):
+            marks = list(zip(*[pdf[g].astype(object).where(pdf[g].notna(), None) for g in group], strict=True))
+            entry = zip(pdf["_entry"].astype(object).where(pdf["_entry_us"].notna(), None), pdf["_entry_us"]) if sliced else repeat((None, None), len(pdf))
+            for key, v, t, e, x, first in zip(marks, pdf["_value"], pdf[us], pdf["_limit"], pdf["_exact"], entry, strict=True):
                 if key != now:
-                    now, last, last_us = key, None, None
+                    now, (last, last_us) = key, first
                 ok = passes(last, last_us, v, t, e, kind, x, heartbeat_us)
                 if ok:
                     last, last_us = v, t

@@ -237,11 +237,11 @@ def _(t: Tables) -> DataFrame:
     return C.cov_exact(rows, KEYS, ORDER, ["a", "b"]).select("seq", "a", "b")
 
 
-def _walk(passes: str) -> str:
-    return f""", N AS (SELECT *, row_number() OVER ({_W}) AS rn FROM P),
+def _walk(passes: str, over: str = _W, same: str = "N.unit_id = Z.unit_id AND N.point_name = Z.point_name") -> str:
+    return f""", N AS (SELECT *, row_number() OVER ({over}) AS rn FROM P),
 Z AS (SELECT unit_id, point_name, rn, seq, value_f AS last, us AS last_us, TRUE AS keep FROM N WHERE rn = 1 UNION ALL
 SELECT N.unit_id, N.point_name, N.rn, N.seq, CASE WHEN {passes} THEN N.value_f ELSE Z.last END, CASE WHEN {passes} THEN N.us ELSE Z.last_us END, {passes}
-FROM Z JOIN N ON N.unit_id = Z.unit_id AND N.point_name = Z.point_name AND N.rn = Z.rn + 1)
+FROM Z JOIN N ON {same} AND N.rn = Z.rn + 1)
 SELECT seq FROM Z WHERE keep"""
 
 
@@ -263,6 +263,13 @@ def _(t: Tables) -> DataFrame:
     return C.cov(t.points, KEYS, "us", "value_f", exact=F.lit(True), heartbeat_us=5 * DAY, order=["seq"]).select("seq")
 
 
+@query("cov_long_series", _walk(
+    f"(N.us - Z.last_us >= {DAY // 24} OR abs(N.value_f - Z.last) >= 3000)", "PARTITION BY point_name ORDER BY us, seq", "N.point_name = Z.point_name"
+))
+def _(t: Tables) -> DataFrame:
+    return C.cov(t.points, ["point_name"], "us", "value_f", default=3000.0, heartbeat_us=DAY // 24, order=["seq"], slice_rows=500).select("seq")
+
+
 @query("null_fill", f""", V AS (SELECT seq, unit_id, us, us // {DAY} AS slot, value_i % 3 AS a, CASE WHEN value_i % 10 <> 0 THEN value_i % 2 END AS b FROM P),
 L AS (SELECT *, last_value(a IGNORE NULLS) OVER w AS pa, last_value(b IGNORE NULLS) OVER w AS pb FROM V WINDOW w AS (PARTITION BY unit_id, slot ORDER BY us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT seq, CASE WHEN coalesce(a = pa, FALSE) THEN NULL ELSE a END AS a, CASE WHEN coalesce(b = pb, FALSE) THEN NULL ELSE b END AS b FROM L""")
