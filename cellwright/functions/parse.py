@@ -81,12 +81,17 @@ def unmatched_topics(df: DataFrame, topic: str, patterns: Sequence[str]) -> Data
     return left.groupBy(F.size(parts).alias("depth"), F.get(parts, F.lit(0)).alias("prefix")).agg(F.min(topic).alias("example"), F.count("*").alias("n"))
 
 
-def select_topics(df: DataFrame, topic: str, groups: dict[str, Sequence[str]], chosen: Sequence[str]) -> DataFrame:
-    """Rows whose topic a filter of one of the chosen groups matches; of no groups, none."""
+def topic_chosen(topic: str, groups: dict[str, Sequence[str]], chosen: Sequence[str]) -> Column:
+    """Whether a filter of one of the chosen groups matches a topic; of no groups, never."""
     fits = F.lit(False)
     for p in dict.fromkeys(p for g in chosen for p in groups[g]):
         fits = fits | F.col(topic).rlike(topic_regex(p))
-    return df.where(fits)
+    return fits
+
+
+def select_topics(df: DataFrame, topic: str, groups: dict[str, Sequence[str]], chosen: Sequence[str]) -> DataFrame:
+    """Rows whose topic is chosen."""
+    return df.where(topic_chosen(topic, groups, chosen))
 
 
 def json_value(payload: Column, field: str) -> Column:

@@ -70,7 +70,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("st_topic_select", "SELECT seq, topic FROM M WHERE topic LIKE '%/bms/%'")
 def _(t: Tables) -> DataFrame:
-    return X.select_topics(t.messages, "topic", GROUPS, ["battery"]).select("seq", "topic")
+    path = scratch(t.spark)
+    t.messages.select("seq", "topic").repartition(4).write.parquet(f"{path}/in")
+    stream = t.spark.readStream.schema("seq long, topic string").option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    live = X.topic_chosen("topic", GROUPS, ["battery"])
+    ST.route(stream, {f"{path}/store": F.lit(True), f"{path}/live": live}, f"{path}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{path}/live").select("seq", "topic")
 
 
 @query("point_registry", ", N AS (SELECT DISTINCT point_name FROM P) SELECT point_name, lpad(lower(to_hex(row_number() OVER (ORDER BY point_name) - 1)), 4, '0') AS id FROM N")
@@ -330,15 +335,26 @@ def _points(stream: DataFrame) -> DataFrame:
     )
 
 
-def _run(t: Tables, stream: DataFrame, mode: str = "append") -> DataFrame:
-    """The stream's whole result: appended rows, or the last complete table."""
+def _replay(t: Tables, parts: int = 4) -> DataFrame:
+    """A stream of all points in several micro-batches, in order of time, and of one last row far in the future by which
+    the windows of all others close; its own never does. It has a value, lest a filter takes it off, and no keys."""
+    path, rows = scratch(t.spark), _points(t.table("events")).where("us is not null")
+    cuts = rows.agg(F.percentile_approx("us", [k / parts for k in range(1, parts)]).alias("c"), F.max("us").alias("m")).first()
+    edges = [None, *(cuts["c"] or []), None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = rows if lo is None else rows.where(F.col("us") >= lo)
+        (part if hi is None else part.where(F.col("us") < hi)).repartition(2).write.mode("append").parquet(path)
+    end = F.timestamp_micros(F.lit((cuts["m"] or 0) + 1000 * DAY))
+    clock = t.spark.range(1).select(*[(end if f.name == "ts" else F.lit(0 if f.name == "value_f" else None).cast(f.dataType)).alias(f.name) for f in rows.schema])
+    clock.coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def _run(t: Tables, stream: DataFrame) -> DataFrame:
+    """All rows that the stream appends."""
     path = scratch(t.spark)
     writer = stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    if mode == "append":
-        query = writer.format("parquet").option("path", f"{path}/out").outputMode("append").start()
-    else:
-        query = writer.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{path}/out")).start()
-    query.awaitTermination()
+    writer.format("parquet").option("path", f"{path}/out").outputMode("append").start().awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
@@ -348,20 +364,27 @@ def _windows(df: DataFrame) -> DataFrame:
 
 @query("st_tumbling", f"SELECT point_name, us // {DAY} * {DAY} AS us, count(*) AS n, avg(value_f) AS mean FROM P GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
-    out = ST.tumbling(_points(_stream(t)), "ts", "1 day", ["point_name"], [F.count("*").alias("n"), F.avg("value_f").alias("mean")])
-    return _windows(_run(t, out, "complete"))
+    out = ST.tumbling(_replay(t), "ts", "1 day", ["point_name"], [F.count("*").alias("n"), F.avg("value_f").alias("mean")])
+    return _windows(_run(t, out))
 
 
 @query("st_rate", "SELECT us // 1000000 * 1000000 AS us, count(*) AS n FROM P GROUP BY 1")
 def _(t: Tables) -> DataFrame:
-    return _windows(_run(t, ST.message_rate(_points(_stream(t)), "ts"), "complete"))
+    return _windows(_run(t, ST.message_rate(_replay(t), "ts")))
+
+
+@query("st_rate_smooth", """, C AS (SELECT point_name, us // 1000000 * 1000000 AS us, count(*) AS n FROM P GROUP BY ALL), N AS (SELECT *, row_number() OVER (PARTITION BY point_name ORDER BY us) AS rn FROM C),
+E AS (SELECT point_name, us, n, rn, 0.2 * n AS rate FROM N WHERE rn = 1 UNION ALL SELECT N.point_name, N.us, N.n, N.rn, 0.8 * E.rate + 0.2 * N.n FROM E JOIN N ON N.point_name = E.point_name AND N.rn = E.rn + 1)
+SELECT point_name, us, n, round(CAST(rate AS DOUBLE), 6) AS rate FROM E""")
+def _(t: Tables) -> DataFrame:
+    return _run(t, ST.smoothed_rate(_replay(t), "ts", ["point_name"])).where("point_name is not null").withColumn("rate", F.round("rate", 6))
 
 
 @query("st_coalesce", """, W AS (SELECT *, us // 600000000 AS slot FROM P), R AS (SELECT *, row_number() OVER (PARTITION BY unit_id, point_name, slot ORDER BY seq DESC) AS rn, min(us) OVER (PARTITION BY unit_id, point_name, slot) AS first_us FROM W)
 SELECT unit_id, point_name, first_us AS us, value_f FROM R WHERE rn = 1""")
 def _(t: Tables) -> DataFrame:
-    out = ST.coalesce_stream(_points(_stream(t)), "ts", "10 minutes", ["unit_id", "point_name"], ["seq"], ["value_f"])
-    return _run(t, out, "complete").select("unit_id", "point_name", F.unix_micros("ts").alias("us"), "value_f")
+    out = ST.coalesce_stream(_replay(t), "ts", "10 minutes", ["unit_id", "point_name"], ["seq"], ["value_f"])
+    return _run(t, out).select("unit_id", "point_name", F.unix_micros("ts").alias("us"), "value_f")
 
 
 @query("st_cov", _walk(f"(N.us - Z.last_us >= {2 * DAY} OR abs(N.value_f - Z.last) >= CASE WHEN N.point_name = 'view' THEN 2000 WHEN N.point_name LIKE 'c%' THEN 500 ELSE 1000 END)"))
@@ -370,6 +393,14 @@ def _(t: Tables) -> DataFrame:
     return _run(t, out).select("seq")
 
 
+@query("st_cov_counted", _walk("abs(N.value_f - Z.last) >= 3000").replace("SELECT seq FROM Z WHERE keep", """, G AS (SELECT Z.*, N.us, N.value_f, sum(CASE WHEN keep THEN 1 ELSE 0 END) OVER (PARTITION BY Z.unit_id, Z.point_name ORDER BY rn) AS run FROM Z JOIN N USING (unit_id, point_name, rn)),
+K AS (SELECT unit_id, point_name, run, count(*) - 1 AS more, min(rn) AS a, max(rn) AS b FROM G GROUP BY ALL), L AS (SELECT *, lag(more, 1, 0) OVER w AS held, run = max(run) OVER (PARTITION BY unit_id, point_name) AS fin FROM K WINDOW w AS (PARTITION BY unit_id, point_name ORDER BY run))
+SELECT L.unit_id, L.point_name, N.us, N.value_f AS value, L.held, FALSE AS timed FROM L JOIN N ON N.unit_id = L.unit_id AND N.point_name = L.point_name AND N.rn = L.a
+UNION ALL SELECT L.unit_id, L.point_name, N.us, N.value_f, L.more, TRUE FROM L JOIN N ON N.unit_id = L.unit_id AND N.point_name = L.point_name AND N.rn = L.b WHERE L.fin AND L.more > 0"""))
+def _(t: Tables) -> DataFrame:
+    return _run(t, ST.counted_cov_stream(_replay(t), ["unit_id", "point_name"], "ts", "value_f", "500d", default=3000.0)).where("unit_id is not null")
+
+
 @query("st_current_state", _CURRENT)
 def _(t: Tables) -> DataFrame:
     path = scratch(t.spark)

@@ -5,15 +5,20 @@ state keep one value for each. Late rows are written to the day of their event."
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import parse_payload, topic_patterns
 from ..operators.change import passes, threshold
+from ..operators.query import period_us
+from ..sources.commits import Files
 from ..sources.keyed import KeyedTable
 from ..sources.sinks import with_event_date
 
@@ -42,10 +47,109 @@ def coalesce_stream(stream: DataFrame, ts: str, width: str, keys: Sequence[str],
 
 
 def message_rate(stream: DataFrame, ts: str, by: Sequence[str] = (), late: str = "10 seconds") -> DataFrame:
-    """Messages of each second."""
+    """Messages of each second that has any, given out when the second is over."""
     return tumbling(stream, ts, "1 second", by, [F.count("*").alias("n")], late)
 
 
+def smoothed_rate(stream: DataFrame, ts: str, by: Sequence[str], late: str = "10 seconds", alpha: float = 0.2) -> DataFrame:
+    """(by, us, n, rate): message_rate with its moving average, which starts at 0; a second without messages leaves it as it is.
+    Of a key its average and the counts of seconds that are not over yet are state; a timer closes these."""
+    rows = stream.withWatermark(ts, late).where(F.col(ts).isNotNull())
+    rows = rows.select(*by, ts, F.expr(f"unix_micros({ts}) div 1000000").alias("_second"))
+    types = dict(rows.dtypes)
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        rate, seconds, counts = state.get if state.exists else (0.0, [], [])
+        open_ = Counter(dict(zip(map(int, seconds), map(int, counts))))
+        if not state.hasTimedOut:
+            for pdf in batches:
+                open_.update(Counter(pdf["_second"].tolist()))
+        now = state.getCurrentWatermarkMs()
+        out = []
+        for second in sorted(s for s in open_ if (s + 1) * 1000 <= now):
+            n = open_.pop(second)
+            rate = rate * (1 - alpha) + n * alpha
+            out.append((*key, second * 1_000_000, n, rate))
+        state.update((rate, sorted(open_), [open_[s] for s in sorted(open_)]))
+        if open_:
+            state.setTimeoutTimestamp(max((min(open_) + 1) * 1000, now + 1))
+        yield pd.DataFrame(out, columns=[*by, "us", "n", "rate"])
+
+    schema = ", ".join(f"`{c}` {types[c]}" for c in by) + ", us long, n long, rate double"
+    kept = "rate double, seconds array<long>, counts array<long>"
+    return rows.groupBy(*by).applyInPandasWithState(run, schema, kept, "append", "EventTimeTimeout")
+
+
+def counted_cov_stream(stream: DataFrame, keys: Sequence[str], ts: str, value: str, hold: str, late: str = "10 minutes", rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute") -> DataFrame:
+    """Change-of-value of a stream with counts: (keys, us, value, held, timed).
+
+    A reading that differs enough from the last one that went out goes out, as does one that comes hold after that; held is how many
+    readings were held back since. A sensor that is silent for hold once its event time is sure to be over (late) gets a row
+    of a timer: its last reading, its time and how many are held, if any are; timed is true. State is five numbers for
+    each sensor. Rows that come later than late are dropped. Of a sensor's readings in one micro-batch three numbers each
+    are held, to bring them in order."""
+    hold_us = period_us(hold)
+    rows = stream.withWatermark(ts, late).where(F.col(value).isNotNull() & F.col(ts).isNotNull())
+    rows = rows.select(*keys, ts, F.unix_micros(ts).alias("_us"), F.col(value).cast("double").alias("_value"), threshold(keys[-1], rules, default).alias("_limit"))
+    types = dict(rows.dtypes)
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        last, last_us, seen, seen_us, held = state.get if state.exists else (None, None, None, None, 0)
+        row = lambda us, v, n, timed: (*key, us, v, n, timed)
+        names = [*keys, "us", "value", "held", "timed"]
+        out = []
+        if held and state.getCurrentWatermarkMs() * 1000 >= seen_us + hold_us:  # also if readings came with the timer
+            out.append(row(seen_us, seen, held, True))
+            last, last_us, held = seen, seen_us, 0
+        parts = [] if state.hasTimedOut else [[pdf[c].to_numpy() for c in ("_us", "_value", "_limit")] for pdf in batches]
+        us, value, limit = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([], [], [])
+        for k in np.argsort(us, kind="stable").tolist():
+            t, v = int(us[k]), float(value[k])
+            if passes(last, last_us, v, t, limit[k], kind, False, hold_us):
+                out.append(row(t, v, held, False))
+                last, last_us, held = v, t, 0
+            else:
+                held += 1
+            seen, seen_us = v, t
+        yield pd.DataFrame(out, columns=names)
+        state.update((last, last_us, seen, seen_us, held))
+        if held:
+            state.setTimeoutTimestamp(max((seen_us + hold_us) // 1000, state.getCurrentWatermarkMs() + 1))
+
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", us long, value double, held long, timed boolean"
+    kept = "last double, last_us long, seen double, seen_us long, held long"
+    return rows.groupBy(*keys).applyInPandasWithState(run, schema, kept, "append", "EventTimeTimeout")
+
+
+def route(stream: DataFrame, sinks: dict[str, Column], checkpoint: str, codec: str = "zstd") -> StreamingQuery:
+    """One stream to several stores: each path of sinks gets the rows of its condition, each row once.
+
+    A micro-batch is a folder batch=<number> of each store, moved in whole when it is written. A batch that is replayed, after
+    one of its sinks failed or before its number was noted, leaves the stores that have it as they are. A
+    store belongs to one checkpoint: with a new one its numbers start anew, which is an error."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read once for all sinks
+        try:
+            for path, condition in sinks.items():
+                files = Files(spark, path)
+                owner, mine = f"{path}/_owner", f"{checkpoint}\n"
+                if not files.exists(owner):
+                    files.write(owner, mine)
+                elif files.read(owner) != mine:
+                    raise ValueError(f"{path} belongs to the checkpoint {files.read(owner).strip()}")
+                target = f"{path}/batch={number}"
+                if not files.exists(target):
+                    hidden = f"{path}/_batch-{number}-{uuid.uuid4().hex}"
+                    batch.where(condition).write.option("compression", codec).parquet(hidden)
+                    files.move(hidden, target)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def cov_stream(stream: DataFrame, keys: Sequence[str], us: str, value: str, rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", heartbeat_us: int | None = None) -> DataFrame:
     """operators.change.cov on a stream: the state of a key is its last value that went out. Rows of a
     micro-batch are taken in order of time."""
