@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.window import Window
 
 from .change import run_encode
 from .joins import band_join
+from .query import latest
 
 
 def noise_cv(df: DataFrame, signal: str, value: str, top: int = 20) -> DataFrame:
@@ -144,3 +146,34 @@ def stale(df: DataFrame, keys: Sequence[str], us: str, as_of: int, limit_us: int
         return seen.where(as_of - F.col("last_us") > limit_us)
     fresh = seen.where(as_of - F.col("last_us") <= limit_us)
     return registry.select(*keys).distinct().join(fresh, list(keys), "left_anti").join(seen, list(keys), "left")
+
+
+def migration_checks(a: DataFrame, b: DataFrame, us: str, value: str, site: str, rack: str, cell: Sequence[str], one: dict, low: float, high: float, window_us: int, order: Sequence[str] = ()) -> DataFrame:
+    """(check, key, a, b, status) of four comparisons of a store with the one that it was moved to:
+
+    current: the latest value of one cell (columns and values in one), to 0.001; count: values by site, exactly; alerts: cells
+    whose latest value is below low or above high, exactly; mean: the mean by rack of that cell's site over the last
+    window_us of its own side, to 0.05. A key that only one side has is MISSING."""
+    tol = {"current": 0.001, "count": 0.0, "alerts": 0.0, "mean": 0.05}
+
+    def figures(df: DataFrame) -> DataFrame:
+        rows = df.where(F.col(value).isNotNull())
+        row = lambda check, key, v: [F.lit(check).alias("check"), key.cast("string").alias("key"), v.cast("double").alias("v")]
+        last = latest(rows, cell, us, [value], order=order)
+        mine = reduce(lambda x, y: x & y, [F.col(c) == v for c, v in one.items()])
+        current = last.where(mine).select(*row("current", F.concat_ws("/", *one), F.col(value)))
+        count = rows.groupBy(site).agg(F.count("*").alias("n")).select(*row("count", F.col(site), F.col("n")))
+        out = (F.col(value) < low) | (F.col(value) > high)
+        alerts = last.agg(F.count_if(out).alias("n")).select(*row("alerts", F.lit("all"), F.col("n")))
+        end = rows.agg(F.max(us).alias("_end"))  # one row
+        recent = rows.where(F.col(site) == one[site]).crossJoin(F.broadcast(end)).where(F.col(us) > F.col("_end") - window_us)
+        mean = recent.groupBy(rack).agg(F.avg(value).alias("m")).select(*row("mean", F.col(rack), F.col("m")))
+        return current.union(count).union(alerts).union(mean)
+
+    x, y = figures(a), figures(b).select(F.col("check").alias("_c"), F.col("key").alias("_k"), F.col("v").alias("b"))
+    both = x.withColumnRenamed("v", "a").withColumn("_a", F.lit(1)).join(y.withColumn("_b", F.lit(1)), (F.col("check") == F.col("_c")) & F.col("key").eqNullSafe(F.col("_k")), "full_outer")
+    check = F.coalesce("check", "_c")
+    limit = reduce(lambda out, c: F.when(check == c, F.lit(tol[c])).otherwise(out), tol, F.lit(0.0))
+    same = F.coalesce(F.abs(F.col("a") - F.col("b")) <= limit, F.lit(False))
+    status = F.when(F.col("_a").isNull() | F.col("_b").isNull(), "MISSING").when(same, "OK").otherwise("DIFF")
+    return both.select(check.alias("check"), F.coalesce("key", "_k").alias("key"), "a", "b", status.alias("status"))

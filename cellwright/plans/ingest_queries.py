@@ -373,8 +373,8 @@ def _(t: Tables) -> DataFrame:
     return _windows(_run(t, ST.message_rate(_replay(t), "ts")))
 
 
-@query("st_rate_smooth", """, C AS (SELECT point_name, us // 1000000 * 1000000 AS us, count(*) AS n FROM P GROUP BY ALL), N AS (SELECT *, row_number() OVER (PARTITION BY point_name ORDER BY us) AS rn FROM C),
-E AS (SELECT point_name, us, n, rn, 0.2 * n AS rate FROM N WHERE rn = 1 UNION ALL SELECT N.point_name, N.us, N.n, N.rn, 0.8 * E.rate + 0.2 * N.n FROM E JOIN N ON N.point_name = E.point_name AND N.rn = E.rn + 1)
+@query("st_rate_smooth", """, S AS (SELECT point_name, us // 1000000 * 1000000 AS us, count(*) AS n FROM P GROUP BY ALL), N AS (SELECT *, row_number() OVER (PARTITION BY point_name ORDER BY us) AS rn FROM S),
+E AS (SELECT point_name, us, n, rn, 0.2::DOUBLE * n AS rate FROM N WHERE rn = 1 UNION ALL SELECT N.point_name, N.us, N.n, N.rn, 0.8::DOUBLE * E.rate + 0.2::DOUBLE * N.n FROM E JOIN N ON N.point_name = E.point_name AND N.rn = E.rn + 1)
 SELECT point_name, us, n, round(CAST(rate AS DOUBLE), 6) AS rate FROM E""")
 def _(t: Tables) -> DataFrame:
     return _run(t, ST.smoothed_rate(_replay(t), "ts", ["point_name"])).where("point_name is not null").withColumn("rate", F.round("rate", 6))

@@ -555,6 +555,25 @@ def _(t: Tables) -> DataFrame:
     return Q.imbalance(R.latest(t.cells, ["site_id", "rack_id"], "us", ["soc"], order=TIES), ["site_id"], "soc", 50)
 
 
+def _figures(side: str, where: str) -> str:
+    rows = f"(SELECT * FROM C WHERE {where})"
+    last = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id, rack_id, cell_id {LAST}) AS rn FROM {rows}) WHERE rn = 1)"
+    return f""", {side} AS (SELECT 'current' AS "check", '0/0/1' AS key, CAST(voltage AS DOUBLE) AS v, 0.001 AS tol FROM {last} WHERE site_id = 0 AND rack_id = 0 AND cell_id = 1
+UNION ALL SELECT 'count', CAST(site_id AS VARCHAR), count(*), 0 FROM {rows} GROUP BY site_id
+UNION ALL SELECT 'alerts', 'all', count(*) FILTER (WHERE voltage < 3200 OR voltage > 4100), 0 FROM {last}
+UNION ALL SELECT 'mean', CAST(rack_id AS VARCHAR), avg(voltage), 0.05 FROM {rows} WHERE site_id = 0 AND us > (SELECT max(us) FROM {rows}) - {365 * DAY} GROUP BY rack_id)"""
+
+
+@query("dq_migration_four", _figures("A", "TRUE") + _figures("B", "site_id <> 4 AND power > 100000") + """
+SELECT coalesce(A."check", B."check") AS "check", coalesce(A.key, B.key) AS key, round(A.v, 6) AS a, round(B.v, 6) AS b, CASE WHEN A.key IS NULL OR B.key IS NULL THEN 'MISSING' WHEN abs(A.v - B.v) <= coalesce(A.tol, B.tol) THEN 'OK' ELSE 'DIFF' END AS status
+FROM A FULL JOIN B ON A."check" = B."check" AND A.key = B.key""")
+def _(t: Tables) -> DataFrame:
+    moved = t.cells.where("site_id <> 4 and power > 100000")
+    cell = ["site_id", "rack_id", "cell_id"]
+    out = Q.migration_checks(t.cells, moved, "us", "voltage", "site_id", "rack_id", cell, {"site_id": 0, "rack_id": 0, "cell_id": 1}, 3200, 4100, 365 * DAY, TIES)
+    return out.select("check", "key", F.round("a", 6).alias("a"), F.round("b", 6).alias("b"), "status")
+
+
 @query("dq_migration_checks", f""", A AS (SELECT site_id, avg(voltage) AS v, count(*) AS n FROM C GROUP BY site_id), B AS (SELECT site_id, avg(voltage) AS v, count(*) AS n FROM C WHERE site_id <> 4 AND power > 100000 GROUP BY site_id)
 SELECT coalesce(A.site_id, B.site_id) AS site_id, CASE WHEN A.site_id IS NULL OR B.site_id IS NULL THEN 'MISSING' WHEN abs(A.v - B.v) <= 0.5 THEN 'OK' ELSE 'DIFF' END AS mean_status, CASE WHEN A.site_id IS NULL OR B.site_id IS NULL THEN 'MISSING' WHEN A.n = B.n THEN 'OK' ELSE 'DIFF' END AS count_status FROM A FULL JOIN B ON A.site_id = B.site_id""")
 def _(t: Tables) -> DataFrame:
