@@ -98,7 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     A document word that any occurrence of a window covers is hit; n_items counts the items of which
     a window occurs, and items_sha256 is of their ids, sorted as strings and joined by commas. A null
     text has no words, items with a null or empty text no windows, an empty benchmark finds nothing.
-    Rows that repeat both doc_id and text are one row of the result; rows that share only a doc_id
+    Each row of docs gives a row, rows that repeat doc_id and text as well; rows that share only a doc_id
     are judged apart. Texts may be of any length; other columns are ignored."""
     found, items = hits(docs, benchmark, width)
     found = written(found, "hits")
@@ -111,8 +111,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     stats = stats.select(covered["key"].alias("k"), covered["doc_id"].alias("d"), "n_hit", "n_items", "ids")
     out = base.join(stats, (base["key"] == stats["k"]) & base["doc_id"].eqNullSafe(stats["d"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    each = docs.select(F.xxhash64(F.col("doc_id").cast("string"), "text").alias("own_key"), F.col("doc_id").alias("own_id"))
+    out = each.join(out, (F.col("own_key") == base["key"]) & F.col("own_id").eqNullSafe(base["doc_id"]))
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.col("own_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 

@@ -266,3 +266,11 @@ def test_mix_takes_the_place_of_a_rate_in_any_case(spark, tmp_path):
     assert mixed.columns == ["doc_id", "text", "rAte2", "rate"]
     mixed.write.parquet(str(tmp_path / "m"))
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
+def test_contamination_gives_each_row(spark):
+    leak = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, leak), (1, leak), (1, "clean"), (None, leak), (None, leak), (2, None), (2, None), (3, "")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, leak)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in decontamination.contamination(docs, benchmark).collect()), key=str)
+    assert got == sorted([(1, 10, 10, True)] * 2 + [(1, 1, 0, False)] + [(None, 10, 10, True)] * 2 + [(2, 0, 0, False)] * 2 + [(3, 0, 0, False)], key=str)
