@@ -9,12 +9,13 @@ summaries of a series are walked through in order, which gives each slice its tr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def passing(last: float, last_us: int, v: np.ndarray, us: np.ndarray, limit: np.ndarray, exact: np.ndarray, kind: str, heartbeat_us: int | None) -> np.ndarray:
@@ -152,3 +153,60 @@ def with_entries(sliced: DataFrame, keys: Sequence[str], found: DataFrame) -> Da
     same: list[Column] = [F.col(k).eqNullSafe(F.col(f"_key{n}")) for n, k in enumerate(keys)]
     out = sliced.join(F.broadcast(found), [*same, F.col("_slice") == F.col("_of_slice")], "left")  # as few as slices
     return out.drop("_of_slice", *[f"_key{n}" for n in range(len(keys))])
+
+
+def moving_average(df: DataFrame, keys: Sequence[str], us: str, value: str, alpha: float = 0.2, order: Sequence[str] = (), slice_rows: int = 500_000) -> DataFrame:
+    """df with ema: alpha * value + (1 - alpha) * the ema before, which starts at the series' first value.
+
+    A step is an affine map of what was before, and so is a row of steps: a slice is a factor and an offset, known without
+    its entry. Slices are read by as many tasks, each from 0; their maps are composed in order, which is a row for
+    each slice; and a row's ema is its own, and its entry times the factor up to it. Rows without a time or value
+    have none and change nothing; rows of a series need a total order by us and order."""
+    rows = df.withColumn("_value", F.when(F.col(us).isNotNull(), F.col(value).cast("double")))
+    live = rows.where("_value is not null")
+    per = live.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min(us).alias("_from"), F.max(us).alias("_to"))
+    width = F.expr(f"(_to - _from) div ((_rows + {slice_rows} - 1) div {slice_rows}) + 1")
+    per = per.where(F.col("_rows") > slice_rows).select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_from", width.alias("_width"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    live = live.join(F.broadcast(per), same, "left").withColumn("_slice", F.coalesce(F.expr(f"({us} - _from) div _width"), F.lit(0).cast("long")))
+    live = live.drop("_from", "_width", *[f"_of_{k}" for k in keys])
+    names = [f"_key{n}" for n in range(len(keys))]
+    fields = live.schema
+    sort = [*keys, "_slice", us, *[c for c in order if c != us]]
+    stay = 1.0 - alpha
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """_own: the ema from an entry of 0, and _factor: what an entry is multiplied by, after each row."""
+        now, own, factor = None, 0.0, 1.0
+        for pdf in batches:
+            owns, factors = [], []
+            marks = zip(*[pdf[c].astype(object).where(pdf[c].notna(), None) for c in [*keys, "_slice"]], strict=True)
+            for key, v in zip(marks, pdf["_value"], strict=True):
+                if key != now:
+                    now, own, factor = key, 0.0, 1.0
+                own, factor = stay * own + alpha * v, stay * factor
+                owns.append(own)
+                factors.append(factor)
+            yield pdf.assign(_own=owns, _factor=factors)
+
+    added = StructType([*fields.fields, StructField("_own", DoubleType()), StructField("_factor", DoubleType())])
+    told = live.repartition(*keys, "_slice").sortWithinPartitions(*sort).mapInPandas(read, added)
+    order_of = F.struct(us, *[c for c in order if c != us])
+    ends = told.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_slice").alias("_of_slice")).agg(
+        F.max_by(F.struct("_own", "_factor"), order_of).alias("last"), F.min_by("_value", order_of).alias("first")
+    )
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_of_slice")
+        now, entry = float(pdf["first"].iloc[0]), []  # as if the first value had been the average before it
+        for end in pdf["last"]:
+            entry.append(now)
+            now = end["_own"] + end["_factor"] * now
+        return pdf[[*names, "_of_slice"]].assign(_entry=entry)
+
+    types = dict(ends.dtypes)
+    entry = ends.groupBy(*names).applyInPandas(compose, ", ".join(f"{n} {types[n]}" for n in names) + ", _of_slice long, _entry double")
+    at = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    told = told.join(entry, [*at, F.col("_slice") == F.col("_of_slice")])
+    out = told.select(*df.columns, (F.col("_own") + F.col("_factor") * F.col("_entry")).alias("ema"))
+    return out.unionByName(rows.where("_value is null").select(*df.columns, F.lit(None).cast("double").alias("ema")))

@@ -10,7 +10,8 @@ from ..operators import change as C
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import query as R
-from .registry import Tables, query
+from ..operators.slices import moving_average
+from .registry import Tables, query, scratch
 from .table_queries import DAY, HOUR, T0, T1
 
 KEYS, ORDER = ["unit_id", "point_name"], ["us", "seq"]
@@ -207,17 +208,31 @@ E AS (SELECT point_name, rn, day, n AS ema FROM N WHERE rn = 1 UNION ALL SELECT
 SELECT point_name, day, round(ema, 6) AS ema FROM E""")
 def _(t: Tables) -> DataFrame:
     b = R.bucket(t.points, "us", "1d", [F.count("*").cast("double").alias("n")], ["point_name"])
-    # a series is one value for each day, which bounds the arrays
-    per = b.groupBy("point_name").agg(F.array_sort(F.collect_list(F.struct(F.expr(f"bucket div {DAY}").alias("day"), "n"))).alias("s"))
-    none = F.array().cast("array<struct<day:bigint,ema:double>>")
+    ema = moving_average(b, ["point_name"], "bucket", "n", slice_rows=10)
+    return ema.select("point_name", F.expr(f"bucket div {DAY}").alias("day"), F.round("ema", 6).alias("ema"))
 
-    def step(out, x):
-        last = F.element_at(out, -1)["ema"]
-        new = F.when(F.size(out) == 0, x["n"]).otherwise(F.lit(0.2) * x["n"] + F.lit(0.8) * last)
-        return F.concat(out, F.array(F.struct(x["day"].alias("day"), new.alias("ema"))))
 
-    ema = F.aggregate("s", none, lambda out, x: F.when(F.size(out) == 0, F.array(F.struct(x["day"].alias("day"), x["n"].alias("ema")))).otherwise(step(out, x)))
-    return per.select("point_name", F.explode(ema).alias("e")).select("point_name", "e.day", F.round("e.ema", 6).alias("ema"))
+@query("sk_month_from_days", """, D AS (SELECT point_name, abs(value_f - lag(value_f) OVER (PARTITION BY unit_id, point_name ORDER BY us, seq)) AS d FROM P)
+SELECT point_name, count(*) AS n, min(d) AS least, max(d) AS most, TRUE AS near, TRUE AS about FROM D WHERE d > 0 GROUP BY point_name""")
+def _(t: Tables) -> DataFrame:
+    """Sizes of changes by point, from sketches that are written by day; near and about: whether quantiles and distinct
+    counts are as close to the exact ones as they promise."""
+    from ..operators import sketches as K
+
+    w = Window.partitionBy("unit_id", "point_name").orderBy("us", "seq")
+    moved = t.points.withColumn("d", F.abs(F.col("value_f") - F.lag("value_f").over(w))).where("d > 0")
+    path = scratch(t.spark)
+    K.write_days(K.by_day(moved, ["point_name"], "us", "d"), path)
+    got = K.answers(K.merged(t.spark.read.parquet(path), ["point_name"]), {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ["point_name"])
+    both = moved.select("point_name", "d").join(F.broadcast(got.select("point_name", "p50", "p95", "p99", "distinct")), "point_name")
+    below = [F.avg((F.col("d") <= F.col(p)).cast("double")).alias(f"up_{p}") for p in ("p50", "p95", "p99")]
+    under = [F.avg((F.col("d") < F.col(p)).cast("double")).alias(f"lo_{p}") for p in ("p50", "p95", "p99")]
+    exact = both.groupBy("point_name").agg(*below, *under, F.countDistinct("d").alias("c"), F.max("distinct").alias("e"))
+    near = F.lit(True)
+    for p, share in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        near = near & (F.col(f"lo_{p}") <= share + 0.01) & (F.col(f"up_{p}") >= share - 0.01)
+    exact = exact.select("point_name", near.alias("near"), (F.abs(F.col("e") - F.col("c")) <= 0.06 * F.col("c") + 1).alias("about"))
+    return got.select("point_name", "n", "least", "most").join(exact, "point_name")
 
 
 @query("win_running_avg", "SELECT seq, avg(value_f) OVER (PARTITION BY unit_id ORDER BY us, seq) AS mean FROM P")

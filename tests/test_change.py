@@ -138,3 +138,18 @@ def test_empty_tables(spark):
     assert C.cov(df, ["key"], "us", "v").count() == 0
     assert C.run_encode(df, ["key"], ["us"], "v").count() == 0
     assert C.coalesce_window(df, ["key", "seq"], "us", 100, ["us"], ["v"]).count() == 0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 40)), st.one_of(st.none(), st.floats(-5, 5))), max_size=50), st.sampled_from([3, 1000]))
+def test_moving_average_is_the_recursion(spark, rows, slice_rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, key string, us long, v double")
+    want, last = {}, {}
+    for i, (key, us, v) in sorted(enumerate(rows), key=lambda r: (r[1][1] or 0, r[0])):
+        if us is None or v is None:
+            want[i] = None
+            continue
+        last[key] = 0.2 * v + 0.8 * last.get(key, v)
+        want[i] = pytest.approx(last[key], abs=1e-9)
+    got = {r.seq: r.ema for r in slices.moving_average(df, ["key"], "us", "v", order=["seq"], slice_rows=slice_rows).collect()}
+    assert got == want
