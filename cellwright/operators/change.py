@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions.parse import glob_regex
 from . import slices
+from .query import ordering
 
 DAY_US = 86_400_000_000
 
@@ -153,7 +154,7 @@ def coalesce_window(df: DataFrame, keys: Sequence[str], us: str, width_ms: int,
     """Messages of a key within one window of event time in one row: us is the window's first time over
     all its keys but the last one (the topic), cols those of the largest order."""
     slot = F.floor(F.col(us) / (width_ms * 1_000))
-    at = F.struct(*order)
-    one = df.groupBy(*keys, slot.alias("_slot")).agg(F.min(us).alias("_first"), F.max_by(F.struct(*cols), at).alias("_row"))
+    at = ordering(df, order, nulls_first=True)
+    one = df.groupBy(*keys, slot.alias("_slot")).agg(F.min(us).alias("_first"), *[F.max_by(F.col(f"`{c}`"), at).alias(c) for c in cols])
     w = Window.partitionBy(*keys[:-1], "_slot")
-    return one.withColumn(us, F.min("_first").over(w)).select(*keys, us, "_row.*")
+    return one.withColumn("_at", F.min("_first").over(w)).select(*keys, F.col("_at").alias(us), *[F.col(f"`{c}`") for c in cols])

@@ -174,9 +174,9 @@ def series_points(df: DataFrame, us: str, signal: str, t0: int, t1: int, unit: s
 
 def snapshot_at(df: DataFrame, us: str, keys: Sequence[str], t: int, cols: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """For each key the row nearest in time to t, of equally near ones the earlier."""
-    near = F.struct(F.abs(F.col(us) - t), F.col(us), *order)
-    row = df.groupBy(*keys).agg(F.min_by(F.struct(us, *cols), near).alias("_row"))
-    return row.select(*keys, "_row.*")
+    near = df.withColumn("_near", 2 * F.abs(F.col(us) - t) + (F.col(us) > t).cast("long"))  # of equally near ones the earlier is less
+    at = ordering(near, ["_near", *order])
+    return near.groupBy(*keys).agg(*[F.min_by(F.col(f"`{c}`"), at).alias(c) for c in [us, *cols]])
 
 
 def sample_stride(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_wanted: int = 200) -> DataFrame:

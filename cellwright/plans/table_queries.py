@@ -170,14 +170,14 @@ def _(t: Tables) -> DataFrame:
 @query("agg_bucket_multi", f""", L AS (SELECT *, us // {DAY} * {DAY} AS bucket FROM P), R AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY us DESC, seq DESC) AS rn FROM L)
 SELECT bucket, avg(value_f) AS mean, min(value_i) AS least, max(value_i) AS most, max(CASE WHEN rn = 1 THEN value_f END) AS last FROM R GROUP BY bucket""")
 def _(t: Tables) -> DataFrame:
-    aggs = [F.avg("value_f").alias("mean"), F.min("value_i").alias("least"), F.max("value_i").alias("most"), F.max_by("value_f", F.struct("us", "seq")).alias("last")]
+    aggs = [F.avg("value_f").alias("mean"), F.min("value_i").alias("least"), F.max("value_i").alias("most"), F.max_by("value_f", R.ordering(t.points, ["us", "seq"])).alias("last")]
     return R.bucket(t.points, "us", "1d", aggs)
 
 
 @query("agg_ohlc", f""", L AS (SELECT *, us // {6 * HOUR} * {6 * HOUR} AS bucket FROM P), R AS (SELECT *, row_number() OVER (PARTITION BY point_name, bucket ORDER BY us, seq) AS a, row_number() OVER (PARTITION BY point_name, bucket ORDER BY us DESC, seq DESC) AS z FROM L)
 SELECT point_name, bucket, max(CASE WHEN a = 1 THEN value_f END) AS open, max(value_f) AS high, min(value_f) AS low, max(CASE WHEN z = 1 THEN value_f END) AS close FROM R GROUP BY ALL""")
 def _(t: Tables) -> DataFrame:
-    at = F.struct("us", "seq")
+    at = R.ordering(t.points, ["us", "seq"])
     aggs = [F.min_by("value_f", at).alias("open"), F.max("value_f").alias("high"), F.min("value_f").alias("low"), F.max_by("value_f", at).alias("close")]
     return R.bucket(t.points, "us", "6h", aggs, ["point_name"])
 
@@ -359,12 +359,11 @@ def _(t: Tables) -> DataFrame:
     return R.series_points(t.points, "us", "view", T0, T1).select("unit_id", "us", "value", "dtype")
 
 
-@query("sort_nulls_last", "SELECT seq, CASE WHEN value_i % 5 = 0 THEN NULL ELSE us END AS us FROM P ORDER BY 2 NULLS LAST, seq LIMIT 900")
-def _(t: Tables) -> DataFrame:
-    return t.points.select("seq", F.when(F.col("value_i") % 5 != 0, F.col("us")).alias("us")).orderBy(F.col("us").asc_nulls_last(), "seq").limit(900)
+_SORTED = "SELECT seq, CASE WHEN value_i % 5 = 0 THEN NULL ELSE us END AS us FROM P"
 
 
-@query("sort_nulls_last_all", "SELECT seq, CASE WHEN value_i % 5 = 0 THEN NULL ELSE us END AS us FROM P")
+@query("sort_nulls_last", _SORTED)
+@query("sort_nulls_last_all", _SORTED)
 def _(t: Tables) -> DataFrame:
     return t.points.select("seq", F.when(F.col("value_i") % 5 != 0, F.col("us")).alias("us")).orderBy(F.col("us").asc_nulls_last(), "seq")
 
@@ -397,18 +396,15 @@ def _(t: Tables) -> DataFrame:
     return S.to_wide(rows, ["unit_id", "day"], "point_name", "value_f", _POINTS, ["seq"], last=False)
 
 
-@query("pivot_all", """, R AS (SELECT *, row_number() OVER (PARTITION BY us // 3600000000, unit_id, point_name ORDER BY seq DESC) AS rn FROM P WHERE CAST(unit_id AS BIGINT) < 3)
-SELECT us // 3600000000 AS hour, """ + ", ".join(f"max(CASE WHEN rn = 1 AND unit_id = '{u}' AND point_name = '{p}' THEN value_f END) AS u{u}__{p}" for u in range(3) for p in _POINTS) + " FROM R GROUP BY 1")
-def _(t: Tables) -> DataFrame:
-    rows = t.points.where("cast(unit_id as long) < 3").select(F.expr("us div 3600000000").alias("hour"), F.concat(F.lit("u"), "unit_id", F.lit("__"), "point_name").alias("signal"), "value_f", "seq")
-    return S.to_wide(rows, ["hour"], "signal", "value_f", [f"u{u}__{p}" for u in range(3) for p in _POINTS], ["seq"])
+_SIGNALS = {p: f"{'bms_1' if p in ('click', 'view') else 'pcs_1'}__{p}" for p in _POINTS}
 
 
-_SIGNALS = {p: f"{'bms_1' if p in ('click', 'view') else 'pcs_1'}__{p}" for p in _POINTS}
+_PIVOT = """, R AS (SELECT *, row_number() OVER (PARTITION BY us // 3600000000, unit_id, point_name ORDER BY seq DESC) AS rn FROM P)
+SELECT unit_id, us // 3600000000 AS hour, """ + ", ".join(f"max(CASE WHEN rn = 1 AND point_name = '{p}' THEN value_f END) AS {s}" for p, s in _SIGNALS.items()) + " FROM R GROUP BY ALL"
 
 
-@query("pivot_all_units", """, R AS (SELECT *, row_number() OVER (PARTITION BY us // 3600000000, unit_id, point_name ORDER BY seq DESC) AS rn FROM P)
-SELECT unit_id, us // 3600000000 AS hour, """ + ", ".join(f"max(CASE WHEN rn = 1 AND point_name = '{p}' THEN value_f END) AS {s}" for p, s in _SIGNALS.items()) + " FROM R GROUP BY ALL")
+@query("pivot_all", _PIVOT)
+@query("pivot_all_units", _PIVOT)
 def _(t: Tables) -> DataFrame:
     signal = F.concat(F.when(F.col("point_name").isin("view", "click"), "bms_1__").otherwise("pcs_1__"), "point_name")
     rows = t.points.select("unit_id", F.expr("us div 3600000000").alias("hour"), signal.alias("signal"), "value_f", "seq")
@@ -444,14 +440,11 @@ def _(t: Tables) -> DataFrame:
     return S.to_long(t.cells, ["us", "tie", "part"], ["voltage", "soc"])
 
 
-@query("split_fast_slow", "SELECT us, tie, voltage, power, NULL::DOUBLE AS temperature, NULL::DOUBLE AS soc FROM C WHERE site_id = 2 UNION ALL SELECT us, tie, NULL, NULL, temperature, soc FROM C WHERE site_id = 2")
-def _(t: Tables) -> DataFrame:
-    rows = t.cells.where("site_id = 2").select("us", "tie", "voltage", "power", "temperature", "soc")
-    parts = S.split_by_class(rows, ["us", "tie"], {"fast": ["v*", "p*"]}, "slow")
-    return R.union_by_name(parts["fast"], parts["slow"])
+_SPLIT = "SELECT us, tie, voltage, power, NULL::DOUBLE AS temperature, NULL::DOUBLE AS soc FROM C UNION ALL SELECT us, tie, NULL, NULL, temperature, soc FROM C"
 
 
-@query("split_fast_slow_all", "SELECT us, tie, voltage, power, NULL::DOUBLE AS temperature, NULL::DOUBLE AS soc FROM C UNION ALL SELECT us, tie, NULL, NULL, temperature, soc FROM C")
+@query("split_fast_slow", _SPLIT)
+@query("split_fast_slow_all", _SPLIT)
 def _(t: Tables) -> DataFrame:
     parts = S.split_by_class(t.cells.select("us", "tie", "voltage", "power", "temperature", "soc"), ["us", "tie"], {"fast": ["v*", "p*"]}, "slow")
     return R.union_by_name(parts["fast"], parts["slow"])

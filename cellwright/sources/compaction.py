@@ -42,7 +42,7 @@ def planned(spark: SparkSession, path: str, min_files: int = 3, min_age_s: float
     fresh = ~F.col("old")
     age = F.lit(time.time()) - F.max(F.when(fresh, F.col("modified").cast("double"))).over(leaf)
     files = files.withColumns({"n": F.count("*").over(leaf), "age": age, "fresh": F.count_if(fresh).over(leaf)})
-    files = files.where((F.col("n") >= max(min_files, 1)) & (F.col("fresh") > 0) & (F.col("age") >= min_age_s))
+    files = files.where((F.col("n") >= max(min_files, 1)) & (F.col("fresh") > 0) & (F.lit(min_age_s <= 0) | (F.col("age") >= min_age_s)))
     before = F.sum("bytes").over(leaf.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     group = F.md5(F.concat_ws("|", "leaf", F.floor(F.coalesce(before, F.lit(0)) / target_bytes).cast("string")))
     return files.select("leaf", "file", "bytes", group.alias("group"))

@@ -38,3 +38,27 @@ def test_missing_paths_and_pruned_folders(spark, tmp_path):
     assert two.count() == 2 and "PartitionFilters: [isnotnull(date" in two._jdf.queryExecution().executedPlan().toString()
     assert sources.trim_store(spark, store, 7, "2024-01-10") == ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert sources.read_store(spark, store).count() == 7
+
+
+def test_storage_figures_are_those_of_the_files(spark):
+    """What SQL cannot tell: names, bytes, wire sizes, layouts, drift, against pyarrow and plain loops."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    path = f"{DATA}/events.parquet"
+    table = pq.read_table(path)
+    one = plans.QUERIES["agg_storage_stats"](spark, DATA).first()
+    ts = [t for t in table["ts"].to_pylist() if t is not None]
+    assert (one.files, one.bytes, one.rows) == (1, os.path.getsize(path), table.num_rows)
+    assert (one.first_ts, one.last_ts) == (min(ts), max(ts))
+    ratio = plans.QUERIES["agg_storage_ratio"](spark, DATA).first()
+    raw = sum(len(a.encode()) + len(b.encode()) + 4 for a, b in zip(table["event_type"].to_pylist(), table["props"].to_pylist()) if a is not None and b is not None)
+    assert (ratio.rows, ratio.raw_bytes, ratio.file_bytes) == (table.num_rows, raw, os.path.getsize(path))
+    assert abs(ratio.ratio - raw / os.path.getsize(path)) < 1e-9 and abs(ratio.bytes_per_row - os.path.getsize(path) / table.num_rows) < 1e-9
+    layouts = {r.layout: r for r in plans.QUERIES["agg_schema_compare"](spark, DATA).collect()}
+    assert set(layouts) == {"narrow", "compound", "wide"} and layouts["narrow"].rows == layouts["compound"].rows == table.num_rows
+    assert layouts["wide"].rows == len({(u, t) for u, t in zip(table["user_id"].to_pylist(), table["ts"].to_pylist())})
+    assert all(abs(r.bytes_per_row - r.bytes / r.rows) < 1e-9 and r.bytes > 0 for r in layouts.values())
+    assert [tuple(r) for r in plans.QUERIES["src_filename_col"](spark, DATA).collect()] == [("events.parquet", table.num_rows)]
+    assert [r.column for r in plans.QUERIES["dq_schema_drift"](spark, DATA).collect()] == [c for c in table.column_names if c not in ("event_id", "ts", "user_id", "value")]
