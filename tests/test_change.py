@@ -50,7 +50,7 @@ text = st.lists(st.tuples(st.sampled_from(["a", None]), st.integers(0, 50), st.s
 steps = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 60), st.one_of(values, st.sampled_from([0.1, 0.3, 0.6, -0.2]))), min_size=15, max_size=60)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(steps, st.sampled_from([("absolute", 0.5, None), ("relative", 0.5, None), ("absolute", 0.5, 7), ("relative", 0.3, 20), ("exact", 0.0, None), ("exact", 0.0, 9)]), st.integers(1, 9))
 def test_slices_are_the_plain_loop(spark, rows, how, slice_rows):
     kind, limit, heartbeat = how
@@ -61,7 +61,7 @@ def test_slices_are_the_plain_loop(spark, rows, how, slice_rows):
     assert sorted(r.seq for r in got.collect()) == plain(rows, limit, kind, heartbeat, same if kind == "exact" else None)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(text, st.sampled_from([None, 6]), st.sampled_from([None, 3]))
 def test_strings_in_slices(spark, rows, heartbeat, slice_rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, key string, us long, v string")
@@ -140,7 +140,7 @@ def test_empty_tables(spark):
     assert C.coalesce_window(df, ["key", "seq"], "us", 100, ["us"], ["v"]).count() == 0
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 40)), st.one_of(st.none(), st.floats(-5, 5))), max_size=50), st.sampled_from([3, 1000]))
 def test_moving_average_is_the_recursion(spark, rows, slice_rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, key string, us long, v double")
