@@ -5,8 +5,8 @@
 
 A batch reads the touched buckets only, writes them anew in one job beside the old ones, and then commits a manifest.
 Before that commit nothing of it is seen, after it all. A batch that was committed already is skipped, so
-streams may replay. Folders that neither the last two versions name are deleted: a reader keeps what it has opened until
-the next commit but one.
+streams may replay. Folders that neither of the last two versions names are deleted: a reader keeps what it has opened until
+the next commit but one. Of two writers at one time the second fails, at its commit or as its folder is gone.
 """
 
 from __future__ import annotations
