@@ -1,7 +1,7 @@
 """Streams: ingest, windows, change-of-value, current state, loss checks.
 
 State that ends has a watermark (windows). State of a sensor does not end: change-of-value and current
-state keep one value for each. Late rows are written to the day of their event."""
+state keep one value for each, in hash buckets. Late rows are written to the day of their event."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,45 +79,70 @@ def smoothed_rate(stream: DataFrame, ts: str, by: Sequence[str], late: str = "10
     return rows.groupBy(*by).applyInPandasWithState(run, schema, kept, "append", "EventTimeTimeout")
 
 
-def counted_cov_stream(stream: DataFrame, keys: Sequence[str], ts: str, value: str, hold: str, late: str = "10 minutes", rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute") -> DataFrame:
+#: Hash buckets of sensors, of which each is one row of state and one call for each micro-batch.
+BUCKETS = 1024
+
+
+def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
+    """rows with _bucket, and the columns by which a sensor is told from the others of its bucket: keys as text, so that nulls
+    and whole numbers come whole into Python."""
+    types = dict(rows.dtypes)
+    names = [k if types[k] == "string" else f"_text_{k}" for k in keys]
+    rows = rows.withColumns({n: F.col(k).cast("string") for k, n in zip(keys, names) if n != k})
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int")), names
+
+
+def counted_cov_stream(stream: DataFrame, keys: Sequence[str], ts: str, value: str, hold: str, late: str = "10 minutes", rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", buckets: int = BUCKETS) -> DataFrame:
     """Change-of-value of a stream with counts: (keys, us, value, held, timed).
 
     A reading that differs enough from the last one that went out goes out, as does one that comes hold after that; held is how many
     readings were held back since. A sensor that is silent for hold once its event time is sure to be over (late) gets a row
     of a timer: its last reading, its time and how many are held, if any are; timed is true. State is five numbers for
-    each sensor. Rows that come later than late are dropped. Of a sensor's readings in one micro-batch three numbers each
-    are held, to bring them in order."""
+    each sensor. Rows that come later than late are dropped. Sensors are kept by hash buckets, as a call for each costs far more
+    than its readings: a bucket that a micro-batch touches is read and written whole, and its readings of one micro-batch, three
+    numbers each and the keys, are held to bring them in order. A checkpoint belongs to its number of buckets. Keys are
+    strings, numbers, booleans or dates."""
     hold_us = period_us(hold)
     rows = stream.withWatermark(ts, late).where(F.col(value).isNotNull() & F.col(ts).isNotNull())
-    rows = rows.select(*keys, ts, F.unix_micros(ts).alias("_us"), F.col(value).cast("double").alias("_value"), threshold(keys[-1], rules, default).alias("_limit"))
     types = dict(rows.dtypes)
+    rows, names = _bucketed(rows, keys, buckets)
+    rows = rows.select("_bucket", *names, ts, F.unix_micros(ts).alias("_us"), F.col(value).cast("double").alias("_value"), threshold(keys[-1], rules, default).alias("_limit"))
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, last_us, seen, seen_us, held = state.get if state.exists else (None, None, None, None, 0)
-        row = lambda us, v, n, timed: (*key, us, v, n, timed)
-        names = [*keys, "us", "value", "held", "timed"]
+        *marks, last, last_us, seen, seen_us, held = state.get if state.exists else ([],) * (len(names) + 5)
+        sensors = {m: list(x) for m, x in zip(zip(*marks), zip(last, last_us, seen, seen_us, held))}
+        now = state.getCurrentWatermarkMs()
         out = []
-        if held and state.getCurrentWatermarkMs() * 1000 >= seen_us + hold_us:  # also if readings came with the timer
-            out.append(row(seen_us, seen, held, True))
-            last, last_us, held = seen, seen_us, 0
-        parts = [] if state.hasTimedOut else [[pdf[c].to_numpy() for c in ("_us", "_value", "_limit")] for pdf in batches]
-        us, value, limit = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([], [], [])
-        for k in np.argsort(us, kind="stable").tolist():
-            t, v = int(us[k]), float(value[k])
-            if passes(last, last_us, v, t, limit[k], kind, False, hold_us):
-                out.append(row(t, v, held, False))
-                last, last_us, held = v, t, 0
-            else:
-                held += 1
-            seen, seen_us = v, t
-        yield pd.DataFrame(out, columns=names)
-        state.update((last, last_us, seen, seen_us, held))
-        if held:
-            state.setTimeoutTimestamp(max((seen_us + hold_us) // 1000, state.getCurrentWatermarkMs() + 1))
-
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", us long, value double, held long, timed boolean"
-    kept = "last double, last_us long, seen double, seen_us long, held long"
-    return rows.groupBy(*keys).applyInPandasWithState(run, schema, kept, "append", "EventTimeTimeout")
+        for mark, x in sensors.items():
+            if x[4] and now * 1000 >= x[3] + hold_us:  # also if readings came with the timer
+                out.append((*mark, x[3], x[2], x[4], True))
+                x[0], x[1], x[4] = x[2], x[3], 0
+        parts = [] if state.hasTimedOut else list(batches)
+        if parts:
+            pdf = pd.concat(parts).sort_values("_us", kind="stable")
+            columns = [pdf[c].tolist() for c in ("_us", "_value", "_limit")]
+            for mark, t, v, limit in zip(zip(*[pdf[n].tolist() for n in names]), *columns, strict=True):
+                x = sensors.get(mark)
+                if x is None:
+                    x = sensors[mark] = [None, None, None, None, 0]
+                if passes(x[0], x[1], v, t, limit, kind, False, hold_us):
+                    out.append((*mark, t, v, x[4], False))
+                    x[0], x[1], x[4] = v, t, 0
+                else:
+                    x[4] += 1
+                x[2], x[3] = v, t
+        if out:
+            yield pd.DataFrame(out, columns=[*names, "us", "value", "held", "timed"])
+        if sensors:
+            state.update((*map(list, zip(*sensors)), *map(list, zip(*sensors.values()))))
+        silent = [(x[3] + hold_us) // 1000 for x in sensors.values() if x[4]]
+        if silent:
+            state.setTimeoutTimestamp(max(min(silent), now + 1))
+
+    schema = ", ".join(f"`{n}` string" for n in names) + ", us long, value double, held long, timed boolean"
+    kept = ", ".join(f"key{n} array<string>" for n in range(len(names))) + ", last array<double>, last_us array<long>, seen array<double>, seen_us array<long>, held array<long>"
+    out = rows.groupBy("_bucket").applyInPandasWithState(run, schema, kept, "append", "EventTimeTimeout")
+    return out.select(*[F.col(n).cast(types[k]).alias(k) for k, n in zip(keys, names)], "us", "value", "held", "timed")
 
 
 def route(stream: DataFrame, sinks: dict[str, Column], checkpoint: str, codec: str = "zstd") -> StreamingQuery:

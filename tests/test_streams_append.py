@@ -84,6 +84,35 @@ def test_counts_timers_and_restart(spark, tmp_path):
     ]
 
 
+def test_sensors_of_a_bucket_share_a_row_of_state(spark, tmp_path):
+    """Many sensors, null ones too, in few buckets: the rows of a plain loop over each, and no call and row of state for each."""
+    import random
+
+    dice = random.Random(7)
+    batches = [[(b * 10_000 + s, None if k == 7 else f"k{k}", dice.randrange(6)) for k in range(300) for s in dice.sample(range(9_000), 4) if k % 3 or b == 0] for b in range(3)]
+    batches.append([(1_000_000, "end", 0)])
+    for rows in batches:
+        feed(spark, tmp_path, rows)
+    start = int(T0.replace(tzinfo=datetime.timezone.utc).timestamp())
+    want, kept = [], []
+    for key in {k for rows in batches[:-1] for _, k, _ in rows}:
+        last = since = None
+        mine, held = sorted((s, v) for rows in batches for s, k, v in rows if k == key), 0
+        for s, v in mine:
+            if last is None or abs(v - last) >= 3 or s - since >= 50_000:
+                want.append((key, s, float(v), held, False))
+                kept.append((key, s))
+                last, since, held = v, s, 0
+            else:
+                held += 1
+        if held:
+            want.append((key, *map(float, mine[-1]), held, True))
+    out, progress = run(spark, tmp_path, lambda s: ST.counted_cov_stream(s, ["key"], "ts", "v", "50000s", "10000 seconds", default=3.0, buckets=8))
+    got = [(r.key, r.us // 1_000_000 - start, r.value, r.held, r.timed) for r in out.collect() if r.key != "end"]
+    assert sorted(got, key=str) == sorted(((k, int(s), v, n, t) for k, s, v, n, t in want), key=str)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress) <= 8
+
+
 def test_several_sinks_get_each_row_once(spark, tmp_path, monkeypatch):
     for k in range(3):
         feed(spark, tmp_path, [(k * 10 + s, "ab"[s % 2], s) for s in range(10)])
