@@ -174,25 +174,30 @@ def route(stream: DataFrame, sinks: dict[str, Column], checkpoint: str, codec: s
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def cov_stream(stream: DataFrame, keys: Sequence[str], us: str, value: str, rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", heartbeat_us: int | None = None) -> DataFrame:
+def cov_stream(stream: DataFrame, keys: Sequence[str], us: str, value: str, rules: Sequence[tuple[str, float]] = (), default: float = 0.5, kind: str = "absolute", heartbeat_us: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """operators.change.cov on a stream: the state of a key is its last value that went out. Rows of a
-    micro-batch are taken in order of time."""
-    rows = stream.where(F.col(value).isNotNull()).withColumn("_limit", threshold(keys[-1], rules, default))
+    micro-batch are taken in order of time. Keys are kept by hash buckets, as counted_cov_stream keeps them."""
+    rows = stream.where(F.col(value).isNotNull() & F.col(us).isNotNull()).withColumn("_limit", threshold(keys[-1], rules, default))
     fields = stream.schema
+    rows, names = _bucketed(rows, keys, buckets)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, last_us = state.get if state.exists else (None, None)
+        *marks, last, last_us = state.get if state.exists else ([],) * (len(names) + 2)
+        sensors = dict(zip(zip(*marks), zip(last, last_us)))
         pdf = pd.concat(list(batches)).sort_values(us, kind="stable")
         keep = []
-        for v, t, limit in zip(pdf[value], pdf[us], pdf["_limit"], strict=True):
-            ok = passes(last, last_us, float(v), int(t), limit, kind, False, heartbeat_us)
+        columns = [pdf[value].astype(float).tolist(), pdf[us].tolist(), pdf["_limit"].tolist()]
+        for mark, v, t, limit in zip(zip(*[pdf[n].tolist() for n in names]), *columns, strict=True):
+            ok = passes(*sensors.get(mark, (None, None)), v, t, limit, kind, False, heartbeat_us)
             if ok:
-                last, last_us = float(v), int(t)
+                sensors[mark] = v, t
             keep.append(ok)
-        state.update((last, last_us))
-        yield pdf.loc[keep, fields.fieldNames()]
+        state.update((*map(list, zip(*sensors)), *map(list, zip(*sensors.values()))))
+        if any(keep):
+            yield pdf[fields.fieldNames()][keep]
 
-    return rows.groupBy(*keys).applyInPandasWithState(run, fields, "last double, last_us long", "append", "NoTimeout")
+    kept = ", ".join(f"key{n} array<string>" for n in range(len(names))) + ", last array<double>, last_us array<long>"
+    return rows.groupBy("_bucket").applyInPandasWithState(run, fields, kept, "append", "NoTimeout")
 
 
 def current_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, order: Sequence[str] = (), buckets: int = 64) -> StreamingQuery:

@@ -111,6 +111,12 @@ def test_sensors_of_a_bucket_share_a_row_of_state(spark, tmp_path):
     got = [(r.key, r.us // 1_000_000 - start, r.value, r.held, r.timed) for r in out.collect() if r.key != "end"]
     assert sorted(got, key=str) == sorted(((k, int(s), v, n, t) for k, s, v, n, t in want), key=str)
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress) <= 8
+    again = tmp_path / "again"
+    again.mkdir()
+    (tmp_path / "in").rename(again / "in")
+    out, progress = run(spark, again, lambda s: ST.cov_stream(s.withColumn("us", F.unix_micros("ts")).drop("ts"), ["key"], "us", "v", default=3.0, heartbeat_us=50_000_000_000, buckets=8))
+    assert sorted(((r.key, r.us // 1_000_000 - start) for r in out.collect() if r.key != "end"), key=str) == sorted(kept, key=str)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress) <= 8
 
 
 def test_several_sinks_get_each_row_once(spark, tmp_path, monkeypatch):
