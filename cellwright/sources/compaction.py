@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from ..operators.joins import ffill
 from .commits import Files
 from .footers import footers, list_files
+from .sinks import open_folders
 
 _COMPACTED = "compact-"
 _SCHEMA = "leaf string, files long, bytes long, rows long, null_pct double, compacted boolean"
@@ -30,6 +31,8 @@ _SCHEMA = "leaf string, files long, bytes long, rows long, null_pct double, comp
 FULL = 0.75
 #: Up to so many files their plan is sent to all tasks.
 _FEW = 100_000
+#: A task that writes groups keeps so many of them open before it sorts; by chance one gets more in a million.
+_OPEN = 8
 
 
 def planned(spark: SparkSession, path: str, min_files: int = 3, min_age_s: float = 0, target_bytes: int = 128 << 20) -> DataFrame:
@@ -91,7 +94,8 @@ def _merge(spark: SparkSession, plan: DataFrame, columns: Sequence[str], to: str
         df = ffill(df, ["_leaf", *by], order, [c for c in kept if c not in {*by, *order}])
     groups = mine.select("group").distinct().count()
     out = df.select(*[F.col(f"`{c}`") for c in kept], "_group").repartition(groups, "_group")
-    out.write.partitionBy("_group").option("compression", codec).parquet(to)
+    with open_folders(spark, _OPEN):  # a group is written as it comes: its rows are not held
+        out.write.partitionBy("_group").option("compression", codec).parquet(to)
 
 
 def compact(spark: SparkSession, path: str, min_files: int = 3, min_age_s: float = 0, codec: str = "zstd", ffill_by: Sequence[str] = (), ffill_order: Sequence[str] = (), dry_run: bool = False, target_bytes: int = 128 << 20, unit_from_name: bool = False) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,19 @@ def write_store(df: DataFrame, path: str, partitions: Sequence[str] = ("project"
     (writer.partitionBy(*cols) if cols else writer).parquet(path)
 
 
+@contextmanager
+def open_folders(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes by partition in here keep a file open for each folder of a task, up to most of them, where Spark would sort all rows
+    of the task by folder first. Beyond that the rest is sorted, as ever. It is a setting of the session."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def publish_hot(df: DataFrame, path: str) -> int:
     """Replace the last batch: a new folder is written whole, then a numbered entry names it. Readers of the
     old one keep theirs until the next but one, when its folder goes. Returns the number."""
