@@ -2,16 +2,21 @@
 
 import glob
 import os
+import re
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cellwright import plans
 from cellwright import sources as S
+from cellwright.plans import ingest_queries
 from cellwright.sources import compaction
 from cellwright.sources.commits import Files
 from cellwright.sources.footers import footers
 
+from .conftest import DATA
+
 
 def fill(spark, path, folders=2, files=4, rows=10, first=0):
     for k in range(files):
@@ -149,6 +154,44 @@ def test_jobs_do_not_grow_with_folders(spark, tmp_path):
     assert counts[1] <= counts[0] + 3
 
 
+def writes_to(spark, path):
+    """Plans of the writes to folders below path."""
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [done.apply(k).physicalPlanDescription() for k in range(done.size())]
+    return [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and path in p]
+
+
+def test_rows_of_a_group_are_not_sorted_to_be_written(spark, tmp_path):
+    path = str(tmp_path / "s")
+    fill(spark, path, 2, 3)
+    want = rows(spark, path)
+    S.compact(spark, path)
+    found = [p for p in writes_to(spark, path) if "/data-0" in p]
+    assert len(found) == 1 and not re.search(r"\[_group#\d+ ASC", found[0])
+    assert rows(spark, path) == want and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_task_of_more_groups_than_it_keeps_open(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s")
+    fill(spark, path, 5, 3)
+    want = rows(spark, path)
+    monkeypatch.setattr(compaction, "_OPEN", 1)
+    S.compact(spark, path)
+    assert rows(spark, path) == want and len(names(path)) == 5
+
+
+def test_events_by_unit_are_not_sorted_to_be_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest_queries, "scratch", lambda s: str(tmp_path / "q"))
+    plans.QUERIES["compact_inject_unit"](spark, DATA)
+    found = writes_to(spark, f"{tmp_path}/q/by-unit")
+    assert len(found) == 1 and not re.search(r"\[unit#\d+ ASC", found[0])
+
+
+def test_verified_store_is_one_file_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(ingest_queries, "compact", lambda *a, **k: S.compact(*a, **({"target_bytes": 1000} | k)))
+    assert plans.QUERIES["compact_verify"](spark, DATA).first().files == 1
+
+
 def test_footers_are_the_scan(spark, tmp_path):
     df = spark.range(300_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id") / 7).alias("v"), F.concat(F.lit("name "), F.col("id")).alias("s"), F.expr("date_add(date'2024-01-01', cast(id % 40 as int))").alias("day"),
