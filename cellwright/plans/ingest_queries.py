@@ -424,8 +424,9 @@ def _(t: Tables) -> DataFrame:
 @query("sink_stream_flush", "SELECT count(*) AS n FROM M WHERE payload <> 'not json'")
 def _(t: Tables) -> DataFrame:
     path = scratch(t.spark)
-    t.messages.select("topic", "payload").repartition(4).write.parquet(f"{path}/in")
-    stream = t.spark.readStream.schema("topic string, payload string").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    tasks = max(1, t.spark.sparkContext.defaultParallelism)  # a file is few tasks' work: four batches, each of a file for each core
+    t.messages.select("topic", "payload").repartition(4 * tasks).write.parquet(f"{path}/in")
+    stream = t.spark.readStream.schema("topic string, payload string").option("maxFilesPerTrigger", tasks).parquet(f"{path}/in")
     ST.ingest(stream.withColumn("payload", F.replace("payload", F.lit('"us"'), F.lit('"ts"'))), f"{path}/out", f"{path}/checkpoint", [{"match": "#", "segments": ["a"]}], {"value": "long"}, "epoch", ("date",)).awaitTermination()
     return t.spark.read.parquet(f"{path}/out").agg(F.count("*").alias("n"))
 

@@ -3,10 +3,13 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
+from cellwright import plans
 from cellwright.plans import ingest_queries
 from cellwright.plans.registry import Tables
 from cellwright.streaming import jobs
 
+from .conftest import DATA
+
 
 def test_received_rows_are_counted_before_the_state_step():
     rows = lambda k: pd.DataFrame({"session_id": "s", "kind": ["row"] * 999 + ["beat"], "us": [*range(999), 99], "published": k})
@@ -29,3 +32,11 @@ def test_annotated_tables_of_one_unit_are_bounded(spark, tmp_path):
     from cellwright.sources import read_annotated_csv
 
     assert read_annotated_csv(spark, path).count() == 25_000
+
+
+def test_flushed_batches_are_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest_queries, "scratch", lambda s: str(tmp_path))
+    assert plans.QUERIES["sink_stream_flush"](spark, DATA).first().n > 0
+    files = [p for p in (tmp_path / "in").iterdir() if p.name.endswith(".parquet") and not p.name.startswith(".")]
+    batches = [p for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 4 and len(files) == 4 * spark.sparkContext.defaultParallelism
