@@ -472,13 +472,18 @@ def _(t: Tables) -> DataFrame:
 
 
 def _annotated(t: Tables) -> str:
-    """Events as annotated CSV, a table for each unit and 10,000 consecutive events, so of no more lines; a
-    file has at most 100 tables."""
+    """Events as annotated CSV, a table for each unit and 10,000 consecutive events, so of no more lines. Tables of
+    the same events are packed by their lines; a file has at most 20 packs of less than 20,000 lines, as files of few lines cost more
+    to open than to read."""
+    from pyspark.sql.window import Window
+
     path = scratch(t.spark)
     head = "#group,false,false,false,false,true,true\n#datatype,string,long,dateTime:RFC3339,double,string,string\n#default,_result,,,,,\n,result,table,_time,_value,_field,point_name"
     line = F.concat_ws(",", F.lit(""), F.lit(""), F.lit("0"), F.concat(F.date_format(F.timestamp_micros("us"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")), F.col("value_i").cast("string"), F.when(F.col("point_name") == "signup", "integer").otherwise("float"), "point_name")
-    per = t.points.groupBy("unit_id", F.expr("seq div 10000").alias("slice")).agg(F.array_join(F.collect_list(line), "\n").alias("body"))
-    per.select(F.concat(F.lit(head), F.lit("\n"), "body", F.lit("\n")).alias("value")).write.option("maxRecordsPerFile", 100).text(path)
+    per = t.points.groupBy("unit_id", F.expr("seq div 10000").alias("slice")).agg(F.concat(F.lit(f"{head}\n"), F.array_join(F.collect_list(line), "\n")).alias("table"), F.count("*").alias("n"))
+    lines = F.sum("n").over(Window.partitionBy("slice").orderBy("unit_id").rowsBetween(Window.unboundedPreceding, 0))
+    packs = per.withColumn("pack", F.floor(lines / 10_000)).groupBy("slice", "pack").agg(F.array_join(F.collect_list("table"), "\n\n").alias("tables"))
+    packs.select(F.concat("tables", F.lit("\n")).alias("value")).write.option("maxRecordsPerFile", 20).text(path)
     return path
 
 

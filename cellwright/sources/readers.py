@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +62,50 @@ _DROPPED = {"", "result", "table", "_start", "_stop"}
 DTYPES = ("float", "integer", "boolean_integer", "string", "boolean")
 
 
+_ANNOTATED = {
+    "time": pa.string(), "measurement": pa.string(), "field": pa.string(), "value_f": pa.float64(), "value_i": pa.int64(), "value_str": pa.string(),
+    "tags": pa.map_(pa.string(), pa.string()),
+}
+#: Rows of tables are given out once they are so many.
+_ROWS = 20_000
+
+
+def _table_rows(block: str, schema: str) -> list[tuple]:
+    """Rows of one table of annotated CSV, columns as in _ANNOTATED. Places of columns are looked up once for the table."""
+    lines = list(csv.reader(block.strip("\r\n").splitlines()))
+    kinds = next((r for r in lines if r and r[0] == "#datatype"), None)
+    default = next((r for r in lines if r and r[0] == "#default"), [])
+    body = [r for r in lines if r and not r[0].startswith("#")]
+    if not kinds or not body:
+        return []
+    head, rows = body[0], body[1:]
+    kind = dict(zip(head, kinds, strict=False)).get("_value", "double")
+    given = {k: d for k, d in enumerate(default) if d}
+    for r in rows:
+        for k, d in given.items():
+            if k < len(r) and not r[k]:
+                r[k] = d
+    place = {n: k for k, n in enumerate(head)}
+    if len(place) < len(head) or any(len(r) < len(head) for r in rows):  # names twice, or short rows: what a row has of each name
+        rows = [[named.get(n) for n in place] for named in (dict(zip(head, r, strict=False)) for r in rows)]
+        place = {n: k for k, n in enumerate(place)}
+    column = lambda name: [r[place[name]] for r in rows] if name in place else [None] * len(rows)
+    fields = column("_field")
+    ems = schema == "ems" or (schema == "auto" and set(fields) <= set(DTYPES))
+    labels = [(n, k) for n, k in place.items() if n not in _DROPPED and not n.startswith("_")]
+    out = []
+    for r, time, measurement, field, value in zip(rows, column("_time"), column("_measurement"), fields, column("_value"), strict=True):
+        value = "" if value is None else value
+        whole = field in ("integer", "boolean_integer") if ems else kind in ("long", "unsignedLong")
+        try:
+            number = float(value) if kind != "string" else None
+        except ValueError:
+            number = None
+        tags = [(n, r[k]) for n, k in labels if r[k]]
+        out.append((time, measurement, field, None if whole else number, int(number) if whole and number is not None else None, value if kind == "string" else None, tags))
+    return out
+
+
 def read_annotated_csv(spark: SparkSession, path: str, schema: str = "auto") -> DataFrame:
     """Rows of annotated CSV files: several tables in a file, each with #group, #datatype and #default
     lines and a header, blank lines between.
@@ -72,30 +116,16 @@ def read_annotated_csv(spark: SparkSession, path: str, schema: str = "auto") ->
     files = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"))
     blocks = files.select(F.explode(F.split("text", r"\r?\n[ \t]*\r?\n")).alias("block")).where(F.trim("block") != "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for block in pdf["block"]:
-                lines = list(csv.reader(block.strip("\r\n").splitlines()))
-                kinds = next((r for r in lines if r and r[0] == "#datatype"), None)
-                default = next((r for r in lines if r and r[0] == "#default"), [])
-                body = [r for r in lines if r and not r[0].startswith("#")]
-                if not kinds or not body:
-                    continue
-                head = body[0]
-                rows = [dict(zip(head, [v or (default[k] if k < len(default) else "") for k, v in enumerate(r)], strict=False)) for r in body[1:]]
-                ems = schema == "ems" or (schema == "auto" and {r.get("_field") for r in rows} <= set(DTYPES))
-                kind = dict(zip(head, kinds, strict=False)).get("_value", "double")
-                for r in rows:
-                    field, value = r.get("_field"), r.get("_value", "")
-                    tags = {k: v for k, v in r.items() if k not in _DROPPED and not k.startswith("_") and v != ""}
-                    whole = field in ("integer", "boolean_integer") if ems else kind in ("long", "unsignedLong")
-                    try:
-                        number = float(value) if kind != "string" else None
-                    except ValueError:
-                        number = None
-                    out.append((r.get("_time"), r.get("_measurement"), field, None if whole else number, int(number) if whole and number is not None else None, value if kind == "string" else None, tags))
-            yield pd.DataFrame(out, columns=["time", "measurement", "field", "value_f", "value_i", "value_str", "tags"]).astype({"value_i": "Int64"})
-
-    rows = blocks.mapInPandas(run, "time string, measurement string, field string, value_f double, value_i long, value_str string, tags map<string,string>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                out += _table_rows(block, schema)
+                if len(out) >= _ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _ANNOTATED.values())], names=list(_ANNOTATED))
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _ANNOTATED.values())], names=list(_ANNOTATED))
+
+    rows = blocks.mapInArrow(run, "time string, measurement string, field string, value_f double, value_i long, value_str string, tags map<string,string>")
     return rows.select(F.try_to_timestamp("time").alias("ts"), "measurement", "field", "value_f", "value_i", "value_str", "tags")

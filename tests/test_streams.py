@@ -40,3 +40,26 @@ def test_flushed_batches_are_several_tasks(spark, tmp_path, monkeypatch):
     files = [p for p in (tmp_path / "in").iterdir() if p.name.endswith(".parquet") and not p.name.startswith(".")]
     batches = [p for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
     assert len(batches) == 4 and len(files) == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_small_annotated_tables_share_files(spark, tmp_path):
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    events = spark.range(3_000).select(F.col("id").alias("event_id"), at.alias("ts"), F.col("id").alias("user_id"), F.lit("signup").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    path = ingest_queries._annotated(Tables(spark, str(tmp_path)))
+    files = [r.value for r in spark.read.text(path, wholetext=True).collect() if r.value]
+    assert sum(f.count("#group") for f in files) == 3_000 and len(files) <= 4
+    from cellwright.sources import read_annotated_csv
+
+    got = read_annotated_csv(spark, path).groupBy("value_i", "value_f").count().collect()
+    assert [tuple(r) for r in got] == [(3, None, 3_000)]
+
+
+def test_annotated_rows_of_any_length():
+    from cellwright.sources.readers import _table_rows
+
+    head = "#group,false,false\n#datatype,string,long,double,string,string\n#default,_result,,,none,\n,result,_time,_value,_field,a"
+    rows = _table_rows(f"{head},a\n,,t1,1.5,,x,y\n,,t2\n,,t3,bad,float,,\n", "standard")
+    assert rows == [("t1", None, "none", 1.5, None, None, [("a", "y")]), ("t2", None, None, None, None, None, []), ("t3", None, "float", None, None, None, [])]
+    assert _table_rows(f"{head}\n,,t1,2,integer,x\n", "auto") == [("t1", None, "integer", None, 2, None, [("a", "x")])]
+    assert _table_rows("#group\n#datatype,string", "auto") == []
