@@ -57,9 +57,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df with a hint that it is joined by shuffle and sort. Spark takes a table's size from its compressed files and does not
+    see how many rows explode makes of one, so what it would broadcast may be a hundred times as large as it allows."""
+    return df.hint("merge")
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most that many rows. df should be cheap to count."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df with a broadcast hint if it has at most that many rows, else shuffled. df should be cheap to count."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else shuffled(df)
 
 
 def ascii_lower(text: Column) -> Column:

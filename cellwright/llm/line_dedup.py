@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, fresh, small, written
+from .common import components, fresh, shuffled, small, written
 
 #: Lines of MIN_CHARS characters may differ by EDITS edits, shorter ones by fewer in proportion.
 EDITS, MIN_CHARS = 2, 20
@@ -156,14 +156,14 @@ def within(x: Column, y: Column, edits: int) -> Column:
 
 
 def _met(rows: DataFrame, index: DataFrame, most: int | None = None) -> DataFrame:
-    """Pairs that share a key; with most, only those whose marks differ by no more."""
+    """Pairs that share a key; with most, only those whose marks differ by no more. Neither side is broadcast: a line has many keys."""
     own = ["marks"] if most is not None else []
     left = index.select("key", F.col("id").alias("i"), *own)
     right = rows.select("key", F.col("id").alias("p"), *[F.col(c).alias("others") for c in own])
     near = F.col("i") != F.col("p")
     if own:
         near = near & (apart(F.col("marks"), F.col("others")) <= most)
-    return left.join(right, "key").where(near).select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b"))
+    return shuffled(left).join(right, "key").where(near).select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b"))
 
 
 def candidates(lines: DataFrame, edits: int, hot: int = HOT) -> DataFrame:
@@ -196,7 +196,7 @@ def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     texts = written(texts.withColumn("marks", marks(F.col("line"))), "candidate-text")
     both = pairs
     for c, text in (("a", "x"), ("b", "y")):
-        both = both.join(texts.select(F.col("id").alias(c), F.col("line").alias(text), F.col("marks").alias(f"marks_{c}")), c)
+        both = both.join(shuffled(texts.select(F.col("id").alias(c), F.col("line").alias(text), F.col("marks").alias(f"marks_{c}"))), c)
     both = both.where(apart(F.col("marks_a"), F.col("marks_b")) <= 2 * edits)
     close = _stripped(F.col("x"), F.col("y"), edits + 1, lambda x, y: within(x, y, edits))
     return both.where(close).select("a", "b")

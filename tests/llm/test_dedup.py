@@ -48,6 +48,16 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def joins(df):
+    return re.findall(r"(\w+Join) ", df._jdf.queryExecution().sparkPlan().toString())
+
+
+def test_a_table_beyond_the_count_is_not_broadcast(spark):
+    big, df = spark.range(1000), spark.range(50)
+    assert joins(big.join(common.small(df, 50), "id")) == ["BroadcastHashJoin"]
+    assert joins(big.join(common.small(df, 49), "id")) == ["SortMergeJoin"]
+
+
 def test_hashes_of_words_do_not_cross_texts(spark):
     import pyarrow as pa
 
@@ -152,6 +162,17 @@ def test_edit_join_finds_every_pair(spark, some_lines, edits, hot, monkeypatch):
     assert got == want and want
 
 
+def test_line_joins_are_not_broadcast_by_the_size_of_files(spark):
+    # a crowd: 90 lines share a beginning and an end, so that finer keys, 28 of each line, are joined
+    rng = random.Random(4)
+    lines = [f"the same beginning {''.join(rng.choices('abcdefgh', k=12))} and the same end" for _ in range(90)]
+    rows = [(i, s, len(s)) for i, s in enumerate([*lines, lines[0] + "!"])]
+    df = line_dedup.written(spark.createDataFrame(rows, "id long, line string, size int"), "test")
+    assert joins(line_dedup.candidates(df, 2)) == ["SortMergeJoin"]
+    links = line_dedup.edit_links(df, 2)
+    assert set(joins(links)) == {"SortMergeJoin"} and (0, 90) in {tuple(r) for r in links.collect()}
+
+
 def test_lines_of_documents(spark):
     a, b, c = "the first line of all the lines", "the first line of all the lined", "something else that is long enough"
     rows = [(1, f"{a}\n{c}"), (2, f"{b}\nshort\n{a}"), (3, f" {a} \n{b}"), (4, None), (5, ""), (6, f"{c}\n{c}\nnew and long enough line here"), (None, a), (3, f" {a} \n{b}")]
