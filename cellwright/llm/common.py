@@ -82,21 +82,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Edges with a null end and loops are ignored; an empty table gives an empty table."""
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     now = written(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
+    mark, n = None, now.count()
     while True:
+        # ids compress so well that the files of millions of edges look small; an edge has two nodes at most
+        held = shuffled if 2 * n > BROADCAST_ROWS else lambda df: df
         # large star: every neighbour above u goes to u's smallest neighbour
         near = now.select("u", "v").union(now.select(F.col("v"), F.col("u")).toDF("u", "v"))
         least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = near.where("v > u").join(held(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: u and its smaller neighbours go to the smallest of them
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
-        step = large.join(lower, "u")
+        step = large.join(held(lower), "u")
         step = step.select(F.col("v").alias("u"), F.col("m").alias("v")).union(step.select("u", F.col("m").alias("v")))
         now = written(step.where("u <> v").distinct(), "star")
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (seen.n, seen.x) == mark:
             break
-        mark = (seen.n, seen.x)
+        mark, n = (seen.n, seen.x), seen.n
     child = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     root = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return child.union(root)

@@ -245,18 +245,19 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     one = able.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("n"))
     one = written(one.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"), "place", "n"), "lines")
     links = written(scaled_links(one.select("id", "line", "size"), edits, min_chars), "links")
-    group = components(links)
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
-    shared = one.join(group.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")
+    linked = written(components(links).withColumnRenamed("node", "id").join(shuffled(ends), "id"), "linked")
+    mark = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+    # no text goes along, as beyond a few linked lines this is a shuffle of all
+    shared = one.select("id", "place", "n", *mark).join(small(linked), "id", "left").where("n > 1 or component is not null")
     shared = shared.withColumn("component", F.coalesce("component", "id"))
     least = shared.groupBy("component").agg(F.min("place").alias("first"))
     line_no = F.pmod("first", F.lit(_LINES).cast("decimal(11,0)"))
-    mark = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
-    shared = shared.join(least, "component").join(ends, "id", "left").select(
-        *mark, ((F.col("first") - line_no) / F.lit(_LINES).cast("decimal(11,0)")).cast("long").alias("class_doc"), line_no.cast("int").alias("class_line"), "n_links"
+    shared = shared.join(least, "component").select(
+        "h1", "h2", ((F.col("first") - line_no) / F.lit(_LINES).cast("decimal(11,0)")).cast("long").alias("class_doc"), line_no.cast("int").alias("class_line"), "n_links"
     )
     shared = written(shared, "shared")
-    out = lines.select("doc_id", "key", "line_no", order.alias("doc"), *mark).join(shared, ["h1", "h2"], "left")
+    out = lines.select("doc_id", "key", "line_no", order.alias("doc"), *mark).join(shuffled(shared), ["h1", "h2"], "left")
     alone = F.col("class_doc").isNull()
     kept = alone | ((F.col("doc") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
     real = F.when(F.col("class_doc") != _LATE, F.col("class_doc"))

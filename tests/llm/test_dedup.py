@@ -52,6 +52,16 @@ def joins(df):
     return re.findall(r"(\w+Join) ", df._jdf.queryExecution().sparkPlan().toString())
 
 
+def test_components_of_many_edges_are_the_same(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + k) for i in range(0, 300, 10) for k in (1, 2, 3)], "a long, b long")
+    few = sorted(common.components(edges).collect())
+    met = []
+    monkeypatch.setattr(common, "shuffled", lambda df, f=common.shuffled: met.append(1) or f(df))
+    assert sorted(common.components(edges).collect()) == few and not met
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 100)
+    assert sorted(common.components(edges).collect()) == few and met
+
+
 def test_a_table_beyond_the_count_is_not_broadcast(spark):
     big, df = spark.range(1000), spark.range(50)
     assert joins(big.join(common.small(df, 50), "id")) == ["BroadcastHashJoin"]
@@ -171,6 +181,8 @@ def test_line_joins_are_not_broadcast_by_the_size_of_files(spark):
     assert joins(line_dedup.candidates(df, 2)) == ["SortMergeJoin"]
     links = line_dedup.edit_links(df, 2)
     assert set(joins(links)) == {"SortMergeJoin"} and (0, 90) in {tuple(r) for r in links.collect()}
+    docs = df.select(F.col("id").alias("doc_id"), F.col("line").alias("text"))
+    assert joins(line_dedup.line_classes(docs)) == ["SortMergeJoin"]
 
 
 def test_lines_of_documents(spark):
